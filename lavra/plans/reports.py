@@ -98,19 +98,23 @@ def weather_report(
     A year that cannot be read, or holds no rows, is one failed row; the others
     are still checked.
     """
-    readable, unreadable = {}, []
+    readable, parts = {}, []
     for year in years:
         try:
             stored = read_partitioned(spark, f"{base}/{year}", C.WEATHER_SILVER_SCHEMA)
             readable[year] = stored.withColumn("ano", F.lit(year))
         except AnalysisException:
-            unreadable.append(Q.error_row(spark, "cannot be read", ano=year))
-    parts = unreadable
+            parts.append(Q.error_row(spark, "cannot be read", ano=year))
     if readable:
         measured = Q.evaluate(union_by_name(readable.values()), checks or weather_checks(), ["ano"])
-        empty = [
-            Q.error_row(spark, "holds no rows", ano=year) for year in readable
-        ]
-        without_rows = union_by_name(empty).join(measured.select("ano"), "ano", "left_anti")
-        parts = [*unreadable, measured, without_rows]
+        seen = spark.createDataFrame([(year,) for year in readable], "ano int")
+        parts.append(
+            seen.join(measured, "ano", "left").withColumns(
+                {
+                    "position": F.coalesce("position", F.lit(-1)),
+                    "check": F.coalesce("check", F.lit("holds no rows")),
+                    "passed": F.coalesce("passed", F.lit(False)),
+                }
+            )
+        )
     return union_by_name(parts)

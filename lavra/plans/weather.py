@@ -36,10 +36,12 @@ def from_archives(
     )
     lines = F.slice(F.split("preambulo", LINE_BREAK), 1, C.WEATHER_PREAMBLE_LINES)
     described = chunks.withColumns(preamble_columns(lines, PREAMBLE))
-    parsed = F.from_csv("linha", C.WEATHER_RAW_SCHEMA.simpleString()[7:-1].replace(":", " "), CSV_OPTIONS)
-    return chunk_lines(described, "_arquivo", *PREAMBLE).select(
-        "_arquivo", *PREAMBLE, parsed.alias("campos")
-    ).select("_arquivo", *PREAMBLE, "campos.*")
+    parsed = F.from_csv("linha", C.WEATHER_RAW_SCHEMA.toDDL(), CSV_OPTIONS)
+    return (
+        chunk_lines(described, "_arquivo", *PREAMBLE)
+        .select("_arquivo", *PREAMBLE, parsed.alias("campos"))
+        .select("_arquivo", *PREAMBLE, "campos.*")
+    )
 
 
 def from_folder(spark: SparkSession, path: str) -> DataFrame:
