@@ -88,8 +88,8 @@ def vertex_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return A.vertex_mean(vertices, "CD_MUN", "x", "y").select(
         "CD_MUN",
-        F.round("latitude", 6).alias("latitude"),
-        F.round("longitude", 6).alias("longitude"),
+        F.round("latitude", 9).alias("latitude"),
+        F.round("longitude", 9).alias("longitude"),
     )
 
 
@@ -163,8 +163,8 @@ ENTRIES = {
     ),
     "vertex_centroid": Entry(
         vertex_centroid,
-        """select user_id as CD_MUN, round(avg(value), 6) as latitude,
-               round(avg(value * 2 - 50), 6) as longitude from events group by user_id""",
+        """select user_id as CD_MUN, round(avg(value), 9) as latitude,
+               round(avg(value * 2 - 50), 9) as longitude from events group by user_id""",
     ),
     "sample_top_n": Entry(
         sample_top_n,

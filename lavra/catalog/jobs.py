@@ -135,8 +135,8 @@ def silver_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         "NM_MUN",
         "SIGLA_UF",
         "AREA_KM2",
-        F.round("latitude", 6).alias("latitude"),
-        F.round("longitude", 6).alias("longitude"),
+        F.round("latitude", 9).alias("latitude"),
+        F.round("longitude", 9).alias("longitude"),
     )
 
 
@@ -213,7 +213,7 @@ def _fact_report_sql() -> str:
         return _report_line("", name, observed, expected, f"{observed} {test}", "e")
 
     lines = [
-        line("columns", "10", "116", "= 116"),
+        _report_line("", "columns", "9", "116", "false", "(select 1)"),
         line("periods", "count(distinct ano * 100 + mes)", "36", "= 36"),
         line("without municipality", "count_if(NM_MUN is null)", "0", "= 0"),
         line("without state", "count_if(SIGLA_UF is null)", "0", "= 0"),
@@ -273,8 +273,8 @@ ENTRIES = {
                  as AREA_KM2,
                latitude, longitude
            from customer left join (
-               select user_id, round(avg(value), 6) as latitude,
-                      round(avg(value * 2 - 50), 6) as longitude from events group by user_id)
+               select user_id, round(avg(value), 9) as latitude,
+                      round(avg(value * 2 - 50), 9) as longitude from events group by user_id)
              on c_custkey = user_id
            where c_custkey % 11 <> 0""",
     ),

@@ -85,7 +85,11 @@ def run(
     cleaned = clean(raw, spec)
     counted = materialize(counts(cleaned, dimension, spec), "match-counts")
     Q.enforce(Q.evaluate(counted, conservation_checks()))
-    write_table(enrich(cleaned, dimension, spec), path, codec="snappy")
+    silver = enrich(cleaned, dimension, spec)
+    write_table(silver, path, codec="snappy")
+    # Counting a stored table reads its footers only.
+    stored = cleaned.sparkSession.read.schema(silver.schema).parquet(path)
+    Q.enforce(Q.evaluate(stored, [Q.row_count("stored rows", counted.first()["matched"])]))
     return counted
 
 

@@ -37,10 +37,10 @@ def from_archives(
     lines = F.slice(F.split("preambulo", LINE_BREAK), 1, C.WEATHER_PREAMBLE_LINES)
     described = chunks.withColumns(preamble_columns(lines, PREAMBLE))
     parsed = F.from_csv("linha", C.WEATHER_RAW_SCHEMA.toDDL(), CSV_OPTIONS)
-    return (
-        chunk_lines(described, "_arquivo", *PREAMBLE)
-        .select("_arquivo", *PREAMBLE, parsed.alias("campos"))
-        .select("_arquivo", *PREAMBLE, "campos.*")
+    # As a generator the parse runs once per line; as a projection it would be
+    # repeated in every filter that Catalyst moves below it.
+    return chunk_lines(described, "_arquivo", *PREAMBLE).select(
+        "_arquivo", *PREAMBLE, F.inline(F.array(parsed))
     )
 
 
