@@ -15,7 +15,8 @@ from lavra.operators.lookup import keep_matched, lookup_left, match_counts
 from lavra.operators.sets import union_by_name
 from lavra.scratch import materialize, new_folder
 from lavra.sinks import write_periods, write_table
-from lavra.sources.dbf import Field, decode_dbf, read_dbf_files
+from lavra.sources.dbf import Field, decode_dbf, read_dbf_files, split_files
+from lavra.sources.landing import landed_files
 
 PERIOD = ["ano", "mes"]
 
@@ -35,9 +36,13 @@ def stage_dbf(spark: SparkSession, path: str, fields: Sequence[Field]) -> DataFr
     """Landed DBF files as a Parquet table in the shared folder.
 
     Fixed-width files are decoded once; all later passes read only the columns
-    they need. Files hold at most one batch of records each.
+    they need. Files hold at most one batch of records each. Fewer landed files
+    than cores are split first, so that all cores decode.
     """
-    rows = decode_dbf(read_dbf_files(spark, path), fields, "ISO-8859-1")
+    files = read_dbf_files(spark, path)
+    if landed_files(spark, path).count() < spark.sparkContext.defaultParallelism:
+        files = split_files(files)
+    rows = decode_dbf(files, fields, "ISO-8859-1")
     staged = new_folder(spark, "admissions")
     write_table(rows, staged, codec="snappy", max_records=C.DBF_BATCH_RECORDS)
     return spark.read.schema(rows.schema).parquet(staged)
@@ -124,11 +129,14 @@ def run_periods(
     expected: DataFrame,
     spec: Enrichment = Enrichment(),
     extra_checks: Sequence[Q.Check] = (),
+    clustered: bool = False,
 ) -> DataFrame:
     """All periods in one job; a bad period is not written and stops no other.
 
     ``raw`` carries ``ano`` and ``mes``. Returns one status row per expected
     period. Only passing periods are written; the others keep what they had.
+    With ``clustered``, because each file of ``raw`` holds one period, no fact
+    row is shuffled at all.
     """
     cleaned = clean(raw, spec)
     judged = [
@@ -141,5 +149,5 @@ def run_periods(
     # One row per expected month, so its size is that of the calendar.
     passing = F.broadcast(status.filter(F.col("status") == "OK").select(*PERIOD))
     accepted = cleaned.join(passing, PERIOD, "left_semi")
-    write_periods(enrich(accepted, dimension, spec), path, PERIOD)
+    write_periods(enrich(accepted, dimension, spec), path, PERIOD, clustered=clustered)
     return status

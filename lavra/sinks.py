@@ -45,11 +45,16 @@ def write_periods(
     columns: Sequence[str] = ("ano", "mes"),
     codec: str | None = "snappy",
     max_records: int | None = None,
+    clustered: bool = False,
 ) -> None:
-    """Replace only the periods that occur in ``df``; leave the others alone."""
-    rebalanced = df.hint("rebalance", *columns)
+    """Replace only the periods that occur in ``df``; leave the others alone.
+
+    Rows that come from one file per period are ``clustered`` already, and are
+    then written without a shuffle.
+    """
+    arranged = df if clustered else df.hint("rebalance", *columns)
     (
-        _writer(rebalanced, codec, max_records)
+        _writer(arranged, codec, max_records)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)

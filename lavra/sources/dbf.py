@@ -1,15 +1,19 @@
-"""Fixed-width DBF tables, decoded with column expressions only.
+"""Fixed-width DBF tables.
 
 The header says how many records there are, how long each is and where each
-field lies. A file is cut into batches of whole records, the batches are spread
-over the cluster, and each record is sliced by byte position.
+field lies. Tasks cut the records into text columns, a batch of records at a
+time and without a loop over records; numbers and dates are then made of the
+texts with column expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import struct
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +23,11 @@ from lavra.contracts import DBF_BATCH_RECORDS
 PREFIX_BYTES = 32
 DESCRIPTOR_BYTES = 32
 NAME_BYTES = 11
-LIVE_RECORD = " "
+SIZE_POSITION = 16
 DESCRIPTORS_END = 0x0D
-BLANK_BYTES = " \0"
+LIVE_RECORD = 0x20
+BLANK_BYTES = (0x20, 0x00)
+COUNT_POSITION = 4
 NUMBER_KINDS = "NF"
 
 
@@ -33,11 +39,33 @@ class Field:
     kind: str = "C"
 
 
-def _integer(content: Column, start: int | Column, size: int) -> Column:
-    """Unsigned little-endian integer; ``start`` counts from 1."""
-    digits = F.hex(F.substring(content, start, size))
-    reordered = F.concat(*(F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size))))
-    return F.conv(reordered, 16, 10).cast("int")
+@dataclass(frozen=True)
+class Layout:
+    """What the header of one file says."""
+
+    records: int
+    header_bytes: int
+    record_bytes: int
+    fields: list[Field]
+    places: dict[str, slice]
+
+    @classmethod
+    def of(cls, content: bytes | memoryview) -> Layout:
+        records, header_bytes, record_bytes = struct.unpack_from("<IHH", content, 4)
+        fields, places = [], {}
+        # The first byte of a record is its deletion mark.
+        offset = 1
+        for start in range(PREFIX_BYTES, header_bytes - 1, DESCRIPTOR_BYTES):
+            if content[start] == DESCRIPTORS_END:
+                break
+            name = bytes(content[start : start + NAME_BYTES]).split(b"\0")[0].decode("latin-1")
+            fields.append(Field(name, chr(content[start + NAME_BYTES])))
+            size = content[start + SIZE_POSITION]
+            places[name] = slice(offset, offset + size)
+            offset += size
+        # A truncated file holds fewer whole records than its header claims.
+        whole = max(0, len(content) - header_bytes) // max(1, record_bytes)
+        return cls(min(records, whole), header_bytes, record_bytes, fields, places)
 
 
 def read_dbf_files(spark: SparkSession, path: str) -> DataFrame:
@@ -49,61 +77,38 @@ def read_dbf_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def with_layout(files: DataFrame) -> DataFrame:
-    """Add the header figures and ``fields`` (name, kind, size, offset)."""
-    content = F.col("content")
-
-    def descriptor(i: Column) -> Column:
-        start = i * DESCRIPTOR_BYTES + PREFIX_BYTES + 1
-        return F.struct(
-            F.substring_index(
-                F.decode(F.substring(content, start, NAME_BYTES), "ISO-8859-1"), "\0", 1
-            ).alias("name"),
-            F.decode(F.substring(content, start + NAME_BYTES, 1), "ISO-8859-1").alias("kind"),
-            _integer(content, start + 16, 1).alias("size"),
-            _integer(content, start, 1).alias("first_byte"),
-        )
-
-    slots = (F.col("header_bytes") - PREFIX_BYTES - 1) / DESCRIPTOR_BYTES
-    described = (
-        files.withColumns(
-            {
-                "records": _integer(content, 5, 4),
-                "header_bytes": _integer(content, 9, 2),
-                "record_bytes": _integer(content, 11, 2),
-            }
-        )
-        .withColumn("slots", F.transform(F.sequence(F.lit(0), slots.cast("int") - 1), descriptor))
-        # Some writers leave other bytes between the terminator and the records.
-        .withColumn(
-            "end", F.array_position(F.col("slots.first_byte"), F.lit(DESCRIPTORS_END)).cast("int")
-        )
-        .withColumn(
-            "slots",
-            F.when(F.col("end") > 0, F.slice("slots", F.lit(1), F.col("end") - 1)).otherwise(
-                F.col("slots")
-            ),
-        )
-    )
-
-    def placed(field: Column, i: Column) -> Column:
-        before = F.aggregate(
-            F.slice("slots", F.lit(1), i), F.lit(2), lambda total, f: total + f["size"]
-        )
-        return F.struct(field["name"], field["kind"], field["size"], before.alias("offset"))
+def describe(spark: SparkSession, path: str) -> list[Field]:
+    """The fields of one of the files at ``path``, from its header bytes."""
+    header = F.substring("content", 1, 2**16).alias("header")
+    return Layout.of(bytes(read_dbf_files(spark, path).select(header).first()["header"])).fields
 
-    return described.withColumn("fields", F.transform("slots", placed)).drop("slots", "end")
 
+def split_files(files: DataFrame, batch_records: int = DBF_BATCH_RECORDS) -> DataFrame:
+    """The same records as many small files, spread over the cluster.
 
-def describe(spark: SparkSession, path: str) -> list[Field]:
-    """The fields of one of the files at ``path``."""
-    row = with_layout(read_dbf_files(spark, path).limit(1)).select("fields").first()
-    return [Field(f["name"], f["kind"]) for f in row["fields"]]
-
+    For few large files, which would otherwise keep as few tasks busy. Each
+    piece is a DBF of its own: the header, with its record count set right, and
+    a batch of whole records.
+    """
 
-def field_names(files: DataFrame) -> DataFrame:
-    """``_arquivo`` and the list of field names of each file."""
-    return with_layout(files).select("_arquivo", F.col("fields.name").alias("campos"))
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, content in _contents(batches):
+            layout = Layout.of(content)
+            for part, start in enumerate(range(0, max(1, layout.records), batch_records)):
+                count = min(batch_records, layout.records - start)
+                header = bytearray(content[: layout.header_bytes])
+                struct.pack_into("<I", header, COUNT_POSITION, count)
+                first = layout.header_bytes + start * layout.record_bytes
+                piece = bytes(header) + bytes(content[first : first + count * layout.record_bytes])
+                yield pa.RecordBatch.from_pydict(
+                    {"_arquivo": [path], "content": [piece], "parte": [part]}
+                )
+
+    pieces = files.select("_arquivo", "content").mapInArrow(
+        split, "_arquivo string, content binary, parte long"
+    )
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return pieces.repartition(cores, "_arquivo", "parte").drop("parte")
 
 
 def decode_dbf(
@@ -117,80 +122,66 @@ def decode_dbf(
 
     A file that lacks a field fails the job, as does, with ``exact_fields``, one
     whose field list is not exactly the given one. Text loses its padding, bad
-    numbers and dates become NULL.
+    numbers and dates become NULL. Every file is one task, and rows leave it as
+    they are cut, so that no more than a batch is held beside the file.
     """
     names = [field.name for field in fields]
-    found = F.col("fields.name")
-    wanted = F.array(*map(F.lit, names))
-    accepted = found == wanted if exact_fields else F.size(F.array_except(wanted, found)) == 0
-    complaint = F.concat(
-        F.lit(f"unexpected fields, wanted {names}, found "), F.array_join(found, ", ")
-    )
-
-    def position(name: str) -> Column:
-        return F.get(F.col("fields"), F.array_position(found, name).cast("int") - 1)
-
-    layout = F.struct(
-        *(
-            F.struct(position(n)["offset"].alias("offset"), position(n)["size"].alias("size")).alias(n)
-            for n in names
-        )
-    )
-    layout_type = f"struct<{', '.join(f'`{n}`: struct<offset: int, size: int>' for n in names)}>"
-    batch_bytes = F.col("record_bytes") * batch_records
-    batches = (
-        with_layout(files)
-        .withColumn(
-            "layout", F.when(accepted, layout).otherwise(F.raise_error(complaint).cast(layout_type))
-        )
-        .filter(F.col("records") > 0)
-        .select(
-            "_arquivo",
-            "content",
-            "header_bytes",
-            "record_bytes",
-            "layout",
-            F.explode(
-                F.sequence(F.lit(0), ((F.col("records") - 1) / batch_records).cast("int"))
-            ).alias("lote"),
-            "records",
-        )
-        .select(
-            "_arquivo",
-            "lote",
-            "record_bytes",
-            "layout",
-            F.least(F.lit(batch_records), F.col("records") - F.col("lote") * batch_records).alias(
-                "batch_size"
-            ),
-            F.substring(
-                F.col("content"), F.col("header_bytes") + 1 + F.col("lote") * batch_bytes, batch_bytes
-            ).alias("batch"),
-        )
-        .repartition("_arquivo", "lote")
-    )
-    # A truncated file holds fewer whole records than its header claims.
-    whole = F.least(
-        F.col("batch_size"), (F.octet_length("batch") / F.col("record_bytes")).cast("int")
-    )
-    records = batches.filter(whole > 0).select(
-        "_arquivo",
-        "batch",
-        "layout",
-        "record_bytes",
-        F.explode(F.sequence(F.lit(0), whole - 1)).alias("record"),
-    )
-    start = F.col("record") * F.col("record_bytes")
-    live = F.decode(F.substring(F.col("batch"), start + 1, 1), "ISO-8859-1") == LIVE_RECORD
-    return records.filter(live).select(
-        "_arquivo", *(_value(field, start, encoding).alias(field.name) for field in fields)
-    )
-
 
-def _value(field: Field, start: Column, encoding: str) -> Column:
-    place = F.col("layout")[field.name]
-    piece = F.substring(F.col("batch"), start + place["offset"], place["size"])
-    text = F.rtrim(F.decode(piece, encoding), F.lit(BLANK_BYTES))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, content in _contents(batches):
+            layout = Layout.of(content)
+            found = [field.name for field in layout.fields]
+            if found != names if exact_fields else not set(names) <= set(found):
+                raise ValueError(f"unexpected fields in {path}: wanted {names}, found {found}")
+            body = np.frombuffer(
+                content, np.uint8, layout.records * layout.record_bytes, layout.header_bytes
+            ).reshape(layout.records, layout.record_bytes)
+            for start in range(0, layout.records, batch_records):
+                part = body[start : start + batch_records]
+                live = part[part[:, 0] == LIVE_RECORD]
+                texts = [_texts(live[:, layout.places[name]], encoding) for name in names]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(live), pa.string()), *texts], ["_arquivo", *names]
+                )
+
+    schema = ", ".join(["_arquivo string", *(f"`{name}` string" for name in names)])
+    records = files.select("_arquivo", "content").mapInArrow(cut, schema)
+    return records.select("_arquivo", *(_value(field).alias(field.name) for field in fields))
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, memoryview]]:
+    for batch in batches:
+        for path, content in zip(batch.column(0), batch.column(1)):
+            yield path.as_py(), memoryview(content.as_buffer())
+
+
+def _texts(cells: np.ndarray, encoding: str) -> pa.Array:
+    """One text per row of bytes, without the padding at its end."""
+    count, size = cells.shape
+    solid = ~np.isin(cells, BLANK_BYTES)
+    lengths = np.where(solid.any(axis=1), size - np.argmax(solid[:, ::-1], axis=1), 0)
+    kept = cells[np.arange(size) < lengths[:, None]]
+    ends = np.cumsum(lengths)
+    if encoding == "ISO-8859-1":
+        # In UTF-8 each byte from 0x80 on becomes two.
+        wide = kept >= 0x80
+        if wide.any():
+            ends = ends + np.concatenate([[0], np.cumsum(wide)])[ends]
+            grown = np.repeat(kept, 1 + wide)
+            first = np.flatnonzero(wide) + np.arange(np.count_nonzero(wide))
+            grown[first] = 0xC0 | (kept[wide] >> 6)
+            grown[first + 1] = 0x80 | (kept[wide] & 0x3F)
+            kept = grown
+    elif encoding != "UTF-8":
+        raise ValueError(f"unsupported encoding: {encoding}")
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    texts = pa.StringArray.from_buffers(count, pa.py_buffer(offsets), pa.py_buffer(kept.copy()))
+    texts.validate(full=True)
+    return texts
+
+
+def _value(field: Field) -> Column:
+    text = F.col(f"`{field.name}`")
     if field.kind in NUMBER_KINDS:
         return F.translate(F.trim(F.translate(text, "*\0", "")), ",", ".").try_cast("double")
     if field.kind == "D":

@@ -46,7 +46,7 @@ def test_only_the_unordered_sample_lacks_sql():
         ("sample_top_n", ["TakeOrderedAndProject"], ["rangepartitioning"]),
         ("scan_partitioned", ["PartitionFilters: [codigo_estacao"], ["Exchange"]),
         ("scan_delimited", ["PushedFilters: [IsNotNull(data)"], ["Exchange", "Python"]),
-        ("dbf_table", [], ["Python", "Pandas"]),
+        ("dbf_table", ["MapInArrow"], ["EvalPython", "Exchange"]),
     ],
 )
 def test_plans(spark, name, wanted, unwanted):

@@ -146,6 +146,10 @@ def test_dbf_records(spark, tmp_path, batch, encoding):
     charset = {"latin-1": "ISO-8859-1", "utf-8": "UTF-8"}[encoding]
     found = decode(spark, tmp_path, encoding=charset, exact_fields=True, batch_records=batch)
     assert rows(found.drop("_arquivo")) == sorted([*DECODED, DECODED[2]])
+    split = dbf.split_files(dbf.read_dbf_files(spark, str(tmp_path)), batch)
+    assert split.count() == {1: 6, 2: 4, 3: 4}.get(batch, 3)
+    again = dbf.decode_dbf(split, WANTED, charset, exact_fields=True)
+    assert rows(again) == rows(found)
 
 
 def test_truncated_dbf_yields_its_whole_records(spark, tmp_path):
@@ -154,6 +158,21 @@ def test_truncated_dbf_yields_its_whole_records(spark, tmp_path):
     assert decode(spark, tmp_path).count() == 2
 
 
+def test_dbf_text_of_all_bytes(spark, tmp_path):
+    every = bytes(range(1, 256)).decode("latin-1")
+    texts = [every[i : i + 51] for i in range(0, 255, 51)] + ["a\0b \0 ", "", "\0", "é", "ÿ\t"]
+    content = dbf_bytes([("T", "C", 60)], [(" ", [t]) for t in texts])
+    (tmp_path / "a.dbf").write_bytes(content)
+    found = decode(spark, tmp_path, [dbf.Field("T")]).drop("_arquivo")
+    assert rows(found) == sorted((t.rstrip(" \0"),) for t in texts)
+
+
+def test_dbf_text_that_is_no_utf8_stops_the_job(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(dbf_bytes([("T", "C", 3)], [(" ", ["é"])]))
+    with pytest.raises(Exception, match="UTF8"):
+        decode(spark, tmp_path, [dbf.Field("T")], "UTF-8").collect()
+
+
 def test_dbf_types_and_subset_of_fields(spark, tmp_path):
     fields = [("D", "D", 8), ("L", "L", 1), ("N", "N", 5), ("C", "C", 3)]
     records = [(" ", ["20230105", "T", "-12", "a"]), (" ", ["20230231", "?", "1.5", ""])]
@@ -183,10 +202,11 @@ def test_unexpected_dbf_fields_stop_the_job(spark, tmp_path):
     assert decode(spark, tmp_path, WANTED[:3]).count() == 3
 
 
-def test_dbf_decoding_uses_no_python(spark, tmp_path):
+def test_dbf_bytes_are_cut_in_batches_and_parsed_without_python(spark, tmp_path):
     (tmp_path / "a.dbf").write_bytes(dbf_bytes(FIELDS, RECORDS))
     text = plan(decode(spark, tmp_path))
-    assert "Python" not in text and "Pandas" not in text
+    assert "MapInArrow" in text
+    assert "EvalPython" not in text and "Exchange" not in text
 
 
 def test_landed_files_by_name_and_year(spark, tmp_path):
