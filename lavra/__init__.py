@@ -1 +1,9 @@
 """Clean, validated analytical tables from raw public data, as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so executors need no copy of
+# this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

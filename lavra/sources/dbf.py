@@ -24,6 +24,7 @@ PREFIX_BYTES = 32
 DESCRIPTOR_BYTES = 32
 NAME_BYTES = 11
 SIZE_POSITION = 16
+DECIMALS_POSITION = 17
 DESCRIPTORS_END = 0x0D
 LIVE_RECORD = 0x20
 BLANK_BYTES = (0x20, 0x00)
@@ -33,10 +34,14 @@ NUMBER_KINDS = "NF"
 
 @dataclass(frozen=True)
 class Field:
-    """A field to read: its name and its one-letter type."""
+    """A field to read: its name, its one-letter type and its decimal places.
+
+    A number without decimal places is a whole number; left open, a double.
+    """
 
     name: str
     kind: str = "C"
+    decimals: int | None = None
 
 
 @dataclass(frozen=True)
@@ -59,7 +64,8 @@ class Layout:
             if content[start] == DESCRIPTORS_END:
                 break
             name = bytes(content[start : start + NAME_BYTES]).split(b"\0")[0].decode("latin-1")
-            fields.append(Field(name, chr(content[start + NAME_BYTES])))
+            kind, decimals = chr(content[start + NAME_BYTES]), content[start + DECIMALS_POSITION]
+            fields.append(Field(name, kind, decimals))
             size = content[start + SIZE_POSITION]
             places[name] = slice(offset, offset + size)
             offset += size
@@ -183,7 +189,9 @@ def _texts(cells: np.ndarray, encoding: str) -> pa.Array:
 def _value(field: Field) -> Column:
     text = F.col(f"`{field.name}`")
     if field.kind in NUMBER_KINDS:
-        return F.translate(F.trim(F.translate(text, "*\0", "")), ",", ".").try_cast("double")
+        number = F.translate(F.trim(F.translate(text, "*\0", "")), ",", ".")
+        whole = field.kind == "N" and field.decimals == 0
+        return number.try_cast("long" if whole else "double")
     if field.kind == "D":
         return F.try_to_date(F.trim(text), "yyyyMMdd")
     if field.kind == "L":

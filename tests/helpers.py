@@ -20,14 +20,17 @@ def checks(frame) -> dict:
 
 
 def dbf_bytes(fields, records, encoding="latin-1", claimed=None, extra_header=b""):
-    """``fields``: (name, kind, size); ``records``: (flag, [text, ...])."""
+    """``fields``: (name, kind, size); ``records``: (flag, [text, ...]).
+
+    A name that ends in ``_2`` has two decimal places.
+    """
     record_bytes = 1 + sum(size for _, _, size in fields)
     header_bytes = 32 + 32 * len(fields) + 1 + len(extra_header)
     out = io.BytesIO()
     count = len(records) if claimed is None else claimed
     out.write(struct.pack("<4BIHH20x", 3, 24, 1, 1, count, header_bytes, record_bytes))
     for name, kind, size in fields:
-        out.write(struct.pack("<11sc4xBB14x", name.encode(), kind.encode(), size, 0))
+        out.write(struct.pack("<11sc4xBB14x", name.encode(), kind.encode(), size, 2 * name.endswith("_2")))
     out.write(b"\r" + extra_header)
     for flag, values in records:
         out.write(flag.encode())

@@ -174,14 +174,19 @@ def test_dbf_text_that_is_no_utf8_stops_the_job(spark, tmp_path):
 
 
 def test_dbf_types_and_subset_of_fields(spark, tmp_path):
-    fields = [("D", "D", 8), ("L", "L", 1), ("N", "N", 5), ("C", "C", 3)]
-    records = [(" ", ["20230105", "T", "-12", "a"]), (" ", ["20230231", "?", "1.5", ""])]
+    fields = [("D", "D", 8), ("L", "L", 1), ("N", "N", 5), ("N_2", "N", 6), ("C", "C", 3)]
+    records = [
+        (" ", ["20230105", "T", "-12", "1.50", "a"]),
+        (" ", ["20230231", "?", "", "2,25", ""]),
+    ]
     (tmp_path / "a.dbf").write_bytes(dbf_bytes(fields, records))
-    assert dbf.describe(spark, str(tmp_path)) == [dbf.Field(n, k) for n, k, _ in fields]
-    found = decode(spark, tmp_path, dbf.describe(spark, str(tmp_path))).drop("_arquivo")
-    assert rows(found) == [(date(2023, 1, 5), True, -12.0, "a"), (None, None, 1.5, "")]
+    described = dbf.describe(spark, str(tmp_path))
+    assert described == [dbf.Field(n, k, 2 * n.endswith("_2")) for n, k, _ in fields]
+    found = decode(spark, tmp_path, described).drop("_arquivo")
+    assert [t for _, t in found.dtypes] == ["date", "boolean", "bigint", "double", "string"]
+    assert rows(found) == [(date(2023, 1, 5), True, -12, 1.5, "a"), (None, None, None, 2.25, "")]
     subset = decode(spark, tmp_path, [dbf.Field("C"), dbf.Field("N", "N")]).drop("_arquivo")
-    assert rows(subset) == [("", 1.5), ("a", -12.0)]
+    assert rows(subset) == [("", None), ("a", -12.0)]
 
 
 def test_dbf_with_many_fields(spark, tmp_path):
