@@ -257,7 +257,8 @@ ENTRIES = {
            select ano, 'rows' as "check", n as observed, hours * 5 as expected,
                   n = hours * 5 as passed from y
            union all
-           select y.ano, 'stations with an unexpected row count', count_if(s.n <> hours), 0,
+           select y.ano, 'stations with an unexpected row count',
+                  cast(count_if(s.n <> hours) as bigint), 0,
                   count_if(s.n <> hours) = 0
            from y join s on y.ano = s.ano group by y.ano""",
     ),

@@ -144,15 +144,15 @@ ENTRIES = {
     ),
     "null_counts": Entry(
         null_counts,
-        f"""select count_if(trim(MUNIC_RES) = '') as MUNIC_RES,
-               count_if(try_strptime(DT_INTER, '%Y%m%d') is null) as DT_INTER,
-               count_if(try_strptime(DT_SAIDA, '%Y%m%d') is null) as DT_SAIDA,
-               count_if(trim(DIAG_PRINC) = '') as DIAG_PRINC from ({ORDERS_SQL})""",
+        f"""select cast(count_if(trim(MUNIC_RES) = '') as bigint) as MUNIC_RES,
+               cast(count_if(try_strptime(DT_INTER, '%Y%m%d') is null) as bigint) as DT_INTER,
+               cast(count_if(try_strptime(DT_SAIDA, '%Y%m%d') is null) as bigint) as DT_SAIDA,
+               cast(count_if(trim(DIAG_PRINC) = '') as bigint) as DIAG_PRINC from ({ORDERS_SQL})""",
     ),
     "null_or_blank_counts": Entry(
         null_or_blank_counts,
-        f"""select count_if(trim(data) = '') as data, count_if(trim(hora_utc) = '') as hora_utc,
-               count_if(trim(pressao_max_mb) = '') as pressao_max_mb from ({EVENTS_SQL})""",
+        f"""select cast(count_if(trim(data) = '') as bigint) as data, cast(count_if(trim(hora_utc) = '') as bigint) as hora_utc,
+               cast(count_if(trim(pressao_max_mb) = '') as bigint) as pressao_max_mb from ({EVENTS_SQL})""",
     ),
     "distinct_values": Entry(
         distinct_values,

@@ -119,7 +119,7 @@ def rows_of_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .groupBy("o_orderpriority")
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(ranks, "o_orderpriority", "left")
+        .join(F.broadcast(ranks), "o_orderpriority", "left")
     )
 
 

@@ -24,6 +24,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
 def plain(value):
     if isinstance(value, (datetime.datetime, datetime.date)):
         return value.isoformat()
@@ -44,6 +53,10 @@ def difference(df, con, sql: str) -> str | None:
     wanted_columns, wanted = sorted_rows(names, result.fetchall())
     if columns != wanted_columns:
         return f"columns {columns} != {wanted_columns}"
+    types = sorted((name, TYPES.get(kind, kind)) for name, kind in df.dtypes)
+    wanted_types = sorted((d[0], str(d[1])) for d in result.description)
+    if types != wanted_types:
+        return f"types {types} != {wanted_types}"
     if len(rows) != len(wanted):
         return f"{len(rows)} rows != {len(wanted)}"
     for row, want in zip(rows, wanted):
