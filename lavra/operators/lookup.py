@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +32,21 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys holding more than 1/64 of all rows: fewer than 64 by arithmetic."""
-    total = df.count()
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.filter(F.col("n") * HOT_PARTS > total).collect()]
+    """Keys holding more than 1/64 of the rows with a key, in one pass.
+
+    Fewer than 64 by arithmetic, so they are among the 64 most frequent.
+    """
+    seen = Observation()
+    most = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .observe(seen, F.sum("n").alias("total"))
+        .orderBy(F.desc("n"))
+        .limit(HOT_PARTS)
+        .collect()
+    )
+    return [row[0] for row in most if row["n"] * HOT_PARTS > seen.get["total"]]
 
 
 def lookup_left(
@@ -65,6 +76,8 @@ def lookup_left(
         return joined(fact, F.broadcast(side))
 
     hot = hot_keys(fact, fact_key)
+    if not hot and not fact.schema[fact_key].nullable:
+        return joined(fact, side)
     is_hot = F.coalesce(F.col(fact_key).isin(hot), F.lit(True)) if hot else F.col(fact_key).isNull()
     hot_side = side.filter(F.col(helper).isin(hot)) if hot else side.limit(0)
     if measured_bytes(hot_side) <= broadcast_bytes:

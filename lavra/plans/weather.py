@@ -17,11 +17,14 @@ from lavra.scratch import materialize
 from lavra.sinks import write_partitioned
 from lavra.sources.archive import chunk_lines, list_members, member_count_check, read_member_chunks
 from lavra.sources.delimited import (
-    CSV_OPTIONS,
     LINE_BREAK,
+    WHOLE_FILE_BYTES,
+    lines_below_header,
+    parsed_lines,
     preamble_columns,
     read_delimited,
-    read_preambles,
+    read_first_lines,
+    read_whole_files,
 )
 
 PREAMBLE = {**C.WEATHER_PREAMBLE_TEXTS, **C.WEATHER_PREAMBLE_NUMBERS}
@@ -36,23 +39,43 @@ def from_archives(
     )
     lines = F.slice(F.split("preambulo", LINE_BREAK), 1, C.WEATHER_PREAMBLE_LINES)
     described = chunks.withColumns(preamble_columns(lines, PREAMBLE))
-    parsed = F.from_csv("linha", C.WEATHER_RAW_SCHEMA.toDDL(), CSV_OPTIONS)
-    # As a generator the parse runs once per line; as a projection it would be
-    # repeated in every filter that Catalyst moves below it.
-    return chunk_lines(described, "_arquivo", *PREAMBLE).select(
-        "_arquivo", *PREAMBLE, F.inline(F.array(parsed))
-    )
+    body = chunk_lines(described, "_arquivo", *PREAMBLE)
+    return parsed_lines(body, "linha", C.WEATHER_RAW_SCHEMA, "_arquivo", *PREAMBLE)
+
 
+def from_folder(
+    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """Raw observations and preamble texts of all delimited files below a folder.
 
-def from_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Raw observations and preamble texts of all delimited files below a folder."""
-    body = read_delimited(spark, path, C.WEATHER_RAW_SCHEMA, C.WEATHER_ENCODING)
-    # Written once: it is both measured and joined.
-    preambles = materialize(
-        read_preambles(spark, path, PREAMBLE, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING),
-        "preambles",
+    A station file is small: it is read whole and once, and its lines carry its
+    preamble. Larger files are scanned in splits, and their preambles, few as
+    such files are, are joined by path.
+    """
+    whole = read_whole_files(spark, path, C.WEATHER_ENCODING, whole_file_bytes)
+    head = F.slice("linhas", 1, C.WEATHER_PREAMBLE_LINES)
+    small_lines = whole.select(
+        "_arquivo",
+        *(value.alias(name) for name, value in preamble_columns(head, PREAMBLE).items()),
+        F.explode(lines_below_header("linhas")).alias("linha"),
+    )
+    small = parsed_lines(small_lines, "linha", C.WEATHER_RAW_SCHEMA, "_arquivo", *PREAMBLE)
+
+    first_lines = read_first_lines(
+        spark, path, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING, whole_file_bytes
+    ).select(
+        "_arquivo",
+        *(value.alias(name) for name, value in preamble_columns(F.col("linhas"), PREAMBLE).items()),
+    )
+    large = lookup_left(
+        read_delimited(spark, path, C.WEATHER_RAW_SCHEMA, C.WEATHER_ENCODING, whole_file_bytes),
+        # Written once: it is both measured and joined.
+        materialize(first_lines, "preambles"),
+        "_arquivo",
+        "_arquivo",
+        PREAMBLE,
     )
-    return lookup_left(body, preambles, "_arquivo", "_arquivo", PREAMBLE)
+    return small.unionByName(large)
 
 
 def clean(raw: DataFrame, year: int | Column) -> DataFrame:

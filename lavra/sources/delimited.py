@@ -23,11 +23,13 @@ def read_delimited(
     path: str | list[str],
     schema: T.StructType,
     encoding: str = "ISO-8859-1",
+    larger_than: int = -1,
 ) -> DataFrame:
     """All delimited files below ``path`` as one scan, with ``_arquivo``.
 
     The first line of each file is dropped as a header. Short rows are filled
-    with NULL and surplus fields are dropped.
+    with NULL and surplus fields are dropped. ``larger_than`` leaves out files
+    of at most so many bytes, by their listing.
     """
     return (
         spark.read.options(**CSV_OPTIONS)
@@ -36,48 +38,46 @@ def read_delimited(
         .option("recursiveFileLookup", "true")
         .schema(schema)
         .csv(path)
+        .filter(F.col("_metadata.file_size") > larger_than)
         .withColumn("_arquivo", F.col("_metadata.file_path"))
     )
 
 
-def preamble_columns(lines: Column, labels: Mapping[str, str]) -> dict[str, Column]:
-    """One column per label, from an array of preamble lines."""
-    return {name: last_value_of(lines, label) for name, label in labels.items()}
-
-
-def read_preambles(
-    spark: SparkSession,
-    path: str,
-    labels: Mapping[str, str],
-    lines: int = 8,
-    encoding: str = "ISO-8859-1",
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+def read_whole_files(
+    spark: SparkSession, path: str, encoding: str, at_most: int = WHOLE_FILE_BYTES
 ) -> DataFrame:
-    """One row per file: ``_arquivo`` and the value of each label in its first lines.
-
-    Small files are read whole, which needs no shuffle. Of larger ones only
-    the lines of the first block are ranked, so no file is held in memory. The
-    size filter is applied to the file listing: each file is read by one of the
-    two ways only.
-    """
-    file_path = F.col("_metadata.file_path").alias("_arquivo")
-    small = (
+    """``_arquivo`` and all lines of each file of at most so many bytes."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .filter(F.col("length") <= whole_file_bytes)
+        .filter(F.col("length") <= at_most)
         .select(
-            file_path,
-            F.slice(F.split(F.decode("content", encoding), LINE_BREAK), 1, lines).alias("__lines"),
+            F.col("_metadata.file_path").alias("_arquivo"),
+            F.split(F.decode("content", encoding), LINE_BREAK).alias("linhas"),
         )
     )
+
+
+def read_first_lines(
+    spark: SparkSession, path: str, lines: int, encoding: str, larger_than: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """``_arquivo`` and the first lines of each larger file.
+
+    Only lines of the first block of a file are ranked, so no file is held in
+    memory.
+    """
     in_order = Window.partitionBy("_arquivo").orderBy("__order")
-    large = (
+    return (
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
-        .filter(F.col("_metadata.file_size") > whole_file_bytes)
+        .filter(F.col("_metadata.file_size") > larger_than)
         .filter(F.col("_metadata.file_block_start") == 0)
-        .select(file_path, F.monotonically_increasing_id().alias("__order"), "value")
+        .select(
+            F.col("_metadata.file_path").alias("_arquivo"),
+            F.monotonically_increasing_id().alias("__order"),
+            "value",
+        )
         .withColumn("__rank", F.row_number().over(in_order))
         .filter(F.col("__rank") <= lines)
         .groupBy("_arquivo")
@@ -85,10 +85,51 @@ def read_preambles(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("__rank", "value"))),
                 lambda line: F.decode(line["value"].cast("binary"), encoding),
-            ).alias("__lines")
+            ).alias("linhas")
         )
     )
+
+
+def parsed_lines(df: DataFrame, line: str, schema: T.StructType, *keep: str) -> DataFrame:
+    """The columns to keep and the fields of each delimited line.
+
+    As a generator the parse runs once per line; as a projection it would be
+    repeated in every filter that Catalyst moves below it.
+    """
+    fields = F.from_csv(line, schema.toDDL(), CSV_OPTIONS)
+    return df.select(*keep, F.inline(F.array(fields)))
+
+
+def lines_below_header(lines: str) -> Column:
+    """All lines that are not blank, but for the first of them."""
+    solid = F.filter(lines, lambda line: F.trim(line) != "")
+    return F.slice(solid, F.lit(2), F.greatest(F.size(lines), F.lit(0)))
+
+
+def preamble_columns(lines: Column, labels: Mapping[str, str]) -> dict[str, Column]:
+    """One column per label, from an array of preamble lines."""
+    return {name: last_value_of(lines, label) for name, label in labels.items()}
+
+
+def read_preambles(
+    spark: SparkSession,
+    path: str,
+    labels: Mapping[str, str],
+    lines: int = 8,
+    encoding: str = "ISO-8859-1",
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
+    """One row per file: ``_arquivo`` and the value of each label in its first lines.
+
+    Small files are read whole, which needs no shuffle; larger ones are not. The
+    size filter is applied to the file listing, so each file is read by one of
+    the two ways only.
+    """
+    small = read_whole_files(spark, path, encoding, whole_file_bytes).withColumn(
+        "linhas", F.slice("linhas", 1, lines)
+    )
+    large = read_first_lines(spark, path, lines, encoding, whole_file_bytes)
     return small.unionByName(large).select(
         "_arquivo",
-        *(value.alias(name) for name, value in preamble_columns(F.col("__lines"), labels).items()),
+        *(value.alias(name) for name, value in preamble_columns(F.col("linhas"), labels).items()),
     )

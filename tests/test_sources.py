@@ -102,7 +102,8 @@ def test_archive_lines_do_not_depend_on_the_chunk_size(spark, tmp_path, size):
     assert chunks.select("membro", "preambulo").distinct().count() == 3
 
 
-def test_archive_and_folder_give_the_same_observations(spark, tmp_path):
+@pytest.mark.parametrize("whole", [delimited.WHOLE_FILE_BYTES, 0])
+def test_archive_and_folder_give_the_same_observations(spark, tmp_path, whole):
     (tmp_path / "zip").mkdir()
     (tmp_path / "csv").mkdir()
     write_zip(tmp_path / "zip" / "2023.zip", members())
@@ -110,7 +111,7 @@ def test_archive_and_folder_give_the_same_observations(spark, tmp_path):
         if "SE_SP_A7" in name:
             (tmp_path / "csv" / name.split("/")[-1]).write_bytes(content)
     zipped = weather.clean(weather.from_archives(spark, str(tmp_path / "zip")), 2023)
-    loose = weather.clean(weather.from_folder(spark, str(tmp_path / "csv")), 2023)
+    loose = weather.clean(weather.from_folder(spark, str(tmp_path / "csv"), whole), 2023)
     assert zipped.columns == C.WEATHER_SILVER_COLUMNS and len(zipped.columns) == 28
     assert rows(zipped) == rows(loose)
     assert zipped.count() == 48
@@ -118,6 +119,18 @@ def test_archive_and_folder_give_the_same_observations(spark, tmp_path):
     assert (first["codigo_estacao"], first["estacao"], first["latitude"]) == ("A701", "MARÍLIA", -22.23)
 
 
+def test_small_and_large_files_are_parsed_alike(spark, tmp_path):
+    odd = ["", "   ", '"2023/01/01";"0000 UTC";",8"', " 2023/01/01;0100 UTC;1", *LINES]
+    (tmp_path / "a.csv").write_bytes(station_text(odd))
+    (tmp_path / "b.csv").write_bytes(station_text(odd, ["", *PREAMBLE]))
+    (tmp_path / "c.csv").write_bytes(b"")
+    columns = ["data", "hora_utc", *C.WEATHER_MEASURES, *weather.PREAMBLE]
+    small = weather.from_folder(spark, str(tmp_path)).select(columns)
+    large = weather.from_folder(spark, str(tmp_path), 0).select(columns)
+    assert rows(small) == rows(large)
+    assert small.filter(F.col("data").rlike(C.WEATHER_DATE_PATTERN)).count() == 8
+
+
 FIELDS = [("CD_MUN", "C", 7), ("NM_MUN", "C", 12), ("SIGLA_UF", "C", 2), ("AREA_KM2", "N", 9)]
 WANTED = [dbf.Field(n, k) for n, k, _ in FIELDS]
 RECORDS = [
