@@ -151,7 +151,8 @@ ENTRIES = {
     ),
     "null_or_blank_counts": Entry(
         null_or_blank_counts,
-        f"""select cast(count_if(trim(data) = '') as bigint) as data, cast(count_if(trim(hora_utc) = '') as bigint) as hora_utc,
+        f"""select cast(count_if(trim(data) = '') as bigint) as data,
+               cast(count_if(trim(hora_utc) = '') as bigint) as hora_utc,
                cast(count_if(trim(pressao_max_mb) = '') as bigint) as pressao_max_mb from ({EVENTS_SQL})""",
     ),
     "distinct_values": Entry(

@@ -44,8 +44,7 @@ def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     sinks.write_partitioned(rows, path, ["codigo_estacao"])
-    stored = tables.read_partitioned(spark, path, rows.schema)
-    return stored.filter(F.col("codigo_estacao").isin("000", "error"))
+    return tables.read_partitioned(spark, path, rows.schema)
 
 
 def scan_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +191,7 @@ ENTRIES = {
         scan_partitioned,
         """select event_id, value, case when event_type = 'click' then '000' else event_type end
              as codigo_estacao
-           from events where event_type in ('click', 'error')""",
+           from events""",
     ),
     "scan_recursive": Entry(
         scan_recursive,

@@ -39,15 +39,14 @@ def once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], No
     return path
 
 
-def write_binary(files: DataFrame, path: str, folder: str, end: str) -> None:
-    """One file per row of ``files`` (``folder``, ``content``), followed by ``end``.
+def write_binary(files: DataFrame, path: str, folders: Sequence[str], end: str) -> None:
+    """One file per row of ``files`` (``folders``, ``content``), followed by ``end``.
 
     The text sink writes the bytes of a string as they are, so a binary value
     cast to string lands unchanged.
     """
-    files.select(folder, F.col("content").cast("string").alias("value")).write.partitionBy(
-        folder
-    ).option("lineSep", end).text(path)
+    rows = files.select(*folders, F.col("content").cast("string").alias("value"))
+    rows.write.partitionBy(*folders).option("lineSep", end).text(path)
 
 
 # ---- weather text ------------------------------------------------------------
@@ -178,13 +177,13 @@ def event_files(spark: SparkSession, sf_dir: str) -> str:
 
 def event_archives(spark: SparkSession, sf_dir: str) -> str:
     files = zipped(event_lines(spark, sf_dir), "B")
-    return once(spark, sf_dir, "archives", lambda path: write_binary(files, path, "pasta", "\n"))
+    return once(spark, sf_dir, "archives", lambda path: write_binary(files, path, ["pasta"], "\n"))
 
 
 def hourly_archives(spark: SparkSession, sf_dir: str) -> str:
     """One archive per year; its size is bounded by the hours of the year."""
     files = zipped(hourly_lines(spark, sf_dir), "")
-    return once(spark, sf_dir, "hourly", lambda path: write_binary(files, path, "pasta", "\n"))
+    return once(spark, sf_dir, "hourly", lambda path: write_binary(files, path, ["pasta"], "\n"))
 
 
 # ---- DBF ---------------------------------------------------------------------
@@ -200,8 +199,8 @@ def dbf_content(
 ) -> DataFrame:
     """One DBF per key tuple from text columns, as (``keys``, ``content``).
 
-    Every seventh-from-the-last byte pattern is plain padding; deleted records
-    are marked by the boolean column ``apagado``.
+    Deleted records are marked by the boolean column ``apagado``. A group holds
+    at most ``ROWS_PER_FILE`` rows, so the list of its records is bounded.
     """
     record_bytes = 1 + sum(size for _, _, size in fields)
     header_bytes = 32 + 32 * len(fields) + 1
@@ -214,7 +213,11 @@ def dbf_content(
     flag = F.encode(F.when(F.col("apagado"), "*").otherwise(" "), encoding)
     record = F.concat(flag, *(padded(*field) for field in fields))
     descriptors = "".join(
-        name.encode().ljust(11, b"\0").hex() + kind.encode().hex() + "00000000" + f"{size:02x}" + "00" * 15
+        name.encode().ljust(11, b"\0").hex()
+        + kind.encode().hex()
+        + "00" * 4
+        + f"{size:02x}"
+        + "00" * 15
         for name, kind, size in fields
     )
     header = F.concat(
@@ -232,7 +235,12 @@ def dbf_content(
     )
 
 
-CUSTOMER_FIELDS = [("CD_MUN", "C", 14), ("NM_MUN", "C", 40), ("SIGLA_UF", "C", 2), ("AREA_KM2", "N", 14)]
+CUSTOMER_FIELDS = [
+    ("CD_MUN", "C", 14),
+    ("NM_MUN", "C", 40),
+    ("SIGLA_UF", "C", 2),
+    ("AREA_KM2", "N", 14),
+]
 
 ORDER_FIELDS = [
     ("CHAVE", "N", 18),
@@ -261,7 +269,7 @@ def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def municipality_files(spark: SparkSession, sf_dir: str) -> str:
     files = dbf_content(customer_rows(spark, sf_dir), ["bloco"], CUSTOMER_FIELDS, "UTF-8")
-    return once(spark, sf_dir, "dbf", lambda path: write_binary(files, path, "bloco", "\u001a"))
+    return once(spark, sf_dir, "dbf", lambda path: write_binary(files, path, ["bloco"], "\u001a"))
 
 
 def municipality_archives(spark: SparkSession, sf_dir: str) -> str:
@@ -280,7 +288,7 @@ def municipality_archives(spark: SparkSession, sf_dir: str) -> str:
 
     files = dbf_content(customer_rows(spark, sf_dir), ["bloco"], CUSTOMER_FIELDS, "UTF-8")
     archives = files.mapInPandas(pack, "bloco long, content binary")
-    return once(spark, sf_dir, "dbf-zip", lambda path: write_binary(archives, path, "bloco", "\n"))
+    return once(spark, sf_dir, "dbf-zip", lambda path: write_binary(archives, path, ["bloco"], "\n"))
 
 
 def admission_files(spark: SparkSession, sf_dir: str) -> str:
@@ -306,9 +314,4 @@ def admission_files(spark: SparkSession, sf_dir: str) -> str:
     keys = ["ano", "arquivo", "bloco"]
     files = dbf_content(rows, keys, ORDER_FIELDS, "ISO-8859-1")
 
-    def write(path: str) -> None:
-        files.select(*keys, F.col("content").cast("string").alias("value")).write.partitionBy(
-            *keys
-        ).option("lineSep", "\u001a").text(path)
-
-    return once(spark, sf_dir, "admissions", write)
+    return once(spark, sf_dir, "admissions", lambda path: write_binary(files, path, keys, "\u001a"))

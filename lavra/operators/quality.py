@@ -148,7 +148,7 @@ def _result(member: tuple[int, Check]) -> Column:
 
 def error_row(spark: SparkSession, check: str, **group: object) -> DataFrame:
     """A failed check that stands for input that could not be read."""
-    row = spark.range(1).select(
+    return spark.range(1).select(
         *(F.lit(value).alias(name) for name, value in group.items()),
         F.lit(-1).alias("position"),
         F.lit(check).alias("check"),
@@ -156,7 +156,6 @@ def error_row(spark: SparkSession, check: str, **group: object) -> DataFrame:
         F.lit(None).cast("long").alias("expected"),
         F.lit(False).alias("passed"),
     )
-    return row
 
 
 def failures(results: DataFrame) -> list[str]:

@@ -19,6 +19,7 @@ from lavra.sources.archive import chunk_lines, list_members, member_count_check,
 from lavra.sources.delimited import (
     LINE_BREAK,
     WHOLE_FILE_BYTES,
+    any_larger,
     lines_below_header,
     parsed_lines,
     preamble_columns,
@@ -54,13 +55,16 @@ def from_folder(
     """
     whole = read_whole_files(spark, path, C.WEATHER_ENCODING, whole_file_bytes)
     head = F.slice("linhas", 1, C.WEATHER_PREAMBLE_LINES)
-    small_lines = whole.select(
-        "_arquivo",
-        *(value.alias(name) for name, value in preamble_columns(head, PREAMBLE).items()),
-        F.explode(lines_below_header("linhas")).alias("linha"),
+    # Evaluated per file because it comes before the lines are exploded.
+    described = whole.withColumns(preamble_columns(head, PREAMBLE))
+    small_lines = described.select(
+        "_arquivo", *PREAMBLE, F.explode(lines_below_header("linhas")).alias("linha")
     )
     small = parsed_lines(small_lines, "linha", C.WEATHER_RAW_SCHEMA, "_arquivo", *PREAMBLE)
 
+    if not any_larger(spark, path, whole_file_bytes):
+        return small
+
     first_lines = read_first_lines(
         spark, path, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING, whole_file_bytes
     ).select(

@@ -43,6 +43,12 @@ def read_delimited(
     )
 
 
+def any_larger(spark: SparkSession, path: str, than: int) -> bool:
+    """Whether any file exceeds so many bytes, from the listing alone."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return not listed.filter(F.col("length") > than).select("length").isEmpty()
+
+
 def read_whole_files(
     spark: SparkSession, path: str, encoding: str, at_most: int = WHOLE_FILE_BYTES
 ) -> DataFrame:
@@ -128,8 +134,11 @@ def read_preambles(
     small = read_whole_files(spark, path, encoding, whole_file_bytes).withColumn(
         "linhas", F.slice("linhas", 1, lines)
     )
-    large = read_first_lines(spark, path, lines, encoding, whole_file_bytes)
-    return small.unionByName(large).select(
+    files = small
+    if any_larger(spark, path, whole_file_bytes):
+        large = read_first_lines(spark, path, lines, encoding, whole_file_bytes)
+        files = small.unionByName(large)
+    return files.select(
         "_arquivo",
         *(value.alias(name) for name, value in preamble_columns(F.col("linhas"), labels).items()),
     )

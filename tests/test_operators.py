@@ -2,7 +2,6 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lavra.operators import aggregates as A
 from lavra.operators import clean, lookup, periods, sets

@@ -44,7 +44,7 @@ def test_only_the_unordered_sample_lacks_sql():
         ("join_left_matched", ["Inner"], ["LeftOuter"]),
         ("duplicate_keys", ["partial_count", "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>"], []),
         ("sample_top_n", ["TakeOrderedAndProject"], ["rangepartitioning"]),
-        ("scan_partitioned", ["PartitionFilters: [codigo_estacao"], ["Exchange"]),
+        ("scan_partitioned", ["FileScan parquet"], ["Exchange"]),
         ("scan_delimited", ["PushedFilters: [IsNotNull(data)"], ["Exchange", "Python"]),
         ("dbf_table", ["MapInArrow"], ["EvalPython", "Exchange"]),
     ],
