@@ -16,7 +16,7 @@ from lavra.operators.sets import union_by_name
 from lavra.scratch import materialize, new_folder
 from lavra.sinks import write_periods, write_table
 from lavra.sources.dbf import Field, decode_dbf, read_dbf_files, split_files
-from lavra.sources.landing import landed_files
+from lavra.sources.landing import MONTHLY_TABLE, landed_files, landed_months
 
 PERIOD = ["ano", "mes"]
 
@@ -32,7 +32,9 @@ class Enrichment:
     present: str = "NM_MUN"
 
 
-def stage_dbf(spark: SparkSession, path: str, fields: Sequence[Field]) -> DataFrame:
+def stage_dbf(
+    spark: SparkSession, path: str, fields: Sequence[Field], keep_going: bool = False
+) -> DataFrame:
     """Landed DBF files as a Parquet table in the shared folder.
 
     Fixed-width files are decoded once; all later passes read only the columns
@@ -42,12 +44,28 @@ def stage_dbf(spark: SparkSession, path: str, fields: Sequence[Field]) -> DataFr
     files = read_dbf_files(spark, path)
     if landed_files(spark, path).count() < spark.sparkContext.defaultParallelism:
         files = split_files(files)
-    rows = decode_dbf(files, fields, "ISO-8859-1")
+    rows = decode_dbf(files, fields, "ISO-8859-1", keep_going=keep_going)
     staged = new_folder(spark, "admissions")
     write_table(rows, staged, codec="snappy", max_records=C.DBF_BATCH_RECORDS)
     return spark.read.schema(rows.schema).parquet(staged)
 
 
+def stage_months(
+    spark: SparkSession, path: str, fields: Sequence[Field], pattern: str = MONTHLY_TABLE
+) -> tuple[DataFrame, DataFrame]:
+    """All landed months: their rows, and the periods that could not be read.
+
+    Rows carry ``ano`` and ``mes`` of their file; an unreadable period has
+    ``ano``, ``mes`` and ``motivo``. Both come from one staged table.
+    """
+    staged = landed_months(stage_dbf(spark, path, fields, keep_going=True), pattern, "_arquivo")
+    rows = staged.filter(F.col("_erro").isNull()).drop("_erro", "_arquivo")
+    unreadable = staged.filter(F.col("_erro").isNotNull()).select(
+        *PERIOD, F.col("_erro").alias("motivo")
+    )
+    return rows, unreadable.distinct()
+
+
 def clean(raw: DataFrame, spec: Enrichment = Enrichment()) -> DataFrame:
     """Blank texts to NULL, then the date columns from text to dates."""
     return parse_dates(blanks_to_null(raw), spec.date_columns)
@@ -130,11 +148,13 @@ def run_periods(
     spec: Enrichment = Enrichment(),
     extra_checks: Sequence[Q.Check] = (),
     clustered: bool = False,
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """All periods in one job; a bad period is not written and stops no other.
 
     ``raw`` carries ``ano`` and ``mes``. Returns one status row per expected
-    period. Only passing periods are written; the others keep what they had.
+    period. Only passing periods are written; the others keep what they had. A
+    period in ``unreadable`` (``ano``, ``mes``, ``motivo``) has failed already.
     With ``clustered``, because each file of ``raw`` holds one period, no fact
     row is shuffled at all.
     """
@@ -145,6 +165,17 @@ def run_periods(
     if extra_checks:
         extra = Q.evaluate(cleaned, extra_checks, PERIOD)
         judged.append(extra.withColumn("position", F.col("position") + len(conservation_checks())))
+    if unreadable is not None:
+        judged.append(
+            unreadable.select(
+                *PERIOD,
+                F.lit(-1).alias("position"),
+                F.col("motivo").alias("check"),
+                F.lit(None).cast("long").alias("observed"),
+                F.lit(None).cast("long").alias("expected"),
+                F.lit(False).alias("passed"),
+            )
+        )
     status = materialize(period_status(union_by_name(judged), expected), "period-status")
     # One row per expected month, so its size is that of the calendar.
     passing = F.broadcast(status.filter(F.col("status") == "OK").select(*PERIOD))

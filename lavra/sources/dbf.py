@@ -97,18 +97,26 @@ def split_files(files: DataFrame, batch_records: int = DBF_BATCH_RECORDS) -> Dat
     a batch of whole records.
     """
 
+    def piece_of(path: str, content: bytes, part: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"_arquivo": [path], "content": [content], "parte": [part]}
+        )
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in _contents(batches):
-            layout = Layout.of(content)
+            try:
+                layout = Layout.of(content)
+            except (struct.error, IndexError):
+                # Passed on as it is; decoding complains about it.
+                yield piece_of(path, bytes(content), 0)
+                continue
             for part, start in enumerate(range(0, max(1, layout.records), batch_records)):
                 count = min(batch_records, layout.records - start)
                 header = bytearray(content[: layout.header_bytes])
                 struct.pack_into("<I", header, COUNT_POSITION, count)
                 first = layout.header_bytes + start * layout.record_bytes
-                piece = bytes(header) + bytes(content[first : first + count * layout.record_bytes])
-                yield pa.RecordBatch.from_pydict(
-                    {"_arquivo": [path], "content": [piece], "parte": [part]}
-                )
+                records = bytes(content[first : first + count * layout.record_bytes])
+                yield piece_of(path, bytes(header) + records, part)
 
     pieces = files.select("_arquivo", "content").mapInArrow(
         split, "_arquivo string, content binary, parte long"
@@ -123,22 +131,45 @@ def decode_dbf(
     encoding: str,
     exact_fields: bool = False,
     batch_records: int = DBF_BATCH_RECORDS,
+    keep_going: bool = False,
 ) -> DataFrame:
     """The live records of all files, with ``_arquivo``.
 
-    A file that lacks a field fails the job, as does, with ``exact_fields``, one
-    whose field list is not exactly the given one. Text loses its padding, bad
+    A file that is no DBF or lacks a field fails the job, as does, with
+    ``exact_fields``, one whose field list is not exactly the given one. With
+    ``keep_going`` such a file yields a single row instead, with the complaint in
+    ``_erro``, which is NULL in all other rows. Text loses its padding, bad
     numbers and dates become NULL. Every file is one task, and rows leave it as
     they are cut, so that no more than a batch is held beside the file.
     """
     names = [field.name for field in fields]
+    columns = ["_arquivo", "_erro", *names]
+
+    def layout_of(content: memoryview) -> Layout:
+        try:
+            layout = Layout.of(content)
+        except (struct.error, IndexError):
+            raise ValueError("no DBF header") from None
+        found = [field.name for field in layout.fields]
+        if found != names if exact_fields else not set(names) <= set(found):
+            raise ValueError(f"unexpected fields: wanted {names}, found {found}")
+        return layout
+
+    def record_batch(path: str, count: int, errors: pa.Array, texts: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([path] * count, pa.string()), errors, *texts], columns
+        )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in _contents(batches):
-            layout = Layout.of(content)
-            found = [field.name for field in layout.fields]
-            if found != names if exact_fields else not set(names) <= set(found):
-                raise ValueError(f"unexpected fields in {path}: wanted {names}, found {found}")
+            try:
+                layout = layout_of(content)
+            except ValueError as problem:
+                if not keep_going:
+                    raise ValueError(f"{problem} in {path}") from None
+                error = pa.array([str(problem)], pa.string())
+                yield record_batch(path, 1, error, [pa.nulls(1, pa.string())] * len(names))
+                continue
             body = np.frombuffer(
                 content, np.uint8, layout.records * layout.record_bytes, layout.header_bytes
             ).reshape(layout.records, layout.record_bytes)
@@ -146,13 +177,12 @@ def decode_dbf(
                 part = body[start : start + batch_records]
                 live = part[part[:, 0] == LIVE_RECORD]
                 texts = [_texts(live[:, layout.places[name]], encoding) for name in names]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(live), pa.string()), *texts], ["_arquivo", *names]
-                )
+                yield record_batch(path, len(live), pa.nulls(len(live), pa.string()), texts)
 
-    schema = ", ".join(["_arquivo string", *(f"`{name}` string" for name in names)])
+    schema = ", ".join(f"`{name}` string" for name in columns)
     records = files.select("_arquivo", "content").mapInArrow(cut, schema)
-    return records.select("_arquivo", *(_value(field).alias(field.name) for field in fields))
+    kept = columns[:2] if keep_going else columns[:1]
+    return records.select(*kept, *(_value(field).alias(field.name) for field in fields))
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, memoryview]]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# year/RDSPyymm.dbc and year/year.zip; directories may be named (ano=2023).
+# year/RDSPyymm.dbc, its unpacked form with .dbf, and year/year.zip; directories may be named (ano=2023).
 MONTHLY_FILE = r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?RDSP(\d{2})(\d{2})\.dbc(?:/|$)"
+MONTHLY_TABLE = MONTHLY_FILE.replace("dbc", "dbf")
 YEARLY_FILE = r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(\d{4})\.zip(?:/|$)"
 
 
@@ -19,19 +20,19 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def landed_months(files: DataFrame, pattern: str = MONTHLY_FILE) -> DataFrame:
-    """``ano``, ``mes`` and path of the monthly files.
+def landed_months(files: DataFrame, pattern: str = MONTHLY_FILE, path: str = "arquivo") -> DataFrame:
+    """``ano`` and ``mes`` of the monthly files, and what else ``files`` has.
 
     A file counts only if its two-digit year is that of its directory.
     """
-    year = F.regexp_extract("arquivo", pattern, 1)
+    year = F.regexp_extract(path, pattern, 1)
     return files.filter(
-        F.col("arquivo").rlike(pattern)
-        & (F.substring(year, 3, 2) == F.regexp_extract("arquivo", pattern, 2))
+        F.col(path).rlike(pattern)
+        & (F.substring(year, 3, 2) == F.regexp_extract(path, pattern, 2))
     ).select(
         year.try_cast("int").alias("ano"),
-        F.regexp_extract("arquivo", pattern, 3).try_cast("int").alias("mes"),
-        "arquivo",
+        F.regexp_extract(path, pattern, 3).try_cast("int").alias("mes"),
+        *files.columns,
     )
 
 

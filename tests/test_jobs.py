@@ -101,6 +101,42 @@ def test_a_bad_period_is_not_written_and_stops_no_other(spark, tmp_path, raw, di
     assert rows(spark.read.parquet(path).groupBy("mes").count()) == [(1, 2), (2, 1)]
 
 
+def test_an_unreadable_month_stops_no_other(spark, tmp_path, dimension):
+    names = ["MUNIC_RES", "DT_INTER", "DT_SAIDA", "NASC", "DIAG_PRINC"]
+    fields = [(n, "C", 8) for n in names]
+    good = dbf_bytes(fields, [(" ", ["352900", "20230105", "", "", "A00"])] * 3)
+    folder = tmp_path / "landing" / "2023"
+    folder.mkdir(parents=True)
+    (folder / "RDSP2301.dbf").write_bytes(good)
+    (folder / "RDSP2302.dbf").write_bytes(b"x")
+    (folder / "RDSP2303.dbf").write_bytes(dbf_bytes(fields[:2], [(" ", ["352900", "x"])]))
+    (folder / "RDSP2304.dbf").write_bytes(good)
+    (folder / "leiame.dbf").write_bytes(b"")
+    wanted = [Field(n) for n in names]
+    rows_found, unreadable = admissions.stage_months(spark, str(tmp_path / "landing"), wanted)
+    first, last = periods.month_range(2023, 1, 2023, 5, C.ADMISSION_FIRST_YEAR)
+    status = admissions.run_periods(
+        rows_found,
+        dimension,
+        str(tmp_path / "silver"),
+        periods.month_spine(spark, first, last),
+        unreadable=unreadable,
+    )
+    found = {r["mes"]: (r["status"], (r["motivo"] or "").split(":")[0]) for r in status.collect()}
+    assert found == {
+        1: ("OK", ""),
+        2: ("ERRO", "no DBF header"),
+        3: ("ERRO", "unexpected fields"),
+        4: ("OK", ""),
+        5: ("ERRO", "no rows landed"),
+    }
+    stored = spark.read.parquet(str(tmp_path / "silver"))
+    assert rows(stored.groupBy("ano", "mes").count()) == [(2023, 1, 3), (2023, 4, 3)]
+    # Whichever bad file comes first.
+    with pytest.raises(Exception, match="no DBF header|unexpected fields"):
+        admissions.stage_dbf(spark, str(tmp_path / "landing"), wanted)
+
+
 def test_municipality_dimension(spark, tmp_path):
     fields = [("CD_MUN", "C", 7), ("NM_MUN", "C", 20), ("SIGLA_UF", "C", 2), ("AREA_KM2", "N", 9)]
     records = [(" ", ["3529005", "Marília", "SP", "1170.515"]), (" ", ["3500105", "Adamantina ", "SP", ""])]

@@ -1,5 +1,7 @@
 from pathlib import Path
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from lavra import scratch, sinks
@@ -78,3 +80,18 @@ def test_materialized_tables_live_in_the_shared_folder(spark):
     assert rows(stored) == rows(df)
     assert scratch.shared_folder(spark) in plan(stored)
     assert "Range" not in plan(stored)
+
+
+def session(master, **settings):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: settings.get(name.replace(".", "_"), default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_the_shared_folder_is_the_one_the_cluster_names():
+    named = session("spark://x", spark_checkpoint_dir="hdfs:///shared/")
+    assert scratch.shared_folder(named) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(session("spark://x"))
+    assert Path(scratch.shared_folder(session("local[2]"))).is_dir()
