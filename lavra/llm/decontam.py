@@ -151,15 +151,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     passes = []
 
     def one_pass(items: list) -> DataFrame:
-        phrases = spark.sparkContext.broadcast(Phrases(items, window))
+        sent = spark.sparkContext.broadcast(items)
 
         def run(batches):
+            phrases = Phrases(sent.value, window)
             for held, texts in _groups(batches, shard_words):
-                result = iter(phrases.value.search(texts))
+                result = iter(phrases.search(texts))
                 at = 0
                 for chunk in held:
                     here = [next(result) for _ in range(chunk.num_rows)]
-                    names = phrases.value.items
+                    names = phrases.items
                     yield pa.RecordBatch.from_arrays(
                         [
                             chunk.column("doc_id"),
@@ -224,11 +225,12 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WI
     spark = docs.sparkSession
     names = docs.columns
     for items in item_blocks(benchmark, "item_id"):
-        phrases = spark.sparkContext.broadcast(Phrases(items, window))
+        sent = spark.sparkContext.broadcast(items)
 
-        def run(batches, phrases=phrases):
+        def run(batches, sent=sent):
+            phrases = Phrases(sent.value, window)
             for held, texts in _groups(batches, shard_words):
-                result, at = phrases.value.search(texts), 0
+                result, at = phrases.search(texts), 0
                 for chunk in held:
                     said, keep = chunk.column("text").to_pylist(), np.ones(chunk.num_rows, bool)
                     for i in range(chunk.num_rows):
@@ -237,7 +239,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WI
                             said[i] = _cut(said[i], hit)
                             again = words_of(said[i])
                             keep[i] = bool(again)
-                            ((hit, _),) = phrases.value.search([again])
+                            ((hit, _),) = phrases.search([again])
                     at += chunk.num_rows
                     columns = {n: chunk.column(n) for n in names}
                     columns["text"] = pa.array(said, pa.string())

@@ -116,6 +116,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY)
     """
     spark = docs.sparkSession
     coded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(tokenizer, end_id, capacity), "doc_id long, head long, crcs array<long>")
+    # Written first: dealing by ranges samples its input, which would encode all texts twice.
+    coded = stage(coded, "coded")
     ranked = rank_within(coded, ["head"], [F.col("doc_id")], "nth", "pieces")
     found = coded_summary(ranked)
     counts = {row["head"]: row["docs"] for row in found}

@@ -27,12 +27,58 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.secret_scan import digest, scan_secrets
+
+    return digest(scan_secrets(documents(spark, sf_dir)))
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.jaccard import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
+
+
+def op4_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.decontam import find_contamination
+
+    found = find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + (s["end"] - s["first"]))
+    named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(named.cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op5_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lavra.llm.sharding import assign_shards
 
     return assign_shards(documents(spark, sf_dir), 16).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.quality import judge
+
+    return judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.license_scan import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.html_text import extract_text
+
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lavra.llm.packing import pack
 
@@ -47,7 +93,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_wavelet_tokens, op5_lpt_shards, op9_best_fit_packing, op10_line_dedup)
+    found = (
+        op1_wavelet_tokens,
+        op2_secret_scan,
+        op3_jaccard_join,
+        op4_fm_decontamination,
+        op5_lpt_shards,
+        op6_quality_rules,
+        op7_license_scan,
+        op8_html_text,
+        op9_best_fit_packing,
+        op10_line_dedup,
+    )
     return {query.__name__: query for query in found}
 
 
