@@ -26,7 +26,7 @@ GROUP_LEAST = 200
 #: How many times the spread between the quartiles a value may lie beyond them.
 REACH = 8.0
 #: Metric, and the least spread that counts: groups of near equal documents are not judged by noise.
-METRICS = {"word_length": 1.0, "symbol_ratio": 0.02, "dup_line_ratio": 0.05, "repeat_ratio": 0.03}
+METRICS = {"word_length": 1.0, "symbol_ratio": 0.02, "dup_line_ratio": 0.07, "repeat_ratio": 0.04}
 
 _U = np.uint64
 _STEPS = [_U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9), _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)]
