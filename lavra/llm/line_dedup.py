@@ -19,6 +19,8 @@ MIN_POINTS = 10
 #: Postings per shard of the store, which bounds the keys of a group and of a filter.
 SHARD_LINES = 1 << 20
 KEY = ["shard", "hash_a", "hash_b"]
+#: Column of the lost keys beside the documents; a reserved name.
+LOST = "_lavra_lost_lines"
 
 
 def line_key(line: bytes, min_points: int = MIN_POINTS) -> bytes | None:
@@ -205,7 +207,7 @@ class LineStore:
         shared = self.counts().where((F.col("refs") > 1) & (F.col("first_doc") < F.col("last_doc"))).select(*KEY, "first_doc")
         rows = self.postings().drop("sign", "generation") if self.generation == 1 else self.live_postings()
         lost = rows.join(shared, KEY).where(F.col("doc_id") > F.col("first_doc"))
-        return lost.groupBy("doc_id").agg(F.collect_set(F.struct("hash_a", "hash_b")).alias("lost"))
+        return lost.groupBy("doc_id").agg(F.collect_set(F.struct("hash_a", "hash_b")).alias(LOST))
 
     def kept(self, docs: DataFrame, with_text: bool = False) -> DataFrame:
         """What stays of ``docs`` (doc_id, text): n_lines, n_dropped, kept_sha256, or the text itself.
@@ -215,15 +217,15 @@ class LineStore:
         ``docs`` come back with the new text, and its length in ``n_chars`` if
         that column exists; NULL stays NULL.
         """
-        met = docs.join(self.drops(), "doc_id", "left")
         points = self.min_points
         if with_text:
+            met = docs.join(self.drops(), "doc_id", "left")
             names = docs.columns
 
             def cut(batches):
                 for chunk in chunks(batches, "text"):
                     texts = []
-                    for text, lost in zip(chunk.column("text").to_pylist(), chunk.column("lost").to_pylist()):
+                    for text, lost in zip(chunk.column("text").to_pylist(), chunk.column(LOST).to_pylist()):
                         texts.append(text if not lost or text is None else _without(text, lost, points)[0].decode())
                     columns = {n: chunk.column(n) for n in names}
                     columns["text"] = pa.array(texts, pa.string())
@@ -231,12 +233,12 @@ class LineStore:
                         columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
                     yield pa.RecordBatch.from_pydict(columns)
 
-            return met.select(*names, "lost").mapInArrow(cut, docs.schema)
+            return met.select(*names, LOST).mapInArrow(cut, docs.schema)
 
         def digest(batches):
             for chunk in chunks(batches, "text"):
                 lines, dropped, sha = [], [], []
-                for text, lost in zip(texts_of(chunk, "text"), chunk.column("lost").to_pylist()):
+                for text, lost in zip(texts_of(chunk, "text"), chunk.column(LOST).to_pylist()):
                     kept, n, m = _without(text, lost or [], points)
                     lines.append(n), dropped.append(m), sha.append(hashlib.sha256(kept).hexdigest())
                 yield pa.RecordBatch.from_pydict(
@@ -248,7 +250,8 @@ class LineStore:
                     }
                 )
 
-        return met.select("doc_id", "text", "lost").mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+        met = docs.select("doc_id", "text").join(self.drops(), "doc_id", "left")
+        return met.select("doc_id", "text", LOST).mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def _without(text: str, lost: list, min_points: int) -> tuple[bytes, int, int]:
