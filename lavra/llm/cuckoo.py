@@ -46,11 +46,9 @@ class CuckooFilter:
         """Insert all keys; False if the filter is too full (it is then unusable)."""
         bucket, mark = self._where(keys)
         chance = np.random.default_rng(len(keys))
-        for turn in range(500):
-            bucket, mark = self._settle(bucket, mark)
-            if not len(bucket):
-                return True
-            bucket = self._other(bucket, mark)
+        bucket, mark = self._settle(bucket, mark)
+        bucket = self._other(bucket, mark)
+        for _ in range(500):
             bucket, mark = self._settle(bucket, mark)
             if not len(bucket):
                 return True
