@@ -102,6 +102,14 @@ def sample_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.first_any(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), 10)
 
 
+def sample_any_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows a sample holds is open; it must hold ten, all of them from the table."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    sampled = A.first_any(rows, 10)
+    found = sampled.join(rows.withColumn("there", F.lit(1)), ["c_custkey", "c_name"], "left")
+    return found.agg(F.count(F.lit(1)).alias("sampled"), F.count("there").alias("found"))
+
+
 ENTRIES = {
     "row_count": Entry(row_count, "select count(*) as n from lineitem"),
     "distinct_count": Entry(
@@ -173,4 +181,8 @@ ENTRIES = {
            order by c_mktsegment, c_custkey limit 10""",
     ),
     "sample_any": Entry(sample_any),
+    "sample_any_found": Entry(
+        sample_any_found,
+        "select least(count(*), 10) as sampled, least(count(*), 10) as found from customer",
+    ),
 }

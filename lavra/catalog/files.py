@@ -16,10 +16,10 @@ from lavra.operators.periods import completeness, month_spine
 from lavra.plans import admissions, municipalities, weather
 from lavra.scratch import new_folder
 from lavra.sources import tables
-from lavra.sources.archive import list_members, member_count_check
+from lavra.sources.archive import list_archives, list_members, member_count_check
 from lavra.sources.dbf import Field, decode_dbf, read_dbf_files
 from lavra.sources.delimited import read_delimited, read_preambles
-from lavra.sources.landing import landed_files, landed_months
+from lavra.sources.landing import landed_files, landed_months, landed_years
 
 STATION = r"event_type=([^/]+)/"
 BLOCK = r"pasta=([^/]+)\.zip/"
@@ -111,10 +111,10 @@ def attach_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matching members per archive, with the check that there are forty."""
-    members = list_members(
-        spark, landing.event_archives(spark, sf_dir), C.WEATHER_MEMBER_PATTERN
-    ).withColumn("_arquivo", F.regexp_extract("_arquivo", BLOCK, 1))
-    return member_count_check(members, ".csv", C.WEATHER_STATION_COUNT).drop("position")
+    path, block = landing.event_archives(spark, sf_dir), F.regexp_extract("_arquivo", BLOCK, 1)
+    members = list_members(spark, path, C.WEATHER_MEMBER_PATTERN).withColumn("_arquivo", block)
+    archives = list_archives(spark, path).select(block.alias("_arquivo")).distinct()
+    return member_count_check(archives, members, ".csv", C.WEATHER_STATION_COUNT).drop("position")
 
 
 def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +162,15 @@ def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_completeness_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of 1992 to 1999 for which no archive has landed."""
+    found = landed_years(landed_files(spark, landing.yearly_files(spark, sf_dir)))
+    expected = tables.local_rows(spark, [(y, str(y)) for y in range(1992, 2000)], "ano int, periodo string")
+    return completeness(expected, found, ["ano"], "periodo").withColumn(
+        "ausentes", F.array_join("ausentes", ",")
+    )
+
+
 _MUNICIPALITY_SQL = """
 select concat('35', lpad(cast(c_custkey as varchar), 12, '0')) as CD_MUN,
        concat(' Município é ', c_name) as NM_MUN, 'SP' as SIGLA_UF,
@@ -247,6 +256,18 @@ ENTRIES = {
                rtrim(DIAG_PRINC) as DIAG_PRINC
             from ({ORDERS_SQL}) where mes <> 5 and o_orderkey % 101 <> 0""",
     ),
+    "landing_completeness_years": Entry(
+        landing_completeness_years,
+        """with e as (select unnest(generate_series(1992, 1999)) as y),
+                f as (select distinct year(o_orderdate) as y from orders
+                      where year(o_orderdate) <> 1996)
+           select count(*) as total_esperado, count(f.y) as total_encontrado,
+                  count(*) - count(f.y) as total_ausente,
+                  coalesce(string_agg(cast(e.y as varchar), ',' order by e.y)
+                           filter (where f.y is null), '') as ausentes,
+                  count(*) = count(f.y) as completo
+           from e left join f on e.y = f.y""",
+    ),
     "landing_completeness": Entry(
         landing_completeness,
         """with e as (select strftime(x, '%Y-%m') as p from (select unnest(generate_series(

@@ -15,6 +15,8 @@ from lavra.operators.periods import month_spine
 from lavra.plans import admissions, municipalities, reports, weather
 from lavra.scratch import new_folder
 from lavra.sinks import write_periods
+from lavra.sources import dbf
+from lavra.sources.landing import MONTHLY_FILE
 from lavra.sources.tables import read_partitioned, read_table
 
 PERIOD = ["ano", "mes"]
@@ -57,6 +59,25 @@ def silver_batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_written(status, read_table(spark, path))
 
 
+def silver_fact_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From landed DBF files to the fact: status of every month and the rows written for it.
+
+    February has been cut short, for May nothing has landed, and July 1996 is not expected.
+    """
+    path = new_folder(spark, "silver-landed")
+    folder = landing.damaged_admission_files(spark, sf_dir)
+    fields = dbf.describe(spark, folder)
+    rows, unreadable = admissions.stage_months(spark, folder, fields, MONTHLY_FILE)
+    expected = month_spine(spark, date(1995, 1, 1), date(2001, 12, 1)).filter(
+        "not (ano = 1996 and mes = 7)"
+    )
+    status = admissions.run_periods(
+        rows, dimension(spark, sf_dir), path, expected, unreadable=unreadable
+    )
+    short = status.withColumn("motivo", F.regexp_replace("motivo", "^cut short.*", "cut short"))
+    return _with_written(short, read_table(spark, path))
+
+
 def _with_written(status: DataFrame, written: DataFrame) -> DataFrame:
     rows = written.groupBy(*PERIOD).agg(F.count(F.lit(1)).alias("linhas"))
     return status.join(rows, PERIOD, "left")
@@ -248,6 +269,24 @@ ENTRIES = {
             from e left join s on year(m) = s.ano and month(m) = s.mes
                    left join w on year(m) = w.ano and month(m) = w.mes""",
     ),
+    "silver_fact_landed": Entry(
+        silver_fact_landed,
+        f"""with e as (select unnest(generate_series(timestamp '1995-01-01',
+                         timestamp '2001-12-01', interval 1 month)) as m),
+                 x as (select cast(year(m) as integer) as ano, cast(month(m) as integer) as mes
+                       from e where m <> timestamp '1996-07-01'),
+                 l as (select distinct ano, mes from ({_CLEAN_SQL}) where mes <> 5),
+                 w as (select ano, mes, count(*) as linhas from ({_ENRICHED_SQL})
+                       where o_orderkey % 101 <> 0 group by all),
+                 s as (select coalesce(x.ano, l.ano) as ano, coalesce(x.mes, l.mes) as mes,
+                         case when x.ano is null then 'period not expected'
+                              when l.ano is null then 'no rows landed'
+                              when l.mes = 2 then 'cut short' end as motivo
+                       from x full join l on x.ano = l.ano and x.mes = l.mes)
+            select s.ano, s.mes, case when motivo is null then 'OK' else 'ERRO' end as status, motivo,
+                   case when motivo is null then linhas end as linhas
+            from s left join w on s.ano = w.ano and s.mes = w.mes""",
+    ),
     "silver_timeseries": Entry(
         silver_timeseries,
         f"""select 2024 as ano, strftime(hora, '%Y-%m-%d %H:%M:%S') as data_hora_utc,

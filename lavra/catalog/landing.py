@@ -291,8 +291,39 @@ def municipality_archives(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "dbf-zip", lambda path: write_binary(archives, path, ["bloco"], "\n"))
 
 
+def yearly_files(spark: SparkSession, sf_dir: str) -> str:
+    """A file ``ano=yyyy/arquivo=yyyy.zip`` for every year with orders but 1996."""
+    years = orders(spark, sf_dir).filter(F.col("ano") != 1996).select("ano").distinct()
+    files = years.select(
+        "ano",
+        F.concat(F.col("ano").cast("string"), F.lit(".zip")).alias("arquivo"),
+        F.encode(F.lit("x"), "UTF-8").alias("content"),
+    )
+    return once(
+        spark, sf_dir, "yearly", lambda path: write_binary(files, path, ["ano", "arquivo"], "\n")
+    )
+
+
+def damaged_admission_files(spark: SparkSession, sf_dir: str) -> str:
+    """The monthly files again; those of February are cut short by a few bytes."""
+    keys = ["ano", "arquivo", "bloco"]
+    whole = F.length("content")
+    short = F.col("arquivo").endswith("02.dbc")
+    files = _admission_content(spark, sf_dir).withColumn(
+        "content", F.when(short, F.substring(F.col("content"), F.lit(1), whole - 9)).otherwise(F.col("content"))
+    )
+    return once(
+        spark, sf_dir, "admissions-cut", lambda path: write_binary(files, path, keys, "\u001a")
+    )
+
+
 def admission_files(spark: SparkSession, sf_dir: str) -> str:
     """Monthly DBF files ``ano=yyyy/arquivo=RDSPyymm.dbc/bloco=n/``; no file for May."""
+    files, keys = _admission_content(spark, sf_dir), ["ano", "arquivo", "bloco"]
+    return once(spark, sf_dir, "admissions", lambda path: write_binary(files, path, keys, "\u001a"))
+
+
+def _admission_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     rows = (
         orders(spark, sf_dir)
@@ -311,7 +342,4 @@ def admission_files(spark: SparkSession, sf_dir: str) -> str:
             }
         )
     )
-    keys = ["ano", "arquivo", "bloco"]
-    files = dbf_content(rows, keys, ORDER_FIELDS, "ISO-8859-1")
-
-    return once(spark, sf_dir, "admissions", lambda path: write_binary(files, path, keys, "\u001a"))
+    return dbf_content(rows, ["ano", "arquivo", "bloco"], ORDER_FIELDS, "ISO-8859-1")

@@ -115,6 +115,9 @@ def match_counts(
     )
     after_join = F.col("__rows") * F.coalesce("__copies", F.lit(1))
     matched = F.col("__rows") * F.coalesce("__named", F.lit(0))
+    # Counted on its own: rows of keys that are absent, and copies without the wanted value.
+    nameless = F.col("__copies") - F.col("__named")
+    unmatched = F.col("__rows") * F.coalesce(nameless, F.lit(1))
 
     def total(value: Column) -> Column:
         return F.coalesce(F.sum(value), F.lit(0)).cast("long")
@@ -126,6 +129,6 @@ def match_counts(
             total(F.col("__rows")).alias("total"),
             total(after_join).alias("after_join"),
             total(matched).alias("matched"),
-            total(after_join - matched).alias("unmatched"),
+            total(unmatched).alias("unmatched"),
         )
     )

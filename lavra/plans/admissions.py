@@ -14,9 +14,9 @@ from lavra.operators.clean import blanks_to_null, parse_dates
 from lavra.operators.lookup import keep_matched, lookup_left, match_counts
 from lavra.operators.sets import union_by_name
 from lavra.scratch import materialize, new_folder
-from lavra.sinks import write_periods, write_table
+from lavra.sinks import clear_periods, write_periods, write_table
 from lavra.sources.dbf import Field, decode_dbf, read_dbf_files, split_files
-from lavra.sources.landing import MONTHLY_TABLE, landed_files, landed_months
+from lavra.sources.landing import MONTHLY_TABLE, landed_months
 
 PERIOD = ["ano", "mes"]
 
@@ -38,15 +38,14 @@ def stage_dbf(
     """Landed DBF files as a Parquet table in the shared folder.
 
     Fixed-width files are decoded once; all later passes read only the columns
-    they need. Files hold at most one batch of records each. Fewer landed files
-    than cores are split first, so that all cores decode.
+    they need. Files are split into pieces of whole records first, so that one
+    large month is decoded by many tasks. A field that a month lacks is NULL
+    there.
     """
-    files = read_dbf_files(spark, path)
-    if landed_files(spark, path).count() < spark.sparkContext.defaultParallelism:
-        files = split_files(files)
-    rows = decode_dbf(files, fields, "ISO-8859-1", keep_going=keep_going)
+    files = split_files(read_dbf_files(spark, path))
+    rows = decode_dbf(files, fields, "ISO-8859-1", keep_going=keep_going, absent_is_null=True)
     staged = new_folder(spark, "admissions")
-    write_table(rows, staged, codec="snappy", max_records=C.DBF_BATCH_RECORDS)
+    write_table(rows, staged, codec="snappy")
     return spark.read.schema(rows.schema).parquet(staged)
 
 
@@ -108,16 +107,15 @@ def run(
     cleaned = clean(raw, spec)
     counted = materialize(counts(cleaned, dimension, spec), "match-counts")
     Q.enforce(Q.evaluate(counted, conservation_checks()))
-    silver = enrich(cleaned, dimension, spec)
+    # Written aside and counted, from the footers only, before it replaces what is there.
+    silver = materialize(enrich(cleaned, dimension, spec), "silver")
+    Q.enforce(Q.evaluate(silver, [Q.row_count("stored rows", counted.first()["matched"])]))
     write_table(silver, path, codec="snappy")
-    # Counting a stored table reads its footers only.
-    stored = cleaned.sparkSession.read.schema(silver.schema).parquet(path)
-    Q.enforce(Q.evaluate(stored, [Q.row_count("stored rows", counted.first()["matched"])]))
     return counted
 
 
 def period_status(results: DataFrame, expected: DataFrame) -> DataFrame:
-    """``OK`` or ``ERRO`` with the reason, for each expected period."""
+    """``OK`` or ``ERRO`` with the reason, for each expected period and any other that has landed."""
     reason = F.min(
         F.when(
             ~F.col("passed"),
@@ -126,14 +124,15 @@ def period_status(results: DataFrame, expected: DataFrame) -> DataFrame:
     )["col2"]
     judged = results.groupBy(*PERIOD).agg(reason.alias("motivo"), F.lit(True).alias("__landed"))
     return (
-        expected.select(*PERIOD)
-        .join(judged, PERIOD, "left")
+        expected.select(*PERIOD, F.lit(True).alias("__expected"))
+        .join(judged, PERIOD, "full")
         .select(
             *PERIOD,
-            F.when(F.col("__landed") & F.col("motivo").isNull(), "OK")
+            F.when(F.col("__expected") & F.col("__landed") & F.col("motivo").isNull(), "OK")
             .otherwise("ERRO")
             .alias("status"),
-            F.when(F.col("__landed").isNull(), "no rows landed")
+            F.when(F.col("__expected").isNull(), "period not expected")
+            .when(F.col("__landed").isNull(), "no rows landed")
             .otherwise(F.col("motivo"))
             .alias("motivo"),
         )
@@ -155,13 +154,13 @@ def run_periods(
     ``raw`` carries ``ano`` and ``mes``. Returns one status row per expected
     period. Only passing periods are written; the others keep what they had. A
     period in ``unreadable`` (``ano``, ``mes``, ``motivo``) has failed already.
-    With ``clustered``, because each file of ``raw`` holds one period, no fact
+    A passing period without a known municipality ends up empty, even if it
+    held rows before; one that is landed but not expected is an error. With ``clustered``, because each file of ``raw`` holds one period, no fact
     row is shuffled at all.
     """
     cleaned = clean(raw, spec)
-    judged = [
-        Q.evaluate(counts(cleaned, dimension, spec, PERIOD), conservation_checks(), PERIOD)
-    ]
+    counted = materialize(counts(cleaned, dimension, spec, PERIOD), "match-counts")
+    judged = [Q.evaluate(counted, conservation_checks(), PERIOD)]
     if extra_checks:
         extra = Q.evaluate(cleaned, extra_checks, PERIOD)
         judged.append(extra.withColumn("position", F.col("position") + len(conservation_checks())))
@@ -177,8 +176,9 @@ def run_periods(
             )
         )
     status = materialize(period_status(union_by_name(judged), expected), "period-status")
-    # One row per expected month, so its size is that of the calendar.
-    passing = F.broadcast(status.filter(F.col("status") == "OK").select(*PERIOD))
+    passing = status.filter(F.col("status") == "OK").select(*PERIOD)
     accepted = cleaned.join(passing, PERIOD, "left_semi")
     write_periods(enrich(accepted, dimension, spec), path, PERIOD, clustered=clustered)
+    empty = counted.filter(F.col("matched") == 0).join(passing, PERIOD, "left_semi")
+    clear_periods(empty, path, PERIOD)
     return status

@@ -12,13 +12,14 @@ from lavra.operators.aggregates import vertex_mean
 from lavra.operators.clean import trim_columns
 from lavra.scratch import materialize
 from lavra.sinks import write_table
-from lavra.sources.archive import extract_members, list_members, member_count_check
+from lavra.sources.archive import extract_members, list_archives, list_members, member_count_check
 from lavra.sources.dbf import Field, decode_dbf
 
 
 def read_attributes(spark: SparkSession, archive: str) -> DataFrame:
     """Attributes from the one DBF in the archive, whose field list is exact."""
-    Q.enforce(member_count_check(list_members(spark, archive), ".dbf"))
+    members = list_members(spark, archive)
+    Q.enforce(member_count_check(list_archives(spark, archive), members, ".dbf"))
     kinds = {"AREA_KM2": "N"}
     fields = [Field(name, kinds.get(name, "C")) for name in C.MUNICIPALITY_FIELDS]
     files = extract_members(spark, archive, r"\.DBF$")
@@ -69,7 +70,7 @@ def run(
 ) -> DataFrame:
     """Build, check, and only then write. Returns the check frame."""
     built = materialize(build(attributes, vertices), "municipalities")
-    results = materialize(Q.evaluate(built, required or checks()), "municipality-checks")
+    results = materialize(Q.evaluate(built, checks() if required is None else required), "municipality-checks")
     Q.enforce(results)
     write_table(built, path)
     return results

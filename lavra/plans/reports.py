@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from lavra.functions.moments import hours_in_year
 from lavra.operators import aggregates as A
 from lavra.operators import quality as Q
 from lavra.operators.sets import union_by_name
+from lavra.scratch import materialize
 from lavra.sources.tables import period_from_path, read_partitioned, read_tree, with_source_path
 
 
@@ -93,28 +94,47 @@ def weather_report(
     years: Iterable[int],
     checks: Sequence[Q.Check] | None = None,
 ) -> DataFrame:
-    """The check frame of all years, grouped by ``ano``, from shared scans.
+    """The check frame of all years, grouped by ``ano``.
 
     A year that cannot be read, or holds no rows, is one failed row; the others
     are still checked.
     """
-    readable, parts = {}, []
+    parts = []
     for year in years:
         try:
             stored = read_partitioned(spark, f"{base}/{year}", C.WEATHER_SILVER_SCHEMA)
-            readable[year] = stored.withColumn("ano", F.lit(year))
-        except AnalysisException:
+            dated = stored.withColumn("ano", F.lit(year))
+            # Measured here and now, so that a damaged file is noticed within its year.
+            measured = materialize(Q.evaluate(dated, weather_checks() if checks is None else checks, ["ano"]), "report")
+        except PySparkException:
             parts.append(Q.error_row(spark, "cannot be read", ano=year))
-    if readable:
-        measured = Q.evaluate(union_by_name(readable.values()), checks or weather_checks(), ["ano"])
-        seen = spark.createDataFrame([(year,) for year in readable], "ano int")
-        parts.append(
-            seen.join(measured, "ano", "left").withColumns(
-                {
-                    "position": F.coalesce("position", F.lit(-1)),
-                    "check": F.coalesce("check", F.lit("holds no rows")),
-                    "passed": F.coalesce("passed", F.lit(False)),
-                }
-            )
-        )
+        else:
+            parts.append(Q.error_row(spark, "holds no rows", ano=year) if measured.isEmpty() else measured)
     return union_by_name(parts)
+
+
+@dataclass(frozen=True)
+class WeatherReport:
+    checks: DataFrame
+    range: DataFrame
+    stations: DataFrame
+    sample: DataFrame
+
+
+def weather_series_report(
+    spark: SparkSession, base: str, years: Sequence[int], checks: Sequence[Q.Check] | None = None
+) -> WeatherReport:
+    """The checks, and of all readable years the time range, the rows per station and a sample."""
+    checked = materialize(weather_report(spark, base, years, checks), "report")
+    bad = {r["ano"] for r in checked.filter(F.col("position") < 0).select("ano").distinct().collect()}
+    paths = [f"{base}/{year}" for year in years if year not in bad]
+    stored = union_by_name(
+        [read_partitioned(spark, path, C.WEATHER_SILVER_SCHEMA) for path in paths]
+        or [spark.createDataFrame([], C.WEATHER_SILVER_SCHEMA)]
+    )
+    return WeatherReport(
+        checks=checked,
+        range=A.value_range(stored, "data_hora_utc"),
+        stations=A.group_counts(stored, "ano", "codigo_estacao"),
+        sample=A.first_any(stored, 10),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +16,19 @@ from lavra.operators.clean import keep_matching
 from lavra.operators.lookup import lookup_left
 from lavra.scratch import materialize
 from lavra.sinks import write_partitioned
-from lavra.sources.archive import chunk_lines, list_members, member_count_check, read_member_chunks
+from lavra.sources.archive import (
+    chunk_lines,
+    list_archives,
+    list_members,
+    member_count_check,
+    read_member_chunks,
+)
 from lavra.sources.delimited import (
     LINE_BREAK,
-    WHOLE_FILE_BYTES,
-    any_larger,
-    lines_below_header,
     parsed_lines,
     preamble_columns,
     read_delimited,
-    read_first_lines,
-    read_whole_files,
+    read_preambles,
 )
 
 PREAMBLE = {**C.WEATHER_PREAMBLE_TEXTS, **C.WEATHER_PREAMBLE_NUMBERS}
@@ -44,42 +47,21 @@ def from_archives(
     return parsed_lines(body, "linha", C.WEATHER_RAW_SCHEMA, "_arquivo", *PREAMBLE)
 
 
-def from_folder(
-    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
+def from_folder(spark: SparkSession, path: str) -> DataFrame:
     """Raw observations and preamble texts of all delimited files below a folder.
 
-    A station file is small: it is read whole and once, and its lines carry its
-    preamble. Larger files are scanned in splits, and their preambles, few as
-    such files are, are joined by path.
+    Files of any size, compressed or not, are scanned in splits; their preambles,
+    one row per file, are joined by path.
     """
-    whole = read_whole_files(spark, path, C.WEATHER_ENCODING, whole_file_bytes)
-    head = F.slice("linhas", 1, C.WEATHER_PREAMBLE_LINES)
-    # Evaluated per file because it comes before the lines are exploded.
-    described = whole.withColumns(preamble_columns(head, PREAMBLE))
-    small_lines = described.select(
-        "_arquivo", *PREAMBLE, F.explode(lines_below_header("linhas")).alias("linha")
-    )
-    small = parsed_lines(small_lines, "linha", C.WEATHER_RAW_SCHEMA, "_arquivo", *PREAMBLE)
-
-    if not any_larger(spark, path, whole_file_bytes):
-        return small
-
-    first_lines = read_first_lines(
-        spark, path, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING, whole_file_bytes
-    ).select(
-        "_arquivo",
-        *(value.alias(name) for name, value in preamble_columns(F.col("linhas"), PREAMBLE).items()),
-    )
-    large = lookup_left(
-        read_delimited(spark, path, C.WEATHER_RAW_SCHEMA, C.WEATHER_ENCODING, whole_file_bytes),
+    preambles = read_preambles(spark, path, PREAMBLE, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING)
+    return lookup_left(
+        read_delimited(spark, path, C.WEATHER_RAW_SCHEMA, C.WEATHER_ENCODING),
         # Written once: it is both measured and joined.
-        materialize(first_lines, "preambles"),
+        materialize(preambles, "preambles"),
         "_arquivo",
         "_arquivo",
         PREAMBLE,
     )
-    return small.unionByName(large)
 
 
 def clean(raw: DataFrame, year: int | Column) -> DataFrame:
@@ -134,13 +116,25 @@ def run_year(
     """One year from its archive; the archive must hold one member per station."""
     archive = f"{landing}/{year}/{year}.zip"
     members = list_members(spark, archive, C.WEATHER_MEMBER_PATTERN)
-    Q.enforce(member_count_check(members, ".csv", stations))
+    Q.enforce(member_count_check(list_archives(spark, archive), members, ".csv", stations))
     raw = from_archives(spark, archive)
     return run(raw, year, f"{base}/{year}", checks(stations))
 
 
 def run_years(
-    spark: SparkSession, years: Iterable[int], landing: str, base: str
-) -> dict[int, DataFrame]:
-    """Every year in turn; each is one distributed job over all its stations."""
-    return {year: run_year(spark, year, landing, base) for year in years}
+    spark: SparkSession, years: Iterable[int], landing: str, base: str, stations: int = C.WEATHER_STATION_COUNT
+) -> DataFrame:
+    """Every year in turn, each one distributed job; a bad year stops no other.
+
+    Returns one row per year: ``ano``, ``status`` (``OK`` or ``ERRO``) and ``motivo``.
+    """
+    done = []
+    for year in years:
+        try:
+            run_year(spark, year, landing, base, stations)
+            done.append((year, "OK", None))
+        except Q.QualityError as problem:
+            done.append((year, "ERRO", str(problem)))
+        except PySparkException as problem:
+            done.append((year, "ERRO", f"cannot be read: {type(problem).__name__}"))
+    return spark.createDataFrame(done, "ano int, status string, motivo string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     if _local_folder is None:
         _local_folder = tempfile.TemporaryDirectory(prefix="lavra-")

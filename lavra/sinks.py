@@ -39,6 +39,24 @@ def write_partitioned(
     _writer(rebalanced, codec, max_records).partitionBy(*columns).parquet(path)
 
 
+def period_path(root: str, year: int, month: int) -> str:
+    """Where one period of a table by periods lies."""
+    return f"{root}/ano={year}/mes={month}"
+
+
+def clear_periods(periods: DataFrame, root: str, columns: Sequence[str] = ("ano", "mes")) -> None:
+    """Remove the directories of ``periods`` below ``root``.
+
+    A dynamic overwrite leaves a period alone that has no rows any more. There
+    is a row per period of a calendar, so they may be gone through one by one.
+    """
+    spark = periods.sparkSession
+    for row in periods.select(*columns).distinct().collect():
+        name = "/".join(f"{column}={row[column]}" for column in columns)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_periods(
     df: DataFrame,
     path: str,

@@ -65,10 +65,22 @@ def list_members(spark: SparkSession, path: str, pattern: str | None = None) ->
     return members.filter(member_matches(F.col("membro"), pattern)) if pattern else members
 
 
-def member_count_check(members: DataFrame, suffix: str, expected: int = 1) -> DataFrame:
-    """Per archive: exactly so many members end in ``suffix``, whatever the case."""
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The archives themselves, from the listing alone."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.select(F.col("_metadata.file_path").alias("_arquivo"))
+
+
+def member_count_check(
+    archives: DataFrame, members: DataFrame, suffix: str, expected: int = 1
+) -> DataFrame:
+    """Per archive: exactly so many members end in ``suffix``, whatever the case.
+
+    An archive without any member is there in ``archives``, with a count of zero.
+    """
+    every = archives.select("_arquivo").join(members.select("_arquivo", "membro"), "_arquivo", "left")
     matching = F.count_if(F.lower(F.col("membro")).endswith(suffix.lower()))
-    return evaluate(members, [Check(f"members ending in {suffix}", matching, expected)], ["_arquivo"])
+    return evaluate(every, [Check(f"members ending in {suffix}", matching, expected)], ["_arquivo"])
 
 
 def extract_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:

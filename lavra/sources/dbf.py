@@ -55,7 +55,15 @@ class Layout:
     places: dict[str, slice]
 
     @classmethod
-    def of(cls, content: bytes | memoryview) -> Layout:
+    def of(cls, content: bytes | memoryview, whole: bool = True) -> Layout:
+        """Read the header; ``whole`` says that all records must be there, too."""
+        try:
+            return cls._of(content, whole)
+        except (struct.error, IndexError):
+            raise ValueError("no DBF header") from None
+
+    @classmethod
+    def _of(cls, content: bytes | memoryview, whole: bool) -> Layout:
         records, header_bytes, record_bytes = struct.unpack_from("<IHH", content, 4)
         fields, places = [], {}
         # The first byte of a record is its deletion mark.
@@ -69,9 +77,12 @@ class Layout:
             size = content[start + SIZE_POSITION]
             places[name] = slice(offset, offset + size)
             offset += size
-        # A truncated file holds fewer whole records than its header claims.
-        whole = max(0, len(content) - header_bytes) // max(1, record_bytes)
-        return cls(min(records, whole), header_bytes, record_bytes, fields, places)
+        if offset > record_bytes:
+            raise ValueError(f"fields of {offset} bytes in records of {record_bytes}")
+        if whole and len(content) < header_bytes + records * record_bytes:
+            found = max(0, len(content) - header_bytes) // record_bytes
+            raise ValueError(f"cut short: {found} of {records} records")
+        return cls(records, header_bytes, record_bytes, fields, places)
 
 
 def read_dbf_files(spark: SparkSession, path: str) -> DataFrame:
@@ -84,9 +95,40 @@ def read_dbf_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, path: str) -> list[Field]:
-    """The fields of one of the files at ``path``, from its header bytes."""
-    header = F.substring("content", 1, 2**16).alias("header")
-    return Layout.of(bytes(read_dbf_files(spark, path).select(header).first()["header"])).fields
+    """The fields of all files at ``path``, from their header bytes.
+
+    Fields are in the order of their place in a header. A field whose type
+    differs between files is text, one with unlike decimal places a double.
+    Headers that cannot be read are left to decoding, which complains.
+    """
+    header = F.substring("content", 1, 2**16).alias("content")
+    kinds = pa.schema([("place", pa.int32()), ("name", pa.string()), ("kind", pa.string()), ("decimals", pa.int32())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, content in _contents(batches):
+            try:
+                fields = Layout.of(content, whole=False).fields
+            except ValueError:
+                continue
+            rows = [(i, f.name, f.kind, f.decimals) for i, f in enumerate(fields)]
+            columns = zip(*rows) if rows else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), k) for c, k in zip(columns, kinds.types)], schema=kinds
+            )
+
+    headers = read_dbf_files(spark, path).select("_arquivo", header)
+    found = headers.mapInArrow(listed, "place int, name string, kind string, decimals int")
+    # One row per distinct field: a layout has at most 2,047 of them.
+    merged = found.groupBy("name").agg(
+        F.min("place").alias("place"),
+        F.collect_set("kind").alias("kinds"),
+        F.collect_set("decimals").alias("decimals"),
+    )
+    fields = []
+    for row in merged.orderBy("place", "name").collect():
+        kind = row["kinds"][0] if len(row["kinds"]) == 1 else "C"
+        fields.append(Field(row["name"], kind, row["decimals"][0] if len(row["decimals"]) == 1 else None))
+    return fields
 
 
 def split_files(files: DataFrame, batch_records: int = DBF_BATCH_RECORDS) -> DataFrame:
@@ -106,7 +148,7 @@ def split_files(files: DataFrame, batch_records: int = DBF_BATCH_RECORDS) -> Dat
         for path, content in _contents(batches):
             try:
                 layout = Layout.of(content)
-            except (struct.error, IndexError):
+            except ValueError:
                 # Passed on as it is; decoding complains about it.
                 yield piece_of(path, bytes(content), 0)
                 continue
@@ -132,13 +174,16 @@ def decode_dbf(
     exact_fields: bool = False,
     batch_records: int = DBF_BATCH_RECORDS,
     keep_going: bool = False,
+    absent_is_null: bool = False,
 ) -> DataFrame:
     """The live records of all files, with ``_arquivo``.
 
-    A file that is no DBF or lacks a field fails the job, as does, with
+    A file that is no DBF, is cut short, holds text that cannot be decoded or
+    lacks a field (unless ``absent_is_null``) fails the job, as does, with
     ``exact_fields``, one whose field list is not exactly the given one. With
-    ``keep_going`` such a file yields a single row instead, with the complaint in
-    ``_erro``, which is NULL in all other rows. Text loses its padding, bad
+    ``keep_going`` such a file yields a row with the complaint in ``_erro``
+    instead, which is NULL in all other rows; a file that turns out bad midway
+    has yielded some of its records before. Text loses its padding, bad
     numbers and dates become NULL. Every file is one task, and rows leave it as
     they are cut, so that no more than a batch is held beside the file.
     """
@@ -146,12 +191,10 @@ def decode_dbf(
     columns = ["_arquivo", "_erro", *names]
 
     def layout_of(content: memoryview) -> Layout:
-        try:
-            layout = Layout.of(content)
-        except (struct.error, IndexError):
-            raise ValueError("no DBF header") from None
+        layout = Layout.of(content)
         found = [field.name for field in layout.fields]
-        if found != names if exact_fields else not set(names) <= set(found):
+        enough = absent_is_null or set(names) <= set(found)
+        if found != names if exact_fields else not enough:
             raise ValueError(f"unexpected fields: wanted {names}, found {found}")
         return layout
 
@@ -163,21 +206,28 @@ def decode_dbf(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in _contents(batches):
             try:
-                layout = layout_of(content)
-            except ValueError as problem:
+                yield from cut_file(path, content)
+            except (ValueError, pa.ArrowException) as problem:
                 if not keep_going:
                     raise ValueError(f"{problem} in {path}") from None
                 error = pa.array([str(problem)], pa.string())
                 yield record_batch(path, 1, error, [pa.nulls(1, pa.string())] * len(names))
-                continue
-            body = np.frombuffer(
-                content, np.uint8, layout.records * layout.record_bytes, layout.header_bytes
-            ).reshape(layout.records, layout.record_bytes)
-            for start in range(0, layout.records, batch_records):
-                part = body[start : start + batch_records]
-                live = part[part[:, 0] == LIVE_RECORD]
-                texts = [_texts(live[:, layout.places[name]], encoding) for name in names]
-                yield record_batch(path, len(live), pa.nulls(len(live), pa.string()), texts)
+
+    def cut_file(path: str, content: memoryview) -> Iterator[pa.RecordBatch]:
+        layout = layout_of(content)
+        body = np.frombuffer(
+            content, np.uint8, layout.records * layout.record_bytes, layout.header_bytes
+        ).reshape(layout.records, layout.record_bytes)
+        for start in range(0, layout.records, batch_records):
+            part = body[start : start + batch_records]
+            live = part[part[:, 0] == LIVE_RECORD]
+            texts = [
+                _texts(live[:, layout.places[name]], encoding)
+                if name in layout.places
+                else pa.nulls(len(live), pa.string())
+                for name in names
+            ]
+            yield record_batch(path, len(live), pa.nulls(len(live), pa.string()), texts)
 
     schema = ", ".join(f"`{name}` string" for name in columns)
     records = files.select("_arquivo", "content").mapInArrow(cut, schema)

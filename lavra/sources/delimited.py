@@ -12,9 +12,6 @@ from lavra.functions.text import last_value_of
 
 LINE_BREAK = r"\r\n|\n|\r"
 
-# Files up to this size are read whole to get at their first lines.
-WHOLE_FILE_BYTES = 8 * 1024 * 1024
-
 CSV_OPTIONS = {"sep": ";", "mode": "PERMISSIVE", "nullValue": ""}
 
 
@@ -23,13 +20,11 @@ def read_delimited(
     path: str | list[str],
     schema: T.StructType,
     encoding: str = "ISO-8859-1",
-    larger_than: int = -1,
 ) -> DataFrame:
     """All delimited files below ``path`` as one scan, with ``_arquivo``.
 
     The first line of each file is dropped as a header. Short rows are filled
-    with NULL and surplus fields are dropped. ``larger_than`` leaves out files
-    of at most so many bytes, by their listing.
+    with NULL and surplus fields are dropped. Compressed files are read like plain ones.
     """
     return (
         spark.read.options(**CSV_OPTIONS)
@@ -38,37 +33,12 @@ def read_delimited(
         .option("recursiveFileLookup", "true")
         .schema(schema)
         .csv(path)
-        .filter(F.col("_metadata.file_size") > larger_than)
         .withColumn("_arquivo", F.col("_metadata.file_path"))
     )
 
 
-def any_larger(spark: SparkSession, path: str, than: int) -> bool:
-    """Whether any file exceeds so many bytes, from the listing alone."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return not listed.filter(F.col("length") > than).select("length").isEmpty()
-
-
-def read_whole_files(
-    spark: SparkSession, path: str, encoding: str, at_most: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """``_arquivo`` and all lines of each file of at most so many bytes."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .filter(F.col("length") <= at_most)
-        .select(
-            F.col("_metadata.file_path").alias("_arquivo"),
-            F.split(F.decode("content", encoding), LINE_BREAK).alias("linhas"),
-        )
-    )
-
-
-def read_first_lines(
-    spark: SparkSession, path: str, lines: int, encoding: str, larger_than: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """``_arquivo`` and the first lines of each larger file.
+def read_first_lines(spark: SparkSession, path: str, lines: int, encoding: str) -> DataFrame:
+    """``_arquivo`` and the first lines of each file of any size.
 
     Only lines of the first block of a file are ranked, so no file is held in
     memory.
@@ -77,7 +47,6 @@ def read_first_lines(
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
-        .filter(F.col("_metadata.file_size") > larger_than)
         .filter(F.col("_metadata.file_block_start") == 0)
         .select(
             F.col("_metadata.file_path").alias("_arquivo"),
@@ -106,12 +75,6 @@ def parsed_lines(df: DataFrame, line: str, schema: T.StructType, *keep: str) ->
     return df.select(*keep, F.inline(F.array(fields)))
 
 
-def lines_below_header(lines: str) -> Column:
-    """All lines that are not blank, but for the first of them."""
-    solid = F.filter(lines, lambda line: F.trim(line) != "")
-    return F.slice(solid, F.lit(2), F.greatest(F.size(lines), F.lit(0)))
-
-
 def preamble_columns(lines: Column, labels: Mapping[str, str]) -> dict[str, Column]:
     """One column per label, from an array of preamble lines."""
     return {name: last_value_of(lines, label) for name, label in labels.items()}
@@ -123,22 +86,9 @@ def read_preambles(
     labels: Mapping[str, str],
     lines: int = 8,
     encoding: str = "ISO-8859-1",
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
-    """One row per file: ``_arquivo`` and the value of each label in its first lines.
-
-    Small files are read whole, which needs no shuffle; larger ones are not. The
-    size filter is applied to the file listing, so each file is read by one of
-    the two ways only.
-    """
-    small = read_whole_files(spark, path, encoding, whole_file_bytes).withColumn(
-        "linhas", F.slice("linhas", 1, lines)
-    )
-    files = small
-    if any_larger(spark, path, whole_file_bytes):
-        large = read_first_lines(spark, path, lines, encoding, whole_file_bytes)
-        files = small.unionByName(large)
-    return files.select(
+    """One row per file: ``_arquivo`` and the value of each label in its first lines."""
+    return read_first_lines(spark, path, lines, encoding).select(
         "_arquivo",
         *(value.alias(name) for name, value in preamble_columns(F.col("linhas"), labels).items()),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 # Accept both plain directories (2023/01) and named ones (ano=2023/mes=01).
 YEAR_IN_PATH = r"/sih/(?:ano=)?(\d{4})/"
-MONTH_IN_PATH = r"/(?:mes=)?(\d{2})/[^/]+$"
+MONTH_IN_PATH = r"/(?:mes=)?(\d{1,2})/[^/]+$"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -233,6 +233,30 @@ def test_weather_report_checks_every_readable_year(spark, tmp_path):
     assert messages[-2:] == ["2024: holds no rows", "2025: cannot be read"]
 
 
+def test_years_of_weather_go_on_past_bad_ones(spark, tmp_path):
+    landing, base = land_year(tmp_path, 2023, ["A701", "A716"], 48)
+    land_year(tmp_path, 2024, ["A701"], 2, ["2024/01/01;;1"])
+    (tmp_path / "landing" / "2025").mkdir()
+    (tmp_path / "landing" / "2025" / "2025.zip").write_bytes(b"damaged")
+    status = weather.run_years(spark, [2022, 2023, 2024, 2025], landing, base, stations=2)
+    found = {r["ano"]: (r["status"], r["motivo"]) for r in status.collect()}
+    assert found[2023] == ("OK", None)
+    assert found[2024] == ("ERRO", "members ending in .csv: observed 1, expected 2")
+    assert found[2022][1].startswith("cannot be read") and found[2025][1].startswith("cannot be read")
+
+
+def test_weather_report_survives_a_damaged_year(spark, tmp_path):
+    landing, base = land_year(tmp_path, 2023, ["A701", "A716"], 48)
+    weather.run_year(spark, 2023, landing, base, stations=2)
+    (tmp_path / "silver" / "2024" / "codigo_estacao=A701").mkdir(parents=True)
+    (tmp_path / "silver" / "2024" / "codigo_estacao=A701" / "part-0.parquet").write_bytes(b"PAR1 no table")
+    report = reports.weather_series_report(spark, base, [2023, 2024], reports.weather_checks(2))
+    assert {r["check"] for r in report.checks.collect() if r["ano"] == 2024} == {"cannot be read"}
+    assert rows(report.stations) == [(2023, "A701", 48), (2023, "A716", 48)]
+    assert report.range.first()["data_hora_utc_min"].isoformat() == "2023-01-01T00:00:00"
+    assert report.sample.count() == 10
+
+
 def test_admissions_report_over_a_tree(spark, tmp_path, raw, dimension):
     root = tmp_path / "sih"
     for year, month in [(2023, 1), (2023, 2), (2024, 1)]:

@@ -1,3 +1,4 @@
+import gzip
 from datetime import date
 
 import pytest
@@ -38,13 +39,12 @@ def test_delimited_shapes_and_encoding(spark, tmp_path):
     assert df.filter(F.col("data") == "UF:").count() == 2
 
 
-@pytest.mark.parametrize("whole", [delimited.WHOLE_FILE_BYTES, 0, 400])
-def test_preambles_are_the_same_from_small_and_large_files(spark, tmp_path, whole):
+def test_preambles(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(station_text(LINES))
     late = [*PREAMBLE[:1], "UF:;MG", "sem separador", "", " UF: ; RJ ", *["x;y"] * 3, "UF:;BA"]
     (tmp_path / "b.csv").write_bytes(station_text(["2023/01/01;0000 UTC;1;2"] * 100, late))
     labels = {"uf": "UF:", "estacao": "ESTACAO:", "latitude": "LATITUDE:"}
-    found = delimited.read_preambles(spark, str(tmp_path), labels, whole_file_bytes=whole)
+    found = delimited.read_preambles(spark, str(tmp_path), labels)
     named = found.select(F.substring_index("_arquivo", "/", -1).alias("f"), "uf", "estacao", "latitude")
     # The last key within eight lines wins; the ninth line does not count.
     assert rows(named) == [("a.csv", "SP", "MARÍLIA", "-22,23"), ("b.csv", "RJ", None, None)]
@@ -74,18 +74,26 @@ def test_archive_members_by_pattern(spark, tmp_path):
         "inmet_se_sp_a999_.csv",
     ]
     assert archive.list_members(spark, str(tmp_path)).count() == 6
-    assert Q.enforce(archive.member_count_check(found, ".CSV", 3)) == []
+    archives = archive.list_archives(spark, str(tmp_path))
+    assert Q.enforce(archive.member_count_check(archives, found, ".CSV", 3)) == []
     with pytest.raises(Q.QualityError):
-        Q.enforce(archive.member_count_check(found, ".csv", 40))
+        Q.enforce(archive.member_count_check(archives, found, ".csv", 40))
 
 
 def test_exactly_one_member_rule(spark, tmp_path):
     write_zip(tmp_path / "none.zip", {"a.shp": b""})
     write_zip(tmp_path / "one.zip", {"a.DBF": b"", "a.shp": b""})
     write_zip(tmp_path / "two.zip", {"a.dbf": b"", "b.dbf": b""})
-    checked = archive.member_count_check(archive.list_members(spark, str(tmp_path)), ".dbf")
+    write_zip(tmp_path / "empty.zip", {})
+    archives, members = (f(spark, str(tmp_path)) for f in (archive.list_archives, archive.list_members))
+    checked = archive.member_count_check(archives, members, ".dbf")
     found = {r["_arquivo"].split("/")[-1]: (r["observed"], r["passed"]) for r in checked.collect()}
-    assert found == {"none.zip": (0, False), "one.zip": (1, True), "two.zip": (2, False)}
+    assert found == {
+        "empty.zip": (0, False),
+        "none.zip": (0, False),
+        "one.zip": (1, True),
+        "two.zip": (2, False),
+    }
 
 
 @pytest.mark.parametrize("size", [1, 50, archive.CHUNK_CHARACTERS])
@@ -102,8 +110,7 @@ def test_archive_lines_do_not_depend_on_the_chunk_size(spark, tmp_path, size):
     assert chunks.select("membro", "preambulo").distinct().count() == 3
 
 
-@pytest.mark.parametrize("whole", [delimited.WHOLE_FILE_BYTES, 0])
-def test_archive_and_folder_give_the_same_observations(spark, tmp_path, whole):
+def test_archive_and_folder_give_the_same_observations(spark, tmp_path):
     (tmp_path / "zip").mkdir()
     (tmp_path / "csv").mkdir()
     write_zip(tmp_path / "zip" / "2023.zip", members())
@@ -111,7 +118,7 @@ def test_archive_and_folder_give_the_same_observations(spark, tmp_path, whole):
         if "SE_SP_A7" in name:
             (tmp_path / "csv" / name.split("/")[-1]).write_bytes(content)
     zipped = weather.clean(weather.from_archives(spark, str(tmp_path / "zip")), 2023)
-    loose = weather.clean(weather.from_folder(spark, str(tmp_path / "csv"), whole), 2023)
+    loose = weather.clean(weather.from_folder(spark, str(tmp_path / "csv")), 2023)
     assert zipped.columns == C.WEATHER_SILVER_COLUMNS and len(zipped.columns) == 28
     assert rows(zipped) == rows(loose)
     assert zipped.count() == 48
@@ -119,15 +126,19 @@ def test_archive_and_folder_give_the_same_observations(spark, tmp_path, whole):
     assert (first["codigo_estacao"], first["estacao"], first["latitude"]) == ("A701", "MARÍLIA", -22.23)
 
 
-def test_small_and_large_files_are_parsed_alike(spark, tmp_path):
+def test_plain_and_compressed_files_are_parsed_alike(spark, tmp_path):
     odd = ["", "   ", '"2023/01/01";"0000 UTC";",8"', " 2023/01/01;0100 UTC;1", *LINES]
     (tmp_path / "a.csv").write_bytes(station_text(odd))
     (tmp_path / "b.csv").write_bytes(station_text(odd, ["", *PREAMBLE]))
     (tmp_path / "c.csv").write_bytes(b"")
     columns = ["data", "hora_utc", *C.WEATHER_MEASURES, *weather.PREAMBLE]
-    small = weather.from_folder(spark, str(tmp_path)).select(columns)
-    large = weather.from_folder(spark, str(tmp_path), 0).select(columns)
-    assert rows(small) == rows(large)
+    plain = rows(weather.from_folder(spark, str(tmp_path)).select(columns))
+    packed = tmp_path.parent / f"{tmp_path.name}-gz"
+    packed.mkdir()
+    for name in ("a.csv", "b.csv"):
+        (packed / f"{name}.gz").write_bytes(gzip.compress((tmp_path / name).read_bytes()))
+    small = weather.from_folder(spark, str(packed)).select(columns)
+    assert rows(small) == plain
     assert small.filter(F.col("data").rlike(C.WEATHER_DATE_PATTERN)).count() == 8
 
 
@@ -165,10 +176,27 @@ def test_dbf_records(spark, tmp_path, batch, encoding):
     assert rows(again) == rows(found)
 
 
-def test_truncated_dbf_yields_its_whole_records(spark, tmp_path):
+def test_truncated_dbf_is_an_error(spark, tmp_path):
     content = dbf_bytes(FIELDS, RECORDS, claimed=100)
     (tmp_path / "a.dbf").write_bytes(content[:-15])
-    assert decode(spark, tmp_path).count() == 2
+    with pytest.raises(Exception, match="cut short: 2 of 100 records"):
+        decode(spark, tmp_path).collect()
+    complaints = decode(spark, tmp_path, keep_going=True).select("_erro").collect()
+    assert [r["_erro"] for r in complaints] == ["cut short: 2 of 100 records"]
+
+
+def test_fields_of_all_files_are_described(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(dbf_bytes([("A", "C", 3), ("N", "N", 4)], [(" ", ["x", "12"])]))
+    (tmp_path / "b.dbf").write_bytes(dbf_bytes([("A", "C", 3), ("NEW", "C", 2)], [(" ", ["y", "z"])]))
+    (tmp_path / "c.dbf").write_bytes(b"no header")
+    fields = dbf.describe(spark, str(tmp_path))
+    assert [f.name for f in fields] == ["A", "N", "NEW"]
+    found = decode(spark, tmp_path, fields, absent_is_null=True, keep_going=True)
+    assert rows(found.filter("_erro is null").drop("_arquivo", "_erro")) == [
+        ("x", 12, None),
+        ("y", None, "z"),
+    ]
+    assert found.filter("_erro is not null").count() == 1
 
 
 def test_dbf_text_of_all_bytes(spark, tmp_path):
