@@ -53,6 +53,8 @@ def list_members(spark: SparkSession, path: str, pattern: str | None = None) ->
     def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, archive in _opened(frames):
             infos = [info for info in archive.infolist() if not info.is_dir()]
+            if not infos:
+                continue
             yield pd.DataFrame(
                 {
                     "_arquivo": [path] * len(infos),
