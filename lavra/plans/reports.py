@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,7 +107,7 @@ def weather_report(
             dated = stored.withColumn("ano", F.lit(year))
             # Measured here and now, so that a damaged file is noticed within its year.
             measured = materialize(Q.evaluate(dated, weather_checks() if checks is None else checks, ["ano"]), "report")
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             parts.append(Q.error_row(spark, "cannot be read", ano=year))
         else:
             parts.append(Q.error_row(spark, "holds no rows", ano=year) if measured.isEmpty() else measured)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,6 +136,6 @@ def run_years(
             done.append((year, "OK", None))
         except Q.QualityError as problem:
             done.append((year, "ERRO", str(problem)))
-        except PySparkException as problem:
+        except (PySparkException, Py4JJavaError) as problem:
             done.append((year, "ERRO", f"cannot be read: {type(problem).__name__}"))
     return spark.createDataFrame(done, "ano int, status string, motivo string")
