@@ -130,3 +130,10 @@ def test_checks_on_rows_share_one_scan(spark, tmp_path):
         )
     )
     assert text.count("FileScan") == 2
+
+
+def test_checks_of_the_schema_see_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a int, b int")
+    results = Q.evaluate(empty, [Q.column_count("two", empty, 2), Q.column_names("wrong", empty, ["b", "a"])])
+    assert [(r["observed"], r["passed"]) for r in results.orderBy("position").collect()] == [(2, True), (1, False)]
+    assert "Scan" not in results._jdf.queryExecution().executedPlan().toString().replace("Range", "")

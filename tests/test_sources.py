@@ -179,10 +179,10 @@ def test_dbf_records(spark, tmp_path, batch, encoding):
 def test_truncated_dbf_is_an_error(spark, tmp_path):
     content = dbf_bytes(FIELDS, RECORDS, claimed=100)
     (tmp_path / "a.dbf").write_bytes(content[:-15])
-    with pytest.raises(Exception, match="cut short: 2 of 100 records"):
+    with pytest.raises(Exception, match="cut short: 3 of 100 records"):
         decode(spark, tmp_path).collect()
     complaints = decode(spark, tmp_path, keep_going=True).select("_erro").collect()
-    assert [r["_erro"] for r in complaints] == ["cut short: 2 of 100 records"]
+    assert [r["_erro"] for r in complaints] == ["cut short: 3 of 100 records"]
 
 
 def test_fields_of_all_files_are_described(spark, tmp_path):
