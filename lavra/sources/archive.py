@@ -1,14 +1,17 @@
 """ZIP archives of delimited files.
 
-Spark has no ZIP codec, so the members are unpacked in Python, one archive at a
-time and in chunks of whole lines. Everything after that is column expressions.
+Spark has no ZIP codec, so members are unpacked in Python, each by a task of its
+own and in chunks of whole lines. Everything after that is column expressions.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,6 +25,11 @@ CHUNK_CHARACTERS = 1024 * 1024
 
 MEMBER_SCHEMA = "_arquivo string, membro string, bytes long"
 CHUNK_SCHEMA = "_arquivo string, membro string, parte long, preambulo string, texto string"
+PACKED_SCHEMA = "_arquivo string, membro string, deflated boolean, packed binary"
+LINES = re.compile(r"[^\r\n]*(?:\r\n|\n|\r)|[^\r\n]+\Z")
+# Fixed values of the format.
+LOCAL_HEADER_BYTES = 30
+LOCAL_SIZES = 26
 CONTENT_SCHEMA = "_arquivo string, membro string, content binary"
 
 
@@ -103,6 +111,62 @@ def extract_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return _archives(spark, path).mapInPandas(extracted, CONTENT_SCHEMA)
 
 
+def packed_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """The matching members as they lie in their archives, still compressed, spread by member.
+
+    Nothing is inflated before the shuffle, so the members of one large archive
+    keep many tasks busy, and only compressed bytes travel.
+    """
+    wanted = re.compile(pattern)
+
+    def cut_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, content in zip(frame["_arquivo"], frame["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    infos = [i for i in archive.infolist() if wanted.search(i.filename.upper())]
+                for info in infos:
+                    if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED) or info.flag_bits & 1:
+                        raise ValueError(f"{info.filename} in {path} is packed in an unknown way")
+                    # The sizes of name and extra field in the local header may differ from the directory's.
+                    name, extra = struct.unpack_from("<HH", content, info.header_offset + LOCAL_SIZES)
+                    first = info.header_offset + LOCAL_HEADER_BYTES + name + extra
+                    yield pd.DataFrame(
+                        {
+                            "_arquivo": [path],
+                            "membro": [info.filename],
+                            "deflated": [info.compress_type == zipfile.ZIP_DEFLATED],
+                            "packed": [content[first : first + info.compress_size]],
+                        }
+                    )
+
+    return _archives(spark, path).mapInPandas(cut_out, PACKED_SCHEMA).repartition("_arquivo", "membro")
+
+
+def _inflated(packed: bytes, deflated: bool, block_bytes: int) -> Iterator[bytes]:
+    """The content in blocks of about ``block_bytes`` that end behind a line, but for the last."""
+    unpack = zlib.decompressobj(-15)
+    rest, place = b"", 0
+    while True:
+        if deflated:
+            block = unpack.decompress(packed, block_bytes)
+            packed = unpack.unconsumed_tail
+            ended = unpack.eof or not (block or packed)
+        else:
+            block = packed[place : place + block_bytes]
+            place += block_bytes
+            ended = place >= len(packed)
+        rest += block
+        end = max(rest.rfind(b"\n"), rest.rfind(b"\r", 0, -1)) + 1
+        if end and not ended:
+            yield rest[:end]
+            rest = rest[end:]
+        if ended:
+            if deflated and not unpack.eof:
+                raise ValueError("a member is cut short")
+            yield rest
+            return
+
+
 def read_member_chunks(
     spark: SparkSession,
     path: str,
@@ -115,47 +179,42 @@ def read_member_chunks(
 
     Each chunk carries the preamble of its member, so that no join is needed to
     attach it. The first non-blank line is a header and is left out of the
-    text. A member is streamed, never held whole. Chunks are then spread evenly, so
-    that one large archive does not keep one task busy with all the parsing.
+    text. Members are spread over the cluster while compressed, and inflated block
+    by block: no member is held whole.
     """
-    wanted = re.compile(pattern)
-
-    def chunk(path: str, name: str, part: int, preamble: str, text: list[str]) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "_arquivo": [path],
-                "membro": [name],
-                "parte": [part],
-                "preambulo": [preamble],
-                "texto": ["".join(text)],
-            }
-        )
 
     def chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for path, archive in _opened(frames):
-            for name in filter(lambda n: wanted.search(n.upper()), archive.namelist()):
-                with archive.open(name) as raw:
-                    lines = io.TextIOWrapper(raw, encoding=encoding, errors="replace")
-                    head = [line for _, line in zip(range(preamble_lines), lines)]
-                    preamble = "".join(head)
-                    header = next((i for i, line in enumerate(head) if line.strip()), None)
-                    text = [line for i, line in enumerate(head) if i != header]
-                    size, part = sum(map(len, text)), 0
-                    header_seen = header is not None
-                    for line in lines:
-                        if not header_seen:
-                            header_seen = bool(line.strip())
-                            continue
-                        text.append(line)
-                        size += len(line)
-                        if size >= chunk_characters:
-                            yield chunk(path, name, part, preamble, text)
-                            text, size, part = [], 0, part + 1
+        for frame in frames:
+            rows = zip(*(frame[c] for c in ("_arquivo", "membro", "deflated", "packed")))
+            for path, name, deflated, packed in rows:
+                blocks = _inflated(packed, deflated, chunk_characters)
+                start: list[str] = []
+                opening = ""
+                for block in blocks:
+                    opening += block.decode(encoding, errors="replace")
+                    start = LINES.findall(opening)
+                    if len(start) > preamble_lines and any(line.strip() for line in start):
+                        break
+                head = start[:preamble_lines]
+                header = next((i for i, line in enumerate(start) if line.strip()), None)
+                text = "".join(line for i, line in enumerate(start) if i != header)
+                part = 0
+                for block in itertools.chain([None], blocks):
+                    if block is not None:
+                        text = block.decode(encoding, errors="replace")
                     if text or part == 0:
-                        yield chunk(path, name, part, preamble, text)
-
-    found = _archives(spark, path).mapInPandas(chunks, CHUNK_SCHEMA)
-    return found.repartition("_arquivo", "membro", "parte")
+                        yield pd.DataFrame(
+                            {
+                                "_arquivo": [path],
+                                "membro": [name],
+                                "parte": [part],
+                                "preambulo": ["".join(head)],
+                                "texto": [text],
+                            }
+                        )
+                        part += 1
+
+    return packed_members(spark, path, pattern).mapInPandas(chunks, CHUNK_SCHEMA)
 
 
 def chunk_lines(chunks: DataFrame, *keep: str) -> DataFrame:
