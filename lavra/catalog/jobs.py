@@ -128,8 +128,7 @@ def quality_report_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{new_folder(spark, 'stored')}/sih"
     cleaned = admissions.clean(orders(spark, sf_dir).drop("VAL_TOT"))
     enriched = admissions.enrich(cleaned, dimension(spark, sf_dir))
-    two_digits = F.lpad(F.col("mes").cast("string"), 2, "0")
-    write_periods(enriched.withColumn("mes", two_digits), root)
+    write_periods(enriched, root)
     return reports.admissions_report(spark, root).checks.drop("position")
 
 

@@ -30,6 +30,10 @@ LIVE_RECORD = 0x20
 BLANK_BYTES = (0x20, 0x00)
 COUNT_POSITION = 4
 NUMBER_KINDS = "NF"
+# Types whose cells are text; the others hold binary numbers and are refused.
+TEXT_KINDS = "CNFDLM"
+# More digits than a 64-bit number surely holds.
+LONG_DIGITS = 18
 
 
 @dataclass(frozen=True)
@@ -73,8 +77,11 @@ class Layout:
                 break
             name = bytes(content[start : start + NAME_BYTES]).split(b"\0")[0].decode("latin-1")
             kind, decimals = chr(content[start + NAME_BYTES]), content[start + DECIMALS_POSITION]
-            fields.append(Field(name, kind, decimals))
             size = content[start + SIZE_POSITION]
+            if kind not in TEXT_KINDS:
+                raise ValueError(f"field {name} has the type {kind}, which is no text")
+            wide = kind == "N" and not decimals and size > LONG_DIGITS
+            fields.append(Field(name, kind, None if wide else decimals))
             places[name] = slice(offset, offset + size)
             offset += size
         if offset > record_bytes:

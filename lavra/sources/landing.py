@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# year/RDSPyymm.dbc, its unpacked form with .dbf, and year/year.zip; directories may be named (ano=2023).
-MONTHLY_FILE = r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?RDSP(\d{2})(\d{2})\.dbc(?:/|$)"
+# In any case: year/RDSPyymm.dbc, its unpacked form with .dbf, and year/year.zip; directories may be named (ano=2023).
+MONTHLY_FILE = r"(?i)/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?RDSP(\d{2})(\d{2})\.dbc(?:/|$)"
 MONTHLY_TABLE = MONTHLY_FILE.replace("dbc", "dbf")
-YEARLY_FILE = r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(\d{4})\.zip(?:/|$)"
+YEARLY_FILE = r"(?i)/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(\d{4})\.zip(?:/|$)"
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:

@@ -185,6 +185,15 @@ def test_truncated_dbf_is_an_error(spark, tmp_path):
     assert [r["_erro"] for r in complaints] == ["cut short: 3 of 100 records"]
 
 
+def test_wide_numbers_are_doubles_and_binary_types_are_refused(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(dbf_bytes([("N", "N", 20)], [(" ", ["12345678901234567890"])]))
+    fields = dbf.describe(spark, str(tmp_path))
+    assert decode(spark, tmp_path, fields).first()["N"] == 12345678901234567890.0
+    (tmp_path / "a.dbf").write_bytes(dbf_bytes([("I", "I", 4)], [(" ", ["abcd"])]))
+    with pytest.raises(Exception, match="field I has the type I"):
+        decode(spark, tmp_path, [dbf.Field("I")]).collect()
+
+
 def test_fields_of_all_files_are_described(spark, tmp_path):
     (tmp_path / "a.dbf").write_bytes(dbf_bytes([("A", "C", 3), ("N", "N", 4)], [(" ", ["x", "12"])]))
     (tmp_path / "b.dbf").write_bytes(dbf_bytes([("A", "C", 3), ("NEW", "C", 2)], [(" ", ["y", "z"])]))
