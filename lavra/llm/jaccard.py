@@ -1,14 +1,17 @@
 """Exact n-gram Jaccard join: size-banded tiles, bitmap bounds, sorted-array intersection.
 
 1. Each text becomes a set of 64-bit shingle hashes; equal sets are one set from here on.
-2. Prefix rule: sets that link share one of the first ``n - ceil(t * n) + 1`` shingles in any
-   fixed order. The order is by hash, with frequent shingles last, so that a passage which
-   many texts share leads to no candidates unless it is most of a text.
+2. Prefix rule: sets that link share k of the first ``n - ceil(t * n) + k`` shingles in any
+   fixed order. The order is by hash, with frequent shingles last. With k a tenth of a set, a
+   set of whose prefix too few shingles occur in any other set of like size links with none and
+   goes, so a passage that many texts share leads to candidates only if it is much of a text.
 3. Entries of a shingle and a size band form a tile. First each set meets the first set of
    its tiles only (the one it shares most tiles with): that joins large groups of near copies
    with one comparison per set.
 4. What is left are tiles that still hold several components. Their sets are compared block
-   by block with sets of the same and the next band; counts of differing bits bound the overlap from above.
+   by block with sets of the same and the next band; counts of differing bits bound the overlap
+   from above. A first round takes only pairs that would join components of a tile, the second
+   all pairs of components that are still apart.
 5. Pairs that pass the bound are settled by intersecting the sorted arrays.
 """
 
@@ -19,8 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lavra.llm.components import components
 from lavra.llm.staging import chunks, stage, texts_of
@@ -32,6 +36,8 @@ PERCENT = 80
 OFTEN = 4
 #: Most frequent shingles that get an order of their own. They only order the prefixes: no candidate depends on them.
 ORDERED = 1 << 16
+#: k of the prefix rule, in percent of a set.
+EXTRA = 10
 #: Sets per block of a tile, which bounds the sets that a task compares at once.
 BLOCK = 512
 
@@ -85,14 +91,15 @@ def linked(a: int, b: int, overlap, percent: int = PERCENT):
 
 
 def _sets(words: int):
-    schema = "doc_id long, key_a long, key_b long, often array<long>, times array<long>"
+    schema = "doc_id long, key_a long, key_b long, bits binary, often array<long>, times array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, "text"):
-            keys, distinct = [], {}
+            keys, bits, distinct = [], [], {}
             for text in texts_of(chunk, "text"):
                 found = shingles(text, words)
                 keys.append(identity(found))
+                bits.append(bitmap(found).tobytes() if len(found) else None)
                 distinct[keys[-1]] = found
             every, times = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
             top = times >= OFTEN
@@ -102,10 +109,11 @@ def _sets(words: int):
                     chunk.column("doc_id").cast(pa.int64()),
                     pa.array([k[0] for k in keys], pa.int64()),
                     pa.array([k[1] for k in keys], pa.int64()),
+                    pa.array(bits, pa.binary()),
                     pa.array([every[top].view(np.int64)] + [None] * (n - 1), pa.list_(pa.int64())),
                     pa.array([times[top]] + [None] * (n - 1), pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key_a", "key_b", "often", "times"],
+                names=["doc_id", "key_a", "key_b", "bits", "often", "times"],
             )
 
     return run, schema
@@ -123,14 +131,15 @@ def _prefixes(words: int, percent: int, hot):
                 if not len(found) or key in seen:
                     continue
                 seen.add(key)
-                want = len(found) + percent * len(found) // -100 + 1
+                n = len(found)
+                want = n - -(-percent * n // 100) + max(1, -(-EXTRA * n // 100))
                 if len(values):
                     at = np.minimum(np.searchsorted(values, found), len(values) - 1)
                     weight = np.where(values[at] == found, counts[at], 0)
                     if weight.any():
                         found = found[np.argsort(weight, kind="stable")]
                 firsts.append(found[:want])
-                sizes.append(want)
+                sizes.append(len(firsts[-1]))
                 keys.append(key)
             if len(seen) > 200_000:
                 seen.clear()
@@ -150,16 +159,20 @@ def _band(key_b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _tiles(percent: int):
-    """Stream entries sorted by shingle and size; leave out those that are alone."""
+    """Stream entries sorted by shingle and size; leave out those that no entry of like size joins.
+
+    Entries of one shingle are sorted by size, so the neighbours are the nearest in size.
+    """
     names = ["shingle", "key_a", "key_b", "band", "pos", "first_a", "first_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, whose successor is unknown: values, starts a shingle, starts a tile, place, first of the tile
+        held = None  # the last row, whose successor is unknown: values, starts a shingle, starts a tile, place, first of the tile, joined
 
         def step(s, a, b, last: bool):
             nonlocal held
             if held:
                 s, a, b = (np.concatenate([[x], y]) for x, y in zip(held[0], (s, a, b)))
+                joined = held[-1]
             same = np.concatenate([[False], (s[1:] == s[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])])
             s, a, b = s[~same], a[~same], b[~same]
             band, n = _band(b, percent), len(s)
@@ -167,16 +180,21 @@ def _tiles(percent: int):
             tile = new | np.concatenate([[True], band[1:] != band[:-1]])
             place, first_a, first_b = 0, 0, 0
             if held:
-                new[0], tile[0], place, first_a, first_b = held[1:]
+                new[0], tile[0], place, first_a, first_b = held[1:-1]
             row = np.arange(n)
             start = np.maximum.accumulate(np.where(tile, row, -1))
             pos = np.where(start >= 0, row - start, row + place)
             fa = np.where(start >= 0, a[np.maximum(start, 0)], first_a)
             fb = np.where(start >= 0, b[np.maximum(start, 0)], first_b)
-            more = np.concatenate([~new[1:], [False]])
+            size = b >> 32
+            like = ~new
+            like[1:] &= 100 * size[:-1] >= percent * size[1:]
+            if held:
+                like[0] = joined
+            more = np.concatenate([like[1:], [False]])
             end = n if last else n - 1
-            held = ((s[-1], a[-1], b[-1]), bool(new[-1]), bool(tile[-1]), int(pos[-1]), int(fa[-1]), int(fb[-1]))
-            keep = np.flatnonzero((~new | more)[:end])
+            held = ((s[-1], a[-1], b[-1]), bool(new[-1]), bool(tile[-1]), int(pos[-1]), int(fa[-1]), int(fb[-1]), bool(like[-1]))
+            keep = np.flatnonzero((like | more)[:end])
             return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (s, a, b, band, pos.astype(np.int64), fa, fb)], names=names)
 
         for batch in batches:
@@ -199,9 +217,8 @@ def _arrays(words: int):
                     pa.array([k[0] for k in keys], pa.int64()),
                     pa.array([k[1] for k in keys], pa.int64()),
                     pa.array([f.tobytes() for f in found], pa.binary()),
-                    pa.array([bitmap(f).tobytes() for f in found], pa.binary()),
                 ],
-                names=["key_a", "key_b", "items", "bits"],
+                names=["key_a", "key_b", "items"],
             )
 
     return run
@@ -214,8 +231,12 @@ def _may_link(bits: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray
     return linked(size, sizes, np.minimum(size - mine, sizes - theirs), percent)
 
 
-def _compare(percent: int):
-    """Stream the blocks of tiles; emit pairs of different components that the bounds let pass."""
+def _compare(percent: int, forest: bool):
+    """Stream the blocks of tiles; emit pairs of different components that the bounds let pass.
+
+    With ``forest`` a pair joins its two components for the rest of the tile, so
+    a tile emits fewer pairs than it has components.
+    """
 
     def tile(rows: pa.Table) -> np.ndarray:
         size = rows.column("key_b").to_numpy() >> 32
@@ -227,14 +248,20 @@ def _compare(percent: int):
         raw = [np.frombuffer(x.as_py(), _U) for x in rows.column("bits")]
         width = min(map(len, raw))
         bits = np.stack([fold(x, width) for x in raw])
-        found = []
+        comp = comp.copy()
+        found = [np.zeros((0, 2), np.int64)]
         for i in np.flatnonzero(right == 0) if crossing else range(len(size) - 1):
             rest = np.flatnonzero(right == 1) if crossing else np.arange(i + 1, len(size))
             rest = rest[(comp[rest] != comp[i]) & linked(size[i], size[rest], np.minimum(size[i], size[rest]), percent)]
             if len(rest):
                 rest = rest[_may_link(bits[i], size[i], bits[rest], size[rest], percent)]
-                found += [(i, j) for j in rest]
-        return np.array(found, np.int64).reshape(-1, 2)
+            if forest and len(rest):
+                joined, first = np.unique(comp[rest], return_index=True)
+                rest = rest[first]
+                comp[np.isin(comp, joined)] = comp[i]
+            if len(rest):
+                found.append(np.stack([np.full(len(rest), i), rest], axis=1))
+        return np.concatenate(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: pa.Table | None = None
@@ -265,68 +292,99 @@ def _compare(percent: int):
     return run, "key_a long, key_b long, other_a long, other_b long"
 
 
+PAIR = "key_a long, key_b long, other_a long, other_b long"
+
+
+def _bounded(percent: int):
+    """Leave out pairs whose sizes or bitmaps exclude a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            sizes = zip(batch.column("key_b").to_numpy() >> 32, batch.column("other_b").to_numpy() >> 32)
+            for row, ((m, n), p, q) in enumerate(zip(sizes, batch.column("bits"), batch.column("other_bits"))):
+                if linked(m, n, min(m, n), percent):
+                    p, q = np.frombuffer(p.as_py(), _U), np.frombuffer(q.as_py(), _U)
+                    width = min(len(p), len(q))
+                    if _may_link(fold(p, width), m, fold(q, width)[None], np.array([n]), percent)[0]:
+                        keep.append(row)
+            yield batch.select(["key_a", "key_b", "other_a", "other_b"]).take(pa.array(keep, pa.int64()))
+
+    return run, PAIR
+
+
 def _settle(percent: int):
     """The exact test of pairs that carry both arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for row, (x, y, p, q) in enumerate(zip(*(batch.column(c) for c in ("items", "other_items", "bits", "other_bits")))):
+            for row, (x, y) in enumerate(zip(batch.column("items"), batch.column("other_items"))):
                 a, b = np.frombuffer(x.as_py(), _U), np.frombuffer(y.as_py(), _U)
-                if not linked(len(a), len(b), min(len(a), len(b)), percent):
-                    continue
-                p, q = np.frombuffer(p.as_py(), _U), np.frombuffer(q.as_py(), _U)
-                width = min(len(p), len(q))
-                if not _may_link(fold(p, width), len(a), fold(q, width)[None], np.array([len(b)]), percent)[0]:
-                    continue
                 if linked(len(a), len(b), len(np.intersect1d(a, b, assume_unique=True)), percent):
                     keep.append(row)
             yield batch.select(["key_a", "key_b", "other_a", "other_b"]).take(pa.array(keep, pa.int64()))
 
-    return run, "key_a long, key_b long, other_a long, other_b long"
+    return run, PAIR
 
 
-def _exact(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    other = arrays.select(F.col("key_a").alias("other_a"), F.col("key_b").alias("other_b"), F.col("items").alias("other_items"), F.col("bits").alias("other_bits"))
-    return pairs.join(arrays, ["key_a", "key_b"]).join(other, ["other_a", "other_b"]).mapInArrow(*_settle(percent))
+def _as_other(sets: DataFrame, value: str, name: str) -> DataFrame:
+    return sets.select(F.col("key_a").alias("other_a"), F.col("key_b").alias("other_b"), F.col(value).alias(name))
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Link ``docs`` (doc_id, text) whose word ``words``-gram sets have a Jaccard similarity of ``percent`` / 100 or more.
-
-    Words are separated by ASCII white space, A-Z lower-cased. A text with fewer
-    words is one n-gram; a NULL, empty or blank text has no set and links with
-    nothing. Repeated rows (same id, same text) stay repeated. Other columns are
-    ignored; an empty table gives no rows. The join is exact for any size of
-    groups: no bucket, tile or partner list is capped.
+def _links(pairs: DataFrame, reps: DataFrame, thin: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that link, as pairs of representatives (a, b).
 
-    Returns doc_id, n_shingles, component_id (least linked doc_id, itself included).
+    Only sets of the given pairs are made again from their texts. Their ids are
+    written first: Spark then knows their size and sends them out only if they are few.
     """
-    spark = docs.sparkSession
-    thin = docs.select(F.col("doc_id").cast("long"), "text")
     ids = ["key_a", "key_b"]
-    sets = stage(thin.mapInArrow(*_sets(words)), "sets")
-    often = sets.where("often is not null").select(F.explode(F.arrays_zip("often", "times")).alias("x"))
-    often = often.groupBy(F.col("x.often").alias("shingle")).agg(F.sum("x.times").alias("times")).orderBy(F.desc("times"), "shingle").limit(ORDERED).collect()
-    order = np.array([r["shingle"] for r in often], np.int64).view(_U)
-    times = np.array([r["times"] for r in often], np.int64)
-    hot = spark.sparkContext.broadcast((order[np.argsort(order)], times[np.argsort(order)]))
+    both = pairs.select(*ids).unionByName(pairs.select(F.col("other_a").alias("key_a"), F.col("other_b").alias("key_b")))
+    wanted = stage(both.distinct().join(reps, ids).select(F.col("rep").alias("doc_id")), "wanted")
+    arrays = stage(thin.join(wanted, "doc_id").mapInArrow(_arrays(words), "key_a long, key_b long, items binary"), "arrays")
+    exact = pairs.join(arrays, ids).join(_as_other(arrays, "items", "other_items"), ["other_a", "other_b"]).mapInArrow(*_settle(percent))
+    named = exact.join(reps, ids).join(_as_other(reps, "rep", "b"), ["other_a", "other_b"])
+    return stage(named.select(F.col("rep").alias("a"), "b"), "links")
+
+
+def _shared_enough(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries of sets that share as much of their prefix with others as any link needs."""
+    kept = entries.groupBy("key_a", "key_b").agg(F.count("*").alias("shared")).where(F.col("shared") >= _need(percent))
+    return entries.join(kept.select("key_a", "key_b"), ["key_a", "key_b"], "left_semi")
+
+
+def _need(percent: int) -> Column:
+    """Entries that a set shares with any set it links to; the smaller of the two may set k."""
+    return F.greatest(F.lit(1), F.floor(F.shiftright("key_b", 32) * (percent * EXTRA) / F.lit(10000)))
+
+
+def _rarest(entries: DataFrame, percent: int) -> DataFrame:
+    """The prefix rule once more, over the entries left: of its m entries a set keeps the m - need + 1 rarest."""
+    holders = entries.groupBy("shingle").agg(F.count("*").alias("holders"))
+    own = Window.partitionBy("key_a", "key_b")
+    ranked = entries.join(holders, "shingle").select(
+        "shingle",
+        "key_a",
+        "key_b",
+        F.row_number().over(own.orderBy("holders", "shingle")).alias("nth"),
+        F.count("*").over(own).alias("shared"),
+    )
+    return ranked.where(F.col("nth") <= F.col("shared") - _need(percent) + 1).select("shingle", "key_a", "key_b")
 
-    prefix = thin.mapInArrow(_prefixes(words, percent, hot), "shingle long, key_a long, key_b long")
-    entries = stage(prefix.repartition("shingle").sortWithinPartitions("shingle", "key_b", "key_a").mapInArrow(*_tiles(percent)), "entries")
-    reps = stage(sets.where(F.col("key_b") >= 1 << 32).groupBy(*ids).agg(F.min("doc_id").alias("rep")), "representatives")
 
-    # Step 3: one partner for each set, the first set of the tiles that it shares most.
-    met = entries.where("key_a != first_a or key_b != first_b").groupBy(*ids, "first_a", "first_b").agg(F.count("*").alias("shared"))
-    best = met.groupBy(*ids).agg(F.max(F.struct("shared", "first_a", "first_b")).alias("best"))
-    best = best.select(*ids, F.col("best.first_a").alias("other_a"), F.col("best.first_b").alias("other_b"))
-    wanted = entries.select(*ids).distinct().join(reps, ids).select(F.col("rep").alias("doc_id"))
-    arrays = stage(thin.join(wanted, "doc_id").mapInArrow(_arrays(words), "key_a long, key_b long, items binary, bits binary"), "arrays")
-    edges = stage(_named(_exact(best, arrays, percent), reps), "links")
+def _component_of(reps: DataFrame, edges: DataFrame) -> DataFrame:
+    """key_a, key_b and the component (comp) of every set."""
     labels = components(edges)
+    return reps.join(labels, reps["rep"] == labels["node"], "left").select("key_a", "key_b", F.coalesce("label", "rep").alias("comp"))
+
+
+def _across(entries: DataFrame, of: DataFrame, bits: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs of sets of different components that share a tile and pass the bounds.
 
-    # Step 4: tiles that hold several components, block by block.
-    of = reps.join(labels, reps["rep"] == labels["node"], "left").select(*ids, F.coalesce("label", "rep").alias("comp"))
+    Only tiles with several components are opened. They are cut into blocks, and
+    a set meets each block of its own and the next size band once.
+    """
+    ids = ["key_a", "key_b"]
     placed = stage(entries.select("shingle", *ids, "band", "pos").join(of, ids), "placed")
     mixed = placed.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("shingle")
     open_rows = placed.join(mixed, "shingle", "left_semi")
@@ -351,18 +409,55 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.transform(others("below"), lambda j: tile(band - 1, j, block, 1, 1)),
     )
     tile_key = ["shingle", "band", "block_a", "block_b", "crossing"]
-    small = arrays.select(*ids, "bits")
-    dealt = rows.select("shingle", *ids, "comp", F.explode(tiles).alias("tile")).select("shingle", *ids, "comp", "tile.*").join(small, ids)
+    dealt = rows.select("shingle", *ids, "comp", F.explode(tiles).alias("tile")).select("shingle", *ids, "comp", "tile.*").join(bits, ids)
     dealt = dealt.repartition(*tile_key).sortWithinPartitions(*tile_key, "key_b", "key_a")
-    pairs = dealt.mapInArrow(*_compare(percent)).distinct()
-    more = stage(_named(_exact(pairs, arrays, percent), reps), "links")
-    labels = components(edges.unionByName(more))
+    return dealt.mapInArrow(*_compare(percent, forest)).distinct()
 
-    of = reps.join(labels, reps["rep"] == labels["node"], "left").select(*ids, F.coalesce("label", "rep").alias("comp"))
-    return sets.join(of, ids, "left").select("doc_id", F.shiftright("key_b", 32).alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
 
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Link ``docs`` (doc_id, text) whose word ``words``-gram sets have a Jaccard similarity of ``percent`` / 100 or more.
+
+    Words are separated by ASCII white space, A-Z lower-cased. A text with fewer
+    words is one n-gram; a NULL, empty or blank text has no set and links with
+    nothing. Repeated rows (same id, same text) stay repeated. Other columns are
+    ignored; an empty table gives no rows. The join is exact for any size of
+    groups: no bucket, tile or partner list is capped.
 
-def _named(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of sets as pairs of their representatives: a, b."""
-    other = reps.select(F.col("key_a").alias("other_a"), F.col("key_b").alias("other_b"), F.col("rep").alias("b"))
-    return pairs.join(reps, ["key_a", "key_b"]).join(other, ["other_a", "other_b"]).select(F.col("rep").alias("a"), "b")
+    Returns doc_id, n_shingles, component_id (least linked doc_id, itself included).
+    """
+    spark = docs.sparkSession
+    thin = docs.select(F.col("doc_id").cast("long"), "text")
+    ids = ["key_a", "key_b"]
+    sets = stage(thin.mapInArrow(*_sets(words)), "sets")
+    often = sets.where("often is not null").select(F.explode(F.arrays_zip("often", "times")).alias("x"))
+    often = often.groupBy(F.col("x.often").alias("shingle")).agg(F.sum("x.times").alias("times")).orderBy(F.desc("times"), "shingle").limit(ORDERED).collect()
+    order = np.array([r["shingle"] for r in often], np.int64).view(_U)
+    times = np.array([r["times"] for r in often], np.int64)
+    hot = spark.sparkContext.broadcast((order[np.argsort(order)], times[np.argsort(order)]))
+
+    prefix = thin.mapInArrow(_prefixes(words, percent, hot), "shingle long, key_a long, key_b long")
+
+    def tiles(rows: DataFrame) -> DataFrame:
+        return rows.repartition("shingle").sortWithinPartitions("shingle", "key_b", "key_a").mapInArrow(*_tiles(percent))
+
+    # Sets that share too little go, and then those that shared it with them.
+    entries = stage(tiles(prefix), "entries")
+    entries = stage(tiles(_shared_enough(entries, percent).select("shingle", *ids)), "entries")
+    entries = stage(tiles(_rarest(entries, percent)), "entries")
+    reps = stage(sets.where(F.col("key_b") >= 1 << 32).groupBy(*ids).agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits")), "representatives")
+    rep_ids, bits = reps.drop("bits"), reps.drop("rep")
+
+    # Step 3: one partner for each set, the first set of the tiles that it shares most.
+    met = entries.where("key_a != first_a or key_b != first_b").groupBy(*ids, "first_a", "first_b").agg(F.count("*").alias("shared"))
+    best = met.groupBy(*ids).agg(F.max(F.struct("shared", "first_a", "first_b")).alias("best"))
+    best = best.select(*ids, F.col("best.first_a").alias("other_a"), F.col("best.first_b").alias("other_b"))
+    best = best.join(bits, ids).join(_as_other(bits, "bits", "other_bits"), ["other_a", "other_b"])
+    edges = _links(stage(best.mapInArrow(*_bounded(percent)), "pairs"), rep_ids, thin, words, percent)
+
+    # Step 4: first what joins components, few pairs of each tile; then every pair that is left.
+    for forest in (True, False):
+        pairs = stage(_across(entries, _component_of(rep_ids, edges), bits, percent, forest), "pairs")
+        edges = stage(edges.unionByName(_links(pairs, rep_ids, thin, words, percent)), "links")
+
+    of = _component_of(rep_ids, edges)
+    return sets.join(of, ids, "left").select("doc_id", F.shiftright("key_b", 32).alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
