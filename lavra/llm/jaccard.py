@@ -141,7 +141,7 @@ def _prefixes(words: int, percent: int, hot):
                 firsts.append(found[:want])
                 sizes.append(len(firsts[-1]))
                 keys.append(key)
-            if len(seen) > 200_000:
+            if len(seen) > 50_000:
                 seen.clear()
             if keys:
                 pairs = np.array(keys, np.int64)

@@ -39,6 +39,8 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             yield batch.slice(int(lo), int(hi - lo))
+    # A worker lives on with the next task: give back what this one no longer needs.
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:

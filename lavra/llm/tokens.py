@@ -25,8 +25,9 @@ DOUBTFUL = re.compile(r" (?:\s|\Z)")
 MARK = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,](?=[ \n]|\Z)")
 #: One line feed between other characters: a part of its own, too.
 FEED = re.compile(r"(?<=\S)\n(?=\S)")
-MEMO_PIECES = 1_200_000
-MEMO_CHARS = 16_000_000
+#: Bounds of the memo, about 100 MB; beyond them it starts anew.
+MEMO_PIECES = 690_000
+MEMO_CHARS = 10_000_000
 
 
 def _byte_letters() -> dict[int, str]:
