@@ -23,10 +23,12 @@ MAX_REPEAT_PERCENT = 30
 ACCURACY = 0.02
 #: A group with fewer passing documents takes the thresholds of its language, then those of all.
 GROUP_LEAST = 200
-#: How many times the spread between the quartiles a value may lie beyond them.
+#: How many times its spread a value may lie beyond the quartiles.
 REACH = 8.0
-#: Metric, and the least spread that counts: groups of near equal documents are not judged by noise.
-METRICS = {"word_length": 1.0, "symbol_ratio": 0.02, "dup_line_ratio": 0.07, "repeat_ratio": 0.04}
+#: Metric, the least spread that counts (groups of near equal documents are not judged by noise), and the
+#: distance from the median as which any longer one counts (outliers do not stretch their own fence).
+#: Where no document has a repeat or sign, REACH times the least spread is the fence: far below the base's 0.3.
+METRICS = {"word_length": (0.2, 0.5), "symbol_ratio": (0.0125, 0.1), "dup_line_ratio": (0.03, 0.1), "repeat_ratio": (0.015, 0.05)}
 
 _U = np.uint64
 _STEPS = [_U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9), _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)]
@@ -123,15 +125,29 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
 
 
+def _of_metric(place: int):
+    return F.create_map(*[x for m, v in METRICS.items() for x in (F.lit(m), F.lit(v[place]))])[F.col("metric")]
+
+
 def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key and metric: total, q1 and q3, read off the cumulative counts."""
+    """Per key and metric: total, q1 and q3, read off the cumulative counts, and the spread.
+
+    The spread is the largest of the distance of the quartiles, the root mean square
+    distance from the median with long distances cut, and the least one of the metric. So
+    ratios that are zero for most documents have a spread that follows the others.
+    """
     base = math.log((1 + ACCURACY) / (1 - ACCURACY))
     upto = Window.partitionBy(*keys, "metric").orderBy("bucket")
     all_rows = Window.partitionBy(*keys, "metric")
     value = F.when(F.col("bucket") == -(1 << 30), 0.0).otherwise(F.exp((F.col("bucket") - 0.5) * base))
     reached = lambda q: F.min(F.when(F.col("sum") >= q * F.col("total"), F.col("value")))
-    summed = sketches.select(*keys, "metric", value.alias("value"), F.sum("n").over(upto).alias("sum"), F.sum("n").over(all_rows).alias("total"))
-    return summed.groupBy(*keys, "metric").agg(F.max("total").alias("total"), reached(0.25).alias("q1"), reached(0.75).alias("q3"))
+    summed = sketches.select(*keys, "metric", "n", value.alias("value"), F.sum("n").over(upto).alias("sum"), F.sum("n").over(all_rows).alias("total"))
+    away = F.least(F.abs(F.col("value") - reached(0.5).over(all_rows)), _of_metric(1))
+    met = summed.withColumn("away", away).groupBy(*keys, "metric")
+    found = met.agg(
+        F.max("total").alias("total"), reached(0.25).alias("q1"), reached(0.75).alias("q3"), F.sqrt(F.sum(F.col("n") * F.col("away") * F.col("away")) / F.max("total")).alias("rms")
+    )
+    return found.select(*keys, "metric", "total", "q1", "q3", F.greatest(F.col("q3") - F.col("q1"), "rms", _of_metric(0)).alias("spread"))
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
@@ -144,12 +160,11 @@ def thresholds(rows: DataFrame) -> DataFrame:
     ]
     met = levels[0]
     for name, keys, table in (("l", ["lang"], levels[1]), ("g", [], levels[2])):
-        renamed = table.select(*keys, "metric", *[F.col(c).alias(f"{name}_{c}") for c in ("total", "q1", "q3")])
+        renamed = table.select(*keys, "metric", *[F.col(c).alias(f"{name}_{c}") for c in ("total", "q1", "q3", "spread")])
         met = met.join(renamed, [*keys, "metric"], "left")
     own, lang = F.col("total") >= GROUP_LEAST, F.col("l_total") >= GROUP_LEAST
     chosen = lambda c: F.when(own, F.col(c)).when(lang, F.col(f"l_{c}")).otherwise(F.col(f"g_{c}"))
-    floor = F.create_map(*[x for m, v in METRICS.items() for x in (F.lit(m), F.lit(v))])[F.col("metric")]
-    spread = F.greatest(chosen("q3") - chosen("q1"), floor)
+    spread = chosen("spread")
     fences = met.select("lang", "source", "metric", (chosen("q1") - REACH * spread).alias("low"), (chosen("q3") + REACH * spread).alias("high"))
     return fences.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{m}_{side}") for m in METRICS for side in ("low", "high")]
@@ -162,7 +177,7 @@ def judge(docs: DataFrame) -> DataFrame:
     A document fails the base with fewer than 20 words or when over 30 % of its
     words repeat in windows. Of the others, each language and source sketches
     its ratios, and a document goes whose ratio lies further beyond the quartiles
-    than REACH times their distance. Groups that are too small borrow the sketch
+    than REACH times their spread. Groups that are too small borrow the sketch
     of their language, then of all. NULL languages and sources are groups of
     their own, NULL texts are empty (and fail). Repeated rows are judged alike.
     Other columns, with whatever names, are not read.

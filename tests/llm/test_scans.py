@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lavra.llm import html_text, license_scan, quality, queries, secret_scan
 from tests.llm import brute
-from tests.llm.fixtures import no_docs, odd_docs, odd_rows
+from tests.llm.fixtures import no_docs, odd_docs, odd_rows, prose
 
 
 def values(df, *columns):
@@ -115,6 +115,34 @@ def test_thresholds_follow_their_group(spark):
     assert kept[1] and not kept[1000] and kept[2001]
 
 
+def test_each_metric_rejects_an_outlier_that_the_base_passes(spark):
+    rows = [(i, f"{prose(i, 60)}\n{prose(1000 + i, 60)}", "en", "a") for i in range(300)]
+    once = [prose(2000 + k, 12) for k in range(10)]
+    passage = " ".join(once[0].split()[:12])
+    outliers = {
+        "word_length": " ".join(w * 2 for w in prose(3000, 100).split()),
+        "symbol_ratio": " ".join(w + "#" * (k % 3 == 0) for k, w in enumerate(prose(3001, 60).split())),
+        "dup_line_ratio": "\n".join([*once, *[x for x in ("one", "two", "one", "two", "one", "two", "one", "one", "one", "two")]]),
+        "repeat_ratio": f"{passage} {prose(3002, 80)} {passage} {prose(3003, 20)}",
+    }
+    planted = [(5000 + k, text, "en", "a") for k, text in enumerate(outliers.values())]
+    docs = spark.createDataFrame([*rows, *planted], "doc_id long, text string, lang string, source string")
+    found = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert all(found[i]["kept"] for i in range(300))
+    limits = quality.thresholds(quality.measure(docs)).first()
+    for row, metric in zip(quality.measure(docs.where("doc_id >= 5000")).orderBy("doc_id").collect(), outliers):
+        assert not row["base_failed"] and not found[row["doc_id"]]["kept"]
+        assert [m for m in quality.METRICS if not limits[f"{m}_low"] <= row[m] <= limits[f"{m}_high"]] == [metric]
+
+
+def test_fences_follow_the_ratios_of_the_group(spark):
+    rows = [(source, 0.04 if i < some else 0.0) for source, some in (("a", 0), ("b", 60)) for i in range(300)]
+    measured = spark.createDataFrame(rows, "source string, r double").selectExpr("'en' as lang", "source", "false as base_failed", "5.0 as word_length", "r as symbol_ratio", "r as dup_line_ratio", "r as repeat_ratio")
+    high = {r["source"]: r for r in quality.thresholds(measured).collect()}
+    assert high["a"]["repeat_ratio_high"] < high["b"]["repeat_ratio_high"] < 0.3
+    assert high["a"]["symbol_ratio_high"] < high["b"]["symbol_ratio_high"]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Title &amp; more</title><style>p{}</style><script>var t="</p>";</script></head>
 <body class="has-sidebar"><header><h2>Site</h2></header><nav><ul><li><a href=/a>Menu entry</a><li>Other</ul></nav>
 <div class="cookie-notice">We use cookies, please agree to all of them, now.</div>
