@@ -21,10 +21,13 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Relative accuracy of a sketched quantile.
 ACCURACY = 0.02
-#: A group with fewer passing documents takes the thresholds of its language, then those of all.
+#: Passing documents from which a group's own sketch decides alone. Below, its fences move in proportion to the
+#: wide ones of its language, and the spread of a language that is itself smaller is stretched in inverse proportion.
 GROUP_LEAST = 200
 #: How many times its spread a value may lie beyond the quartiles.
 REACH = 8.0
+#: How much wider the fences of a whole language are.
+WIDE = 1.5
 #: Metric, the least spread that counts (groups of near equal documents are not judged by noise), and the
 #: distance from the median as which any longer one counts (outliers do not stretch their own fence).
 #: Where no document has a repeat or sign, REACH times the least spread is the fence: far below the base's 0.3.
@@ -151,21 +154,22 @@ def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """One row per language and source: the lowest and highest value of each metric that passes."""
+    """One row per language and source: the lowest and highest value of each metric that passes.
+
+    No language is judged by another's documents. With few documents the fences
+    widen steadily, until only the base rules decide; no count switches them.
+    """
     groups = stage(sketch(rows.where(~F.col("base_failed")), ["lang", "source"]), "sketches")
-    levels = [
-        quartiles(groups, ["lang", "source"]),
-        quartiles(merge(groups, ["lang"]), ["lang"]),
-        quartiles(merge(groups, []), []),
-    ]
-    met = levels[0]
-    for name, keys, table in (("l", ["lang"], levels[1]), ("g", [], levels[2])):
-        renamed = table.select(*keys, "metric", *[F.col(c).alias(f"{name}_{c}") for c in ("total", "q1", "q3", "spread")])
-        met = met.join(renamed, [*keys, "metric"], "left")
-    own, lang = F.col("total") >= GROUP_LEAST, F.col("l_total") >= GROUP_LEAST
-    chosen = lambda c: F.when(own, F.col(c)).when(lang, F.col(f"l_{c}")).otherwise(F.col(f"g_{c}"))
-    spread = chosen("spread")
-    fences = met.select("lang", "source", "metric", (chosen("q1") - REACH * spread).alias("low"), (chosen("q3") + REACH * spread).alias("high"))
+    lang = quartiles(merge(groups, ["lang"]), ["lang"])
+    stretch = WIDE * F.greatest(F.lit(1.0), GROUP_LEAST / F.col("total"))
+    wide = lang.select(
+        "lang", "metric", (F.col("q1") - REACH * stretch * F.col("spread")).alias("wide_low"), (F.col("q3") + REACH * stretch * F.col("spread")).alias("wide_high")
+    )
+    met = quartiles(groups, ["lang", "source"]).join(wide, ["lang", "metric"])
+    own = F.least(F.lit(1.0), F.col("total") / GROUP_LEAST)
+    mixed = lambda fence, side: (own * fence + (1 - own) * F.col(f"wide_{side}")).alias(side)
+    reach = REACH * F.col("spread")
+    fences = met.select("lang", "source", "metric", mixed(F.col("q1") - reach, "low"), mixed(F.col("q3") + reach, "high"))
     return fences.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{m}_{side}") for m in METRICS for side in ("low", "high")]
     )
@@ -177,8 +181,8 @@ def judge(docs: DataFrame) -> DataFrame:
     A document fails the base with fewer than 20 words or when over 30 % of its
     words repeat in windows. Of the others, each language and source sketches
     its ratios, and a document goes whose ratio lies further beyond the quartiles
-    than REACH times their spread. Groups that are too small borrow the sketch
-    of their language, then of all. NULL languages and sources are groups of
+    than REACH times their spread. The fences of small groups move steadily to the
+    wide ones of their language, those of a small language away. NULL languages and sources are groups of
     their own, NULL texts are empty (and fail). Repeated rows are judged alike.
     Other columns, with whatever names, are not read.
 

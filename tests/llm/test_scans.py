@@ -143,6 +143,21 @@ def test_fences_follow_the_ratios_of_the_group(spark):
     assert high["a"]["symbol_ratio_high"] < high["b"]["symbol_ratio_high"]
 
 
+@pytest.mark.parametrize("count", [3, 199, 200])
+def test_a_small_language_is_not_judged_by_another(spark, count):
+    rows = [(i, prose(i, 60), "en", "a") for i in range(300)]
+    rows += [(1000 + i, " ".join(w * 6 for w in prose(1000 + i, 40).split()), "zh", "a") for i in range(count)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert quality.judge(docs).where("kept").count() == len(rows)
+
+
+def test_fences_have_no_switch(spark):
+    rows = [(lang, 5.0 + i % 10 / 20) for lang, n in (("a", 198), ("b", 199), ("c", 200), ("d", 201)) for i in range(n)]
+    measured = spark.createDataFrame(rows, "lang string, w double").selectExpr("lang", "'s' as source", "false as base_failed", "w as word_length", "0.0 as symbol_ratio", "0.0 as dup_line_ratio", "0.0 as repeat_ratio")
+    high = [r["word_length_high"] for r in quality.thresholds(measured).orderBy("lang").collect()]
+    assert all(0 <= a - b < 0.05 for a, b in zip(high, high[1:]))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Title &amp; more</title><style>p{}</style><script>var t="</p>";</script></head>
 <body class="has-sidebar"><header><h2>Site</h2></header><nav><ul><li><a href=/a>Menu entry</a><li>Other</ul></nav>
 <div class="cookie-notice">We use cookies, please agree to all of them, now.</div>
