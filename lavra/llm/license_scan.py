@@ -15,8 +15,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Phrases whose places always count, and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 BASE_PATTERN = "(?<![^ ])(" + "|".join(BASE) + ")(?![^ ])"
-#: A text without any of these words matches no rule and no base phrase.
-GATE = r"(?i)licen[cs]|spdx|copyright|all rights reserved|public domain|copyleft|cc by|cc0|cc zero|creative commons|unlicense|wtfpl"
 
 
 class Rule(NamedTuple):
@@ -47,7 +45,8 @@ FAMILIES = (
     ("bsd-4-clause", "bsd", r"bsd 4 clause|4 clause bsd|four clause bsd|original bsd"),
     ("0bsd", "bsd", r"0bsd|zero clause bsd|bsd 0 clause|bsd zero clause"),
     ("bsd", "bsd", r"bsd"),
-    ("isc", "isc", r"isc|internet systems consortium"),
+    ("isc", "isc", r"isc"),
+    ("isc", "internet systems consortium", r"internet systems consortium"),
     ("mpl", "mozilla", r"mozilla public(?: license)?(?: version)?(?: ?v?[12])?(?: [01])?"),
     ("mpl", "mpl", r"mpl(?: ?v?[12])?(?: [01])?"),
     ("epl", "eclipse", r"eclipse public|eclipse distribution"),
@@ -68,7 +67,8 @@ FAMILIES = (
     ("postgresql", "postgresql", r"postgresql"),
     ("ruby", "ruby", r"ruby"),
     ("vim", "vim", r"vim"),
-    ("x11", "x11", r"x11|x consortium"),
+    ("x11", "x11", r"x11"),
+    ("x11", "x consortium", r"x consortium"),
     ("ncsa", "ncsa", r"ncsa|university of illinois ncsa"),
     ("ms-pl", "microsoft public", r"microsoft public"),
     ("ms-rl", "microsoft reciprocal", r"microsoft reciprocal"),
@@ -95,12 +95,15 @@ FAMILIES = (
     ("cc-by-nd", "attribution no", r"attribution no ?derivatives|attribution no ?derivs"),
     ("cc-by-sa", "attribution share", r"attribution share ?alike"),
     ("cc0", "cc0", r"cc0(?: 1 0)?|cc0 universal"),
-    ("cc0", "cc zero", r"cc zero|creative commons zero"),
+    ("cc0", "cc zero", r"cc zero"),
+    ("cc0", "creative commons zero", r"creative commons zero"),
 )
+#: Ways to say that something comes under a license.
+UNDER = r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|redistributed|shared) under"
 #: Tier and form of a signature around the name of a license; NAME stands for it.
 FORMS = (
     (0, r"spdx licen[cs]e identifier (?:NAME)(?: only| or later)?"),
-    (1, r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|redistributed|shared) under (?:the |a |an )?(?:terms of )?(?:the )?(?:NAME)(?: licen[cs]e)?(?: version)?(?: v?[0-9]+)?(?: [0-9]+)?"),
+    (1, UNDER + r" (?:the |a |an )?(?:terms of )?(?:the )?(?:NAME)(?: licen[cs]e)?(?: version)?(?: v?[0-9]+)?(?: [0-9]+)?"),
     (1, r"(?:under|of|by|with) the (?:terms of the )?(?:NAME) licen[cs]e(?: version)?(?: v?[0-9]+)?(?: [0-9]+)?"),
     (1, r"(?:NAME) licen[cs]e(?: version| v)? ?[0-9]+(?: [0-9]+)?"),
     (2, r"(?:NAME) licen[cs]e"),
@@ -129,6 +132,9 @@ PLAIN = (
     Rule(2, "proprietary", "all rights reserved", r"all rights reserved"),
     Rule(2, "proprietary", "licen", r"proprietary licen[cs]e|commercial licen[cs]e only"),
 )
+#: A text without any of these matches no rule and no base phrase: every form holds the first or second, every
+#: signature without a name the first or its keyword, and every base phrase the first or itself.
+GATE = "(?i)" + "|".join(["licen[cs]", UNDER, *dict.fromkeys(rule.keyword for rule in PLAIN if "licen" not in rule.pattern), *(x for x in BASE if "licens" not in x)])
 
 
 def rules() -> list[Rule]:
@@ -181,7 +187,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """Licenses named in ``docs`` (doc_id, text).
 
     Texts are normalised to lower-case words with single spaces. Only texts
-    with a gate word are searched, and only by rules whose keyword they hold. A
+    that pass the gate are searched, and only by rules whose keyword they hold. A
     finding inside another of at least its priority is suppressed; base phrases
     always count. A NULL or empty text has no words; repeated rows stay; other
     columns are ignored. Rows never leave their partition, and no Python runs.

@@ -1,6 +1,8 @@
 """Operators that look at one text at a time, against plain Python."""
 
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +74,12 @@ def test_base_licenses_equal_brute_force(spark):
         ("Mozilla Public License 2.0 and MIT License", "mit,mpl"),
         ("a license to walk", ""),
         ("All Rights Reserved.", "proprietary"),
+        ("this program is released under the GPL v3", "gpl"),
+        ("distributed under the terms of the GNU GPL", "gpl"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+        ("Internet Systems Consortium License", "isc"),
+        ("shared under Creative Commons Zero", "cc0"),
+        ("sleeping under a tree with a gnu", ""),
     ],
 )
 def test_license_rules(spark, text, labels):
@@ -81,6 +89,37 @@ def test_license_rules(spark, text, labels):
     assert (row["score"] > 0) == bool(labels)
 
 
+def said(tree, rng):
+    """A random text of a parsed pattern."""
+    out = []
+    for kind, value in tree:
+        match str(kind):
+            case "LITERAL":
+                out.append(chr(value))
+            case "IN":
+                out.append(chr(value[0][1] if str(value[0][0]) == "LITERAL" else rng.randint(*value[0][1])))
+            case "BRANCH":
+                out.append(said(rng.choice(value[1]), rng))
+            case "SUBPATTERN":
+                out.append(said(value[-1], rng))
+            case "MAX_REPEAT":
+                out += [said(value[2], rng) for _ in range(rng.randint(value[0], min(value[1], value[0] + 2)))]
+            case _:
+                raise ValueError(kind)
+    return "".join(out)
+
+
+def test_every_rule_passes_its_gates():
+    rng = random.Random(3)
+    for rule in license_scan.rules():
+        for _ in range(40):
+            text = said(re._parser.parse(rule.pattern), rng)
+            assert re.fullmatch(rule.pattern, text)
+            assert rule.keyword in text, (rule.label, text)
+            assert re.search(license_scan.GATE, text), (rule.label, text)
+    assert all(re.search(license_scan.GATE, phrase) for phrase in license_scan.BASE)
+
+
 def test_there_are_hundreds_of_ordered_rules():
     rules = license_scan.rules()
     assert len(rules) > 300
