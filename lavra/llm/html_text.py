@@ -21,11 +21,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements without text of the page.
 SILENT = frozenset("button canvas datalist embed head iframe math noscript object option script select style svg template textarea title".split())
 #: Elements around the article, whatever they hold.
-AROUND = frozenset("aside dialog footer form menu nav search".split())
+AROUND = frozenset("aside dialog footer menu nav search".split())
 CONTAINERS = frozenset("article body div html main section td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-#: Words of class and id names that say what stands around an article.
+ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
+#: Words of class and id names that say what stands around an article, unless the element is a wrapper of it.
 NAMED = frozenset(
     "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright "
     "disclaimer disqus foot footer gdpr legal login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager "
@@ -36,6 +36,8 @@ NAMED = frozenset(
 SIBLINGS = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
 #: Share of the best path's score from which a path counts as content.
 THRESHOLD = 0.1
+#: Share of the page's text from which a named element or form is a wrapper of it, and of the text of all articles.
+WRAPPER, WRAPPED = 2 / 3, 0.5
 #: Share of the content that the chosen container must hold.
 MOST = 0.9
 _NAME = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
@@ -43,11 +45,20 @@ _MARKS = re.compile(r"[.,;:!?。，！？、…]")
 
 
 class _Element:
-    __slots__ = ("around", "path", "parent", "silent", "tag")
+    __slots__ = ("around", "marked", "named", "out", "path", "parent", "silent", "tag")
 
-    def __init__(self, tag: str, parent: _Element | None, around: bool, silent: bool):
-        self.tag, self.parent, self.around, self.silent = tag, parent, around, silent
+    def __init__(self, tag: str, parent: _Element | None, around: bool, named: bool, silent: bool):
+        self.tag, self.parent, self.around, self.named, self.silent = tag, parent, around, named, silent
         self.path = f"{parent.path}/{tag}" if parent else tag
+        #: Whether it or an element around it is surroundings whatever it holds, or an article of the page.
+        self.out = around or bool(parent and parent.out)
+        self.marked = bool(parent and parent.marked) or (tag in ("article", "main") and not named)
+
+    def up(self) -> Iterator[_Element]:
+        node: _Element | None = self
+        while node:
+            yield node
+            node = node.parent
 
 
 class _Blocks(HTMLParser):
@@ -55,7 +66,7 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = [_Element("", None, False, False)]
+        self.open = [_Element("", None, False, False, False)]
         self.blocks: list[tuple[_Element, str]] = []
         self.parts: list[str] = []
         self.holder: _Element | None = None
@@ -66,18 +77,19 @@ class _Blocks(HTMLParser):
             self.blocks.append((self.holder, text))
         self.parts, self.holder = [], None
 
-    def _around(self, tag: str, attrs: list, inside: _Element) -> bool:
-        if inside.around or tag in AROUND:
-            return True
-        if tag in ("html", "body", "article", "main"):
-            return False
+    def _around(self, tag: str, attrs: list, inside: _Element) -> tuple[bool, bool]:
+        """Whether the element is surroundings whatever it holds, and whether it is named so or a form."""
         said = dict(attrs)
-        if (said.get("role") or "").lower() in ROLES or "hidden" in said or (said.get("aria-hidden") or "").lower() == "true":
-            return True
-        if tag == "header":
-            return "/article" not in inside.path and "/main" not in inside.path
+        role = (said.get("role") or "").lower()
         names = f"{said.get('class') or ''} {said.get('id') or ''}"
-        return bool(names.strip()) and not NAMED.isdisjoint(word.lower() for word in _NAME.findall(names))
+        named = tag == "form" or role == "form" or bool(names.strip()) and not NAMED.isdisjoint(word.lower() for word in _NAME.findall(names))
+        if tag in AROUND:
+            return True, named
+        if tag in ("html", "body", "article", "main"):
+            return False, named
+        if role in ROLES or "hidden" in said or (said.get("aria-hidden") or "").lower() == "true":
+            return True, named
+        return tag == "header" and "/article" not in inside.path and "/main" not in inside.path, named
 
     def _pop_to(self, tags: tuple, stop: frozenset | tuple) -> None:
         for place in range(len(self.open) - 1, 0, -1):
@@ -101,7 +113,7 @@ class _Blocks(HTMLParser):
                 self.parts.append(" " if tag in ("img", "wbr") and self.parts and tag == "img" else "")
             return
         inside = self.open[-1]
-        self.open.append(_Element(tag, inside, self._around(tag, attrs, inside), inside.silent or tag in SILENT))
+        self.open.append(_Element(tag, inside, *self._around(tag, attrs, inside), inside.silent or tag in SILENT))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -120,7 +132,7 @@ class _Blocks(HTMLParser):
             return
         if self.holder is None and not data.isspace():
             while inside.tag and inside.tag not in BLOCK:
-                if inside.around:
+                if inside.around or inside.named:
                     break
                 inside = inside.parent
             self.holder = inside
@@ -154,58 +166,82 @@ def path_scores(blocks: list[tuple[_Element, str]]) -> dict[str, float]:
     return {p: t / most_text * (0.5 + 0.5 * m / most_points) * length[p] ** 0.5 for p, t, m in zip(paths, texts, points)}
 
 
+def _inner(blocks: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """The blocks outside all surroundings.
+
+    A named element or form is surroundings unless it wraps the page: it holds
+    half of the text of all articles, or stands in an article or on a page
+    without any and holds two thirds of the text. If that leaves nothing, the
+    one with most text is a wrapper too.
+    """
+    blocks = [(element, text) for element, text in blocks if not element.out]
+    size: dict[_Element, int] = {}
+    article: dict[_Element, int] = {}
+    for element, text in blocks:
+        for node in element.up():
+            size[node] = size.get(node, 0) + len(text)
+            article[node] = article.get(node, 0) + (len(text) if element.marked else 0)
+    if not blocks:
+        return blocks
+    root = next(node for node in blocks[0][0].up() if not node.parent)
+
+    def wraps(node: _Element) -> bool:
+        if article[root] and not node.marked:
+            return article[node] >= WRAPPED * article[root]
+        return size[node] >= WRAPPER * size[root]
+
+    shut = {node for node in size if node.named and node.tag not in ("html", "body", "article", "main") and not wraps(node)}
+    while shut:
+        left: dict[_Element, bool] = {root: False}
+
+        def closed(element: _Element) -> bool:
+            chain = []
+            while element not in left:
+                chain.append(element)
+                element = element.parent
+            said = left[element]
+            for node in reversed(chain):
+                said = left[node] = said or node in shut
+            return said
+
+        inner = [(element, text) for element, text in blocks if not closed(element)]
+        if inner:
+            return inner
+        shut.remove(max(shut, key=lambda node: (size[node], -node.path.count("/"))))
+    return blocks
+
+
 def main_text(html: str) -> str:
     """Main text of one page: blocks of the content container, in page order, joined by line feeds.
 
-    Elements that name themselves as surroundings are out. The other blocks
-    give each tag path a score; blocks of paths above the threshold mark the
-    content, and the deepest container with most of it is the article, whose
+    Elements that name themselves as surroundings are out, unless they wrap
+    the page. The other blocks give each tag path a score; blocks of paths above
+    the threshold mark the content, and the deepest container with most of it is the article, whose
     low-scoring blocks (headings, list items, short lines) stay as well.
     """
     parser = _Blocks()
     parser.feed(html)
     parser.close()
     parser.end_block()
-    blocks = [(element, text) for element, text in parser.blocks if not element.around]
+    blocks = _inner(parser.blocks)
     if not blocks:
         return ""
     scores = path_scores(blocks)
     least = THRESHOLD * max(scores.values())
-    weight: dict[int, int] = {}
-    plain: dict[int, int] = {}
-    held: dict[int, _Element] = {}
-    total = 0
+    content = [(element, text) for element, text in blocks if scores[element.path] >= least]
+    weight: dict[_Element, int] = {}
+    plain: dict[_Element, int] = {}
+    for element, text in content:
+        for node in element.up():
+            weight[node] = weight.get(node, 0) + len(text)
     for element, text in blocks:
-        content = len(text) if scores[element.path] >= least else 0
-        total += content
-        node: _Element | None = element
-        while node:
-            held[id(node)] = node
-            weight[id(node)] = weight.get(id(node), 0) + content
-            plain[id(node)] = plain.get(id(node), 0) + (0 if element.tag in HEADINGS else len(text))
-            node = node.parent
-    root = parser.open[0]
-    depth = -1
-    for key, node in held.items():
-        if (node.tag in CONTAINERS or not node.tag) and weight[key] >= MOST * total and node.path.count("/") > depth:
-            root, depth = node, node.path.count("/")
-    node = root
-    while node:
-        if node.tag in ("article", "main"):
-            root = node
-            break
-        node = node.parent
-    while root.parent and root.parent.tag in ("div", "section") and plain[id(root.parent)] == plain[id(root)]:
+        for node in element.up():
+            plain[node] = plain.get(node, 0) + (0 if element.tag in HEADINGS else len(text))
+    root = max((node for node in weight if (node.tag in CONTAINERS or not node.tag) and weight[node] >= MOST * sum(len(text) for _, text in content)), key=lambda node: node.path.count("/"))
+    root = next((node for node in root.up() if node.tag in ("article", "main")), root)
+    while root.parent and root.parent.tag in ("div", "section") and plain[root.parent] == plain[root]:
         root = root.parent
-
-    def inside(element: _Element | None) -> bool:
-        while element:
-            if element is root:
-                return True
-            element = element.parent
-        return False
-
-    return "\n".join(text for element, text in blocks if inside(element))
+    return "\n".join(text for element, text in blocks if any(node is root for node in element.up()))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

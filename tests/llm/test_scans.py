@@ -212,6 +212,23 @@ def test_main_text(html):
     assert html_text.main_text(html) == "Head line\nFirst été paragraph, with bold text; and more of it.\nSecond one, unclosed.\nItem one, long enough.\nItem two."
 
 
+LONG = "This is a long sentence, with marks; it goes on for a while. " * 8
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "content-sidebar-wrap", "search-results", "share-enabled"])
+@pytest.mark.parametrize("tag", ["div", "form"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_are_no_surroundings(name, tag, inner):
+    html = f"<body><{tag} class='{name}'><div class=sidebar><p>Side things, and more.</p></div><{inner}><p>{LONG}</p><p>{LONG}</p></{inner}><div class=comments><p>Well said, all of it.</p></div></{tag}></body>"
+    assert html_text.main_text(html) == "\n".join([LONG.strip()] * 2)
+
+
+def test_named_elements_beside_the_article_stay_out():
+    teaser = "<div class=related><article><p>Other page, to be read.</p></article></div>"
+    html = f"<body><article><p>{LONG}</p></article>{teaser}<div class=comments><article class=comment><p>{LONG}</p></article><p>{LONG}{LONG}</p></div></body>"
+    assert html_text.main_text(html) == LONG.strip()
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain words only"), (4, "u", "<p>a</p>" * 3), (5, "u", "<<<&& <p"), (5, "u", "<<<&& <p"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     found = html_text.extract_text(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"))
