@@ -38,8 +38,8 @@ SIBLINGS = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), (
 THRESHOLD = 0.1
 #: Share of the page's text from which a named element or form is a wrapper of it, and of the text of all articles.
 WRAPPER, WRAPPED = 2 / 3, 0.5
-#: Share of the content that the chosen container must hold.
-MOST = 0.9
+#: Share of the content from which articles mark it alone.
+MARKED = 0.5
 _NAME = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _MARKS = re.compile(r"[.,;:!?。，！？、…]")
 
@@ -216,7 +216,8 @@ def main_text(html: str) -> str:
 
     Elements that name themselves as surroundings are out, unless they wrap
     the page. The other blocks give each tag path a score; blocks of paths above
-    the threshold mark the content, and the deepest container with most of it is the article, whose
+    the threshold mark the content, only those in articles if they are half of it
+    or more. The smallest container with all of them is the article, whose
     low-scoring blocks (headings, list items, short lines) stay as well.
     """
     parser = _Blocks()
@@ -229,15 +230,18 @@ def main_text(html: str) -> str:
     scores = path_scores(blocks)
     least = THRESHOLD * max(scores.values())
     content = [(element, text) for element, text in blocks if scores[element.path] >= least]
+    marked = [(element, text) for element, text in content if element.marked]
+    if sum(len(text) for _, text in marked) >= MARKED * sum(len(text) for _, text in content):
+        content = marked
     weight: dict[_Element, int] = {}
     plain: dict[_Element, int] = {}
-    for element, text in content:
+    for element, _ in content:
         for node in element.up():
-            weight[node] = weight.get(node, 0) + len(text)
+            weight[node] = weight.get(node, 0) + 1
     for element, text in blocks:
         for node in element.up():
             plain[node] = plain.get(node, 0) + (0 if element.tag in HEADINGS else len(text))
-    root = max((node for node in weight if (node.tag in CONTAINERS or not node.tag) and weight[node] >= MOST * sum(len(text) for _, text in content)), key=lambda node: node.path.count("/"))
+    root = next(node for node in content[0][0].up() if (node.tag in CONTAINERS or not node.tag) and weight[node] == len(content))
     root = next((node for node in root.up() if node.tag in ("article", "main")), root)
     while root.parent and root.parent.tag in ("div", "section") and plain[root.parent] == plain[root]:
         root = root.parent

@@ -229,6 +229,13 @@ def test_named_elements_beside_the_article_stay_out():
     assert html_text.main_text(html) == LONG.strip()
 
 
+def test_short_parts_of_the_article_stay():
+    sections = f"<div id=c><div class=s1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div class=s2><p>A short closing, said last.</p></div></div>"
+    assert html_text.main_text(f"<body>{sections}</body>").endswith("\nA short closing, said last.")
+    articles = f"<article><p>{LONG}</p><p>{LONG}</p></article><article><p>A short second one, too.</p></article>"
+    assert html_text.main_text(f"<body><div>{articles}</div></body>").endswith("\nA short second one, too.")
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain words only"), (4, "u", "<p>a</p>" * 3), (5, "u", "<<<&& <p"), (5, "u", "<<<&& <p"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     found = html_text.extract_text(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"))
