@@ -16,17 +16,23 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 #: Every access key, hexadecimal run and entropy candidate lies in such a run.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-KINDS = ("assign", "access", "hex", "entropy16", "entropy64")
-#: Strings that look random but are none, or stand for a secret: such a candidate gives no entropy span.
-ALLOWED = (
-    r"(?i)example|sample|dummy|changeme|placeholder|redacted|your[_-]|(.)\1{5,}|0123456|1234567|abcdefg|qwerty|deadbeef"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^sha(1|256|384|512)-|^[a-z]+([_/-][a-z]+)*[0-9]{0,3}$|^[0-9_/+=-]+$"
+KINDS = ("assign", "access", "hex", "entropy16", "entropy64", "entropy36")
+#: Shapes of whole candidates that look random but are none: such a candidate gives no entropy span.
+ALLOWED = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|(?i)^sha(1|256|384|512)-|^[a-z]+([_/-][a-z]+)*[0-9]{0,3}$|^[0-9_/+=-]+$"
+#: What stands for a secret or is none, with up to 32 letters and digits at either side, and runs of one character.
+#: Such stretches are cut out of a candidate; what is left of it is measured.
+HARMLESS = (
+    r"(?i)[A-Z0-9]{0,32}(?:example|sample|dummy|changeme|placeholder|redacted|your[_-]|0123456|1234567|abcdefg|qwerty|deadbeef)[A-Z0-9]{0,32}"
+    r"|(.)\1{5,}"
 )
 #: Name, candidate pattern, alphabet, window and least bits per character of each class.
 CLASSES = (
     ("entropy16", r"(?<![0-9A-Za-z+/_=-])[0-9a-fA-F]{24,}(?![0-9A-Za-z+/_=-])", "0123456789abcdef", 24, 3.1),
     ("entropy64", CANDIDATE, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 20, 3.85),
+    ("entropy36", r"(?<![A-Za-z0-9])(?:[a-z0-9]{20,}|[A-Z0-9]{20,})(?![A-Za-z0-9])", "abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.5),
 )
+#: What a candidate of each class must hold: long words have little of a key. Long hexadecimal runs are of entropy16.
+MIXED = {"entropy16": ("[0-9]", "[a-fA-F]"), "entropy64": ("[a-z]", "[A-Z]", "[0-9]"), "entropy36": ("[0-9][A-Za-z]+[0-9]", "[g-zG-Z]|^.{20,23}$")}
 _SCALE = 1 << 20
 
 
@@ -77,15 +83,27 @@ def _hot_range(text: Column, alphabet: str, window: int, bits: float) -> Column:
     return F.aggregate(moves, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
+def _left(span: Column) -> Column:
+    """The stretches (start, text) of a candidate outside what is harmless."""
+    cut = spans(span["text"], F.lit(HARMLESS))
+    from_ = F.concat(F.array(F.lit(0).cast("long")), F.transform(cut, lambda c: c["end"]))
+    to = F.concat(F.transform(cut, lambda c: c["start"]), F.array(F.length(span["text"]).cast("long")))
+    return F.transform(
+        F.arrays_zip(from_.alias("from"), to.alias("to")),
+        lambda x: F.struct((span["start"] + x["from"]).alias("start"), F.substring(span["text"], (x["from"] + 1).cast("int"), (x["to"] - x["from"]).cast("int")).alias("text")),
+    )
+
+
 def _entropy_spans(text: Column, name: str, pattern: str, alphabet: str, window: int, bits: float) -> Column:
-    # Mixed kinds of characters are a must: long words of one case have little of a key.
     def mixed(s: Column) -> Column:
-        kinds = [s["text"].rlike(kind).cast("int") for kind in ("[a-z]", "[A-Z]", "[0-9]")]
-        least = kinds[0] + kinds[1] >= 1 if len(alphabet) == 16 else kinds[0] + kinds[1] + kinds[2] >= 3
-        return s["text"].rlike("[0-9]") & least & ~s["text"].rlike(ALLOWED)
-
-    candidates = F.filter(spans(text, F.lit(pattern)), mixed)
-    fold = F.lower if len(alphabet) == 16 else lambda c: c
+        held = F.length(s["text"]) >= window
+        for kind in MIXED[name]:
+            held = held & s["text"].rlike(kind)
+        return held
+
+    shaped = F.filter(spans(text, F.lit(pattern)), lambda s: ~s["text"].rlike(ALLOWED))
+    candidates = F.filter(F.flatten(F.transform(shaped, _left)), mixed)
+    fold = (lambda c: c) if alphabet != alphabet.lower() else F.lower
     measured = F.transform(candidates, lambda s: F.struct(s.alias("span"), _hot_range(fold(s["text"]), alphabet, window, bits).alias("range")))
     hot = F.filter(measured, lambda m: m["range"]["first"].isNotNull())
     return F.transform(
@@ -113,7 +131,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     ``base`` and ``entropy`` are arrays of (start, rank, end, kind) in code
     points, sorted. Base spans follow the three fixed patterns; matches that are
     too short are dropped, not searched again. Entropy spans lie in candidates
-    of mixed characters that no allow-list entry explains. A NULL or empty text
+    of mixed characters, outside what the allow-list explains of them. A NULL or empty text
     has none; repeated rows stay; other columns are ignored. Rows never leave
     their partition, and no Python runs.
     """

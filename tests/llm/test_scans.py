@@ -51,6 +51,18 @@ def test_allow_list_suppresses_entropy_but_not_base(spark):
     assert [len(rows[i]["base"]) for i in range(3)] == [0, 0, 1]
 
 
+def test_keys_of_one_case_and_allowed_words_beside_keys(spark):
+    key = "Zx9Qw7Lk3Vb8Nm2Tp6Rs4Yd1Hf5Gj0Ca8Uu"
+    texts = ["at x7k2m9q4w8z3p5t1r6y0u2h8 end", "AT X7K2M9Q4W8Z3P5T1R6Y0U2H8", f"/sample/{key}", f"{key}AAAAAAAA", f"1234567_{key}"]
+    texts += ["internationalization2024", "abcdefghijklmnopqrstuvwxyz0123456789", "d41d8cd98f00b204e9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["entropy"]] for r in secret_scan.scan_secrets(docs).collect()}
+    assert found[0] == [("entropy36", texts[0][3:27])] and found[1] == [("entropy36", texts[1][3:])]
+    assert all(len(found[i]) == 1 and found[i][0][0] == "entropy64" and key[2:-2] in found[i][0][1] for i in (2, 3, 4))
+    assert [found[i] for i in (5, 6, 8)] == [[], [], []]
+    assert [kind for kind, _ in found[7]] == ["entropy16"]
+
+
 def test_native_scans_run_no_python(spark):
     for df in (secret_scan.digest(secret_scan.scan_secrets(odd_docs(spark))), license_scan.scan_licenses(odd_docs(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()
