@@ -31,15 +31,15 @@ class Phrases:
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
         self.symbol: dict[bytes, int] = {}
         grouped: dict[int, list[tuple[tuple[int, ...], int]]] = {}
-        self.items: list[object] = []
+        numbers: dict[object, int] = {}
         for item_id, text in items:
             said = [self.symbol.setdefault(w, len(self.symbol) + 1) for w in words_of(text or "")]
             if not said:
                 continue
-            number, size = len(self.items), min(window, len(said))
-            self.items.append(item_id)
+            number, size = numbers.setdefault(item_id, len(numbers)), min(window, len(said))
             for start in range(len(said) - size + 1):
                 grouped.setdefault(size, []).append((tuple(said[start : start + size]), number))
+        self.items = list(numbers)
         #: By window length: distinct windows, and (window, item) rows.
         self.windows = {}
         for size, found in grouped.items():
@@ -144,10 +144,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     rows stay; other columns are ignored; an empty table gives no rows. The
     items go to the tasks in blocks of bounded size; each block is one pass.
     """
-    spark = docs.sparkSession
+    thin = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
+    return _found(thin, item_blocks(benchmark, "item_id"), benchmark, window, shard_words).drop("row")
+
+
+def _found(thin: DataFrame, blocks: Iterator[list], benchmark: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """:func:`find_contamination` of rows (doc_id, text, row) with their row, for the items of ``blocks``."""
+    spark = thin.sparkSession
     kind = dict(benchmark.dtypes)["item_id"]
     schema = f"doc_id long, n_words long, spans array<struct<first:int,end:int>>, items array<{kind}>, row long"
-    thin = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
     passes = []
 
     def one_pass(items: list) -> DataFrame:
@@ -178,10 +183,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow_kind = to_arrow_type(benchmark.schema["item_id"].dataType)
-    for items in item_blocks(benchmark, "item_id"):
+    for items in blocks:
         passes.append(one_pass(items))
     if len(passes) <= 1:
-        return (passes[0] if passes else one_pass([])).drop("row")
+        return passes[0] if passes else one_pass([])
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
@@ -199,17 +204,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["first"].alias("first"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end")))),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    return merged.select("doc_id", "n_words", F.when(F.size("spans") > 0, joined).otherwise(F.col("spans")).alias("spans"), "items")
+    return merged.select("doc_id", "n_words", F.when(F.size("spans") > 0, joined).otherwise(F.col("spans")).alias("spans"), "items", "row")
 
 
-def _cut(text: str, hit: np.ndarray) -> str:
-    """``text`` without its hit words; what lies between two hit words of a span goes too."""
+def _cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without the words of ``spans``; what lies between two hit words of a span goes too."""
     content = text.encode()
     inside = np.frombuffer(content.translate(FOLD), np.uint8) != 32
     edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
     lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     out, at = [], 0
-    for first, end in spans_of(hit):
+    for first, end in spans:
         out.append(content[at : lo[first]])
         at = hi[end - 1]
     return b"".join([*out, content[at:]]).decode()
@@ -218,35 +223,67 @@ def _cut(text: str, hit: np.ndarray) -> str:
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with all occurring windows cut out of ``text``, and ``n_chars`` set anew if it exists.
 
-    Cutting repeats until no window occurs, as the words around a cut meet.
+    Cutting repeats until no window occurs, as the words around a cut meet. Each
+    round finds the windows of all items before it cuts, however many passes they take.
     Documents without words after a cut go; others, NULL and empty ones included, stay
     unchanged. All columns come back.
     """
+    blocks = item_blocks(benchmark, "item_id")
+    items, more = next(blocks, None), next(blocks, None)
+    if items is None:
+        return docs
+    if more is not None:
+        return _removed(docs, benchmark, window, shard_words)
     spark = docs.sparkSession
     names = docs.columns
-    for items in item_blocks(benchmark, "item_id"):
-        sent = spark.sparkContext.broadcast(items)
-
-        def run(batches, sent=sent):
-            phrases = Phrases(sent.value, window)
-            for held, texts in _groups(batches, shard_words):
-                result, at = phrases.search(texts), 0
-                for chunk in held:
-                    said, keep = chunk.column("text").to_pylist(), np.ones(chunk.num_rows, bool)
-                    for i in range(chunk.num_rows):
-                        hit = result[at + i][0]
-                        while hit.any():
-                            said[i] = _cut(said[i], hit)
-                            again = words_of(said[i])
-                            keep[i] = bool(again)
-                            ((hit, _),) = phrases.search([again])
-                    at += chunk.num_rows
-                    columns = {n: chunk.column(n) for n in names}
-                    columns["text"] = pa.array(said, pa.string())
-                    if "n_chars" in columns:
-                        length = pa.array([None if t is None else len(t) for t in said], columns["n_chars"].type)
-                        columns["n_chars"] = length
-                    yield pa.RecordBatch.from_pydict(columns).filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    sent = spark.sparkContext.broadcast(items)
+
+    def run(batches):
+        phrases = Phrases(sent.value, window)
+        for held, texts in _groups(batches, shard_words):
+            result, at = phrases.search(texts), 0
+            for chunk in held:
+                said, keep = chunk.column("text").to_pylist(), np.ones(chunk.num_rows, bool)
+                for i in range(chunk.num_rows):
+                    hit = result[at + i][0]
+                    while hit.any():
+                        said[i] = _cut(said[i], spans_of(hit))
+                        again = words_of(said[i])
+                        keep[i] = bool(again)
+                        ((hit, _),) = phrases.search([again])
+                at += chunk.num_rows
+                columns = {n: chunk.column(n) for n in names}
+                columns["text"] = pa.array(said, pa.string())
+                if "n_chars" in columns:
+                    length = pa.array([None if t is None else len(t) for t in said], columns["n_chars"].type)
+                    columns["n_chars"] = length
+                yield pa.RecordBatch.from_pydict(columns).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _removed(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """:func:`remove_contamination` for several blocks: rounds over the rows that the round before has cut."""
+
+    def run(batches):
+        for chunk in chunks(batches, "text"):
+            spans = [[(s["first"], s["end"]) for s in found] for found in chunk.column("spans").to_pylist()]
+            said = [_cut(text, found) for text, found in zip(chunk.column("text").to_pylist(), spans)]
+            made = pa.RecordBatch.from_arrays([chunk.column("row"), pa.array(said, pa.string())], names=["row", "said"])
+            yield made.filter(pa.array([bool(words_of(text)) for text in said], pa.bool_()))
+
+    rows = stage(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "rows")
+    done = []
+    while True:
+        thin = rows.select(F.lit(0).cast("long").alias("doc_id"), F.col("whole.text").alias("text"), "row")
+        found = stage(_found(thin, item_blocks(benchmark, "item_id"), benchmark, window, shard_words).where(F.size("spans") > 0).select("row", "spans"), "hits")
+        if found.isEmpty():
+            break
+        done.append(rows.join(found, "row", "left_anti").select("whole"))
+        cut = thin.join(found, "row").select("row", "text", "spans").mapInArrow(run, "row long, said string")
+        rows = stage(rows.join(cut, "row").select(F.col("whole").withField("text", F.col("said")).alias("whole"), "row"), "cut")
+    every = rows.select("whole")
+    for other in done:
+        every = every.unionByName(other)
+    every = every.select("whole.*")
+    return every.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else every

@@ -106,6 +106,21 @@ def test_items_in_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(key, decontam.find_contamination(odd_docs(spark), items).collect())) == once
 
 
+def test_removal_does_not_depend_on_blocks(spark, monkeypatch):
+    a, b, c = ([f"{x}{k}" for k in range(15)] for x in "abc")
+    items = [(1, " ".join(a[:10])), (2, " ".join([*a[6:], "z"])), (3, " ".join(b[:10])), (4, " ".join(c[:10])), (4, " ".join(c[:10]))]
+    texts = [" ".join(["pre", *a, "z", "post"]), " ".join(["x", *b[:5], *c[:10], *b[5:10], "y"]), " ".join(a), " ".join(c[:10]), None, "", "clean words"]
+    docs = spark.createDataFrame([(i // 2, t, len(t or ""), i) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string, n_chars long, row int")
+    said = spark.createDataFrame(items, "item_id int, text string")
+    assert all(len(r["items"]) == len(set(r["items"])) for r in decontam.find_contamination(docs, said).collect())
+    got = lambda: sorted(map(tuple, decontam.remove_contamination(docs, said).collect()), key=str)
+    once = got()
+    assert {r[1] for r in once} == {"pre  post", "x  y", " a10 a11 a12 a13 a14", None, "", "clean words"}
+    monkeypatch.setattr(decontam, "item_blocks", lambda benchmark, column: iter([[item] for item in items]))
+    assert got() == once
+    assert decontam.remove_contamination(docs, said).columns == docs.columns
+
+
 def test_removal_leaves_no_window(spark):
     items = spark.createDataFrame(ITEMS, "item_id int, text string")
     clean = decontam.remove_contamination(odd_docs(spark), items)
