@@ -27,15 +27,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that a smaller document holds go, and documents that lose all their words by that."""
-    cut = dedup_lines(docs, new_folder(spark, "line-store")).kept(docs, with_text=True)
-    return cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    said = lambda text: F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = docs.select("*", said(F.col("text")).alias("_said_before"))
+    cut = dedup_lines(docs, new_folder(spark, "line-store")).kept(marked, with_text=True)
+    return cut.where(said(F.col("text")) | ~F.col("_said_before")).drop("_said_before")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id stays, once if it is repeated."""
+    """Of each group of linked documents the one with the least doc_id stays.
+
+    Rows equal in doc_id and text stay once, rows sharing a doc_id with different texts all stay,
+    and so do those without a doc_id.
+    """
     linked = stage(jaccard_components(docs), "components")
     stay = linked.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from lavra.llm.staging import stage
 from tests.llm import brute
+from tests.llm.fixtures import prose
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -50,6 +51,14 @@ def test_one_document_of_each_group_stays(stages):
     assert rows(stages[3]) == [(d, t) for d, t in before if d in stay]
 
 
+def test_rows_without_a_key_stay(spark):
+    texts = [(1, prose(1, 60)), (1, prose(2, 60)), (1, prose(1, 60)), (None, prose(3, 60)), (2, None), (3, " \n "), (4, prose(1, 60))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    said = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert said(corpus_pipeline.jaccard_join(spark, docs, SF_DIR)) == sorted({x for x in texts if x[0] != 4}, key=str)
+    assert said(corpus_pipeline.line_dedup(spark, docs, SF_DIR)) == sorted(texts[:-1], key=str)
+
+
 def test_no_benchmark_passage_stays(spark, stages):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     hit = {d for d, _, n, _, _ in brute.contamination(rows(stages[3]), items) if n}
