@@ -93,6 +93,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, new_folder(spark, "line-store")).kept(docs)
 
 
+def op11_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.collocation import mine_phrases
+
+    return mine_phrases(documents(spark, sf_dir), min_count=30, longest=4, share=80, top=2000)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.token_counts import count_tokens
+
+    return count_tokens(documents(spark, sf_dir), BYTE_BPE, limit=512)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lavra.llm.spelling import spelling_forms
+
+    return spelling_forms(documents(spark, sf_dir), min_chars=7, min_count=2, ratio=10, drop_every=31)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_wavelet_tokens,
@@ -105,6 +123,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_text,
         op9_best_fit_packing,
         op10_line_dedup,
+        op11_phrase_collocation,
+        op12_token_counts,
+        op13_spelling_variants,
     )
     return {query.__name__: query for query in found}
 
@@ -112,7 +133,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """SQL where it can say the same; the other queries are tested against brute force.
 
-    Tokenizers (1, 9), HTML (8), a heap (5), entropy windows with an allow list (2),
+    Tokenizers (1, 9, 12), HTML (8), a heap (5), entropy windows with an allow list (2),
     rule suppression (7) and merged sketches (6) are beyond it.
     """
-    return {"op3_jaccard_join": sql.OP3, "op4_fm_decontamination": sql.OP4, "op10_line_dedup": sql.OP10}
+    return {
+        "op3_jaccard_join": sql.OP3,
+        "op4_fm_decontamination": sql.OP4,
+        "op10_line_dedup": sql.OP10,
+        "op11_phrase_collocation": sql.OP11,
+        "op13_spelling_variants": sql.OP13,
+    }
