@@ -1,11 +1,12 @@
 """Fixed phrases of a corpus, from a weighted de Bruijn graph of its word sequences.
 
 Only the longest grams are counted in the text: each is an edge from the node of
-its first words to the node of its last words, and the end of a piece is an edge
-to a sink. The count of a node is what flows out of it; its own first words make
-the nodes one shorter, and so on down to words, each time corrected by the piece
-ends that no longer gram passes through. Paths of nodes with one way in and one
-way out are compacted; their inner nodes share the count of the path.
+its first words to the node of its last words, and what is left at the end of a
+piece is an edge to a sink. The count of a shorter gram is what flows out of its
+node: the sum of the edges that begin with it, corrected by the piece ends that
+do. In sorted order these are neighbours, so one shuffle by ranges gives the
+counts of all sizes. Paths of nodes with one way in and one way out are compacted;
+their inner nodes share the count of the path.
 
 Frequent words are written as one character each, so that a gram is a short text.
 Words too rare for any phrase cut a piece, which changes no count of a phrase.
@@ -37,7 +38,7 @@ HELD = 250_000
 BLOCK_BYTES = 1 << 20
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
-BREAK, SINK = "\n", "\x01"
+BREAK, SINK, LANG_END = "\n", "\x01", "\x00"
 #: A word outside the dictionary is written out in hexadecimal between these.
 OPEN, CLOSE = "\x02", "\x03"
 LITERAL = f"{OPEN}[^{CLOSE}]*{CLOSE}"
@@ -78,32 +79,26 @@ def _texts_by_lang(batch: pa.RecordBatch) -> dict[str, list[bytes]]:
     return found
 
 
-def _handed_on(held: dict[str, Counter], name: str) -> Iterator[pa.RecordBatch]:
-    for lang, counter in held.items():
-        keys = pa.array(list(counter), pa.string())
-        columns = [pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int32))), keys, pa.array(list(counter.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["lang", name, "n"])
-    held.clear()
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """All words and their number per language: lang, word, n."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, Counter] = defaultdict(Counter)
 
-        def said() -> Iterator[pa.RecordBatch]:
-            texts = {lang: Counter({word.decode(): n for word, n in counter.items()}) for lang, counter in held.items()}
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for lang, counter in held.items():
+                words = pa.array([word.decode() for word in counter], pa.string())
+                columns = [pa.array([lang] * len(words), pa.string()), words, pa.array(list(counter.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
             held.clear()
-            return _handed_on(texts, "word")
 
         for batch in chunks(batches, "text"):
             for lang, texts in _texts_by_lang(batch).items():
                 for block in _blocks(b"\n".join(texts).translate(WORDS_ONLY)):
                     held[lang].update(block.split())
             if sum(map(len, held.values())) > HELD:
-                yield from said()
-        yield from said()
+                yield from handed_on()
+        yield from handed_on()
 
     counted = docs.select("lang", "text").mapInArrow(tally, "lang string, word string, n long")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -185,19 +180,19 @@ def _word_hashes(words: DataFrame) -> DataFrame:
     return words.select("word").mapInArrow(hashed, "kind int, key long")
 
 
-def _pieces_grams(piece: str, longest: int) -> tuple[list[str], str]:
-    """The longest grams of a coded piece, and its last words, which have an edge to the sink."""
-    if OPEN not in piece:
-        return [piece[i : i + longest] for i in range(len(piece) - longest + 1)], piece[1 - longest :] + SINK
-    tokens = TOKEN.findall(piece)
-    grams = ["".join(tokens[i : i + longest]) for i in range(len(tokens) - longest + 1)]
-    return grams, "".join(tokens[1 - longest :]) + SINK
+def _pieces_grams(piece: str, longest: int) -> list[str]:
+    """The longest grams of a coded piece, and from each of its last words on an edge to the sink."""
+    tokens = piece if OPEN not in piece else TOKEN.findall(piece)
+    last = max(0, len(tokens) - longest + 1)
+    if tokens is piece:
+        return [piece[i : i + longest] for i in range(last)] + [piece[i:] + SINK for i in range(last, len(tokens))]
+    ends = ["".join(tokens[i:]) + SINK for i in range(last, len(tokens))]
+    return ["".join(tokens[i : i + longest]) for i in range(last)] + ends
 
 
 def count_edges(docs: DataFrame, dictionary: Dictionary, longest: int = 4) -> DataFrame:
-    """The edges of the graph and their weight per language: lang, gram, n.
+    """The edges of the graph, counted task by task: key (language and coded gram) and n.
 
-    Grams are coded; one that ends in the sink holds the last ``longest - 1`` words of a piece, or all it has.
     Tasks count before they hand on, so a phrase that fills a third of the text is one row a task.
     """
     sent = docs.sparkSession.sparkContext.broadcast((dictionary.words, dictionary.shards, dictionary.blocks))
@@ -205,26 +200,29 @@ def count_edges(docs: DataFrame, dictionary: Dictionary, longest: int = 4) -> Da
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(*sent.value)
         held: dict[str, Counter] = defaultdict(Counter)
+
+        def handed_on(lang: str) -> pa.RecordBatch:
+            counter = held.pop(lang)
+            keys = sorted(counter)
+            said = pa.array([f"{lang}{LANG_END}{key}" for key in keys], pa.string())
+            return pa.RecordBatch.from_arrays([said, pa.array([counter[key] for key in keys], pa.int64())], ["key", "n"])
+
         for batch in chunks(batches, "text"):
             for lang, texts in _texts_by_lang(batch).items():
                 coded = "".join(map(coder.code, _blocks(b"\n".join(texts).translate(PIECES))))
                 counter = held[lang]
                 for piece, times in Counter(coded.split(BREAK)).items():
-                    if not piece:
-                        continue
-                    grams, end = _pieces_grams(piece, longest)
-                    counter[end] += times
                     if times == 1:
-                        counter.update(grams)
+                        counter.update(_pieces_grams(piece, longest))
                     else:
-                        for gram in grams:
+                        for gram in _pieces_grams(piece, longest):
                             counter[gram] += times
                 if len(counter) > HELD:
-                    yield from _handed_on({lang: held.pop(lang)}, "gram")
-        yield from _handed_on(held, "gram")
+                    yield handed_on(lang)
+        for lang in list(held):
+            yield handed_on(lang)
 
-    counted = docs.select("lang", "text").mapInArrow(tally, "lang string, gram string, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return docs.select("lang", "text").mapInArrow(tally, "key string, n long")
 
 
 def _size(gram: Column) -> Column:
@@ -242,36 +240,70 @@ def _part(gram: Column, first: int, count: int) -> Column:
 def flow_counts(edges: DataFrame, min_count: int, longest: int = 4) -> DataFrame:
     """Counts of all grams of 1 to ``longest`` words that occur at least ``min_count`` times: lang, gram, size, n.
 
-    Level by level, a node sums the edges that leave it. What has its count
-    passes on, the corrections of shorter nodes wait for their level.
+    ``edges`` must be a written table. Sorted by ranges, all edges that begin with a gram lie side by
+    side, so a task sums what flows out of its nodes and keeps the frequent ones. Only
+    the nodes at the ends of a range may go on in the next one: they are kept at any count and
+    summed again.
     """
-    gram, n = F.col("gram"), F.col("n")
-    ends = gram.endswith(SINK)
-    # The ends of a tail are the corrections of the nodes that it ends with.
-    tail = F.rtrim(gram, F.lit(SINK))
-    told = _size(tail)
-    corrections = [
-        F.when(told >= size, F.struct(_last(tail, told, size).alias("gram"), n.alias("n"))) for size in range(1, longest)
-    ]
-    kept = F.when(n >= min_count, F.struct(gram.alias("gram"), n.alias("n")))
-    onward = F.struct(_part(gram, 0, longest - 1).alias("gram"), n.alias("n"))
-    rows = F.when(ends, F.array(*corrections)).otherwise(F.array(onward, kept))
-    level = edges.select("lang", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("lang", "r.gram", "r.n")
-    for size in range(longest - 1, 0, -1):
-        level = level.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        if size > 1:
-            here = _size(gram) == size
-            onward = F.struct(_part(gram, 0, size - 1).alias("gram"), n.alias("n"))
-            itself = F.struct(gram.alias("gram"), n.alias("n"))
-            rows = F.when(here & (n >= min_count), F.array(onward, itself)).when(here, F.array(onward)).otherwise(F.array(itself))
-            level = level.select("lang", F.explode(rows).alias("r")).select("lang", "r.gram", "r.n")
-    return level.where(n >= min_count).select("lang", "gram", _size(gram).alias("size"), "n")
-
-
-def _last(gram: Column, told: Column, size: int) -> Column:
-    token = f"(?:{LITERAL}|[^{OPEN}])"
-    written = F.regexp_extract(gram, f"({token}{{{size}}})$", 1)
-    return F.when(gram.contains(OPEN), written).otherwise(F.substring(gram, told - size + 1, F.lit(size)))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flow = Flow(longest, min_count)
+        for batch in batches:
+            flow.add(batch.column("key").to_pylist(), batch.column("n").to_pylist())
+            yield flow.taken()
+        flow.close()
+        yield flow.taken()
+
+    key = F.col("key")
+    ranges = edges.repartitionByRange(key).sortWithinPartitions(key)
+    sums = ranges.mapInArrow(summed, "lang string, gram string, size int, n long")
+    return sums.groupBy("lang", "gram", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+
+
+class Flow:
+    """Sums of the edges out of each node, over edges in sorted order."""
+
+    def __init__(self, longest: int, min_count: int):
+        self.longest, self.min_count = longest, min_count
+        self.lang: str | None = None
+        self.open: list[list] = []  # gram, count and whether it began the range, by size
+        self.found: list[tuple[str, str, int, int]] = []
+
+    def add(self, keys: list[str], numbers: list[int]) -> None:
+        for key, n in zip(keys, numbers):
+            lang, _, gram = key.rpartition(LANG_END)
+            tokens = gram.rstrip(SINK)
+            if OPEN in tokens:
+                tokens = TOKEN.findall(tokens)
+            began = self.lang is None
+            if lang != self.lang:
+                self._shut(0)
+                self.lang = lang
+            same = 0
+            for part in self.open:
+                if same == len(tokens) or part[0] != tokens[same]:
+                    break
+                part[1] += n
+                same += 1
+            self._shut(same)
+            for token in tokens[same:]:
+                self.open.append([token, n, began])
+
+    def _shut(self, size: int, always: bool = False) -> None:
+        for at in range(len(self.open), size, -1):
+            _, n, began = self.open[at - 1]
+            if n >= self.min_count or began or always:
+                self.found.append((self.lang, "".join(part[0] for part in self.open[:at]), at, n))
+        del self.open[size:]
+
+    def close(self) -> None:
+        self._shut(0, always=True)
+
+    def taken(self) -> pa.RecordBatch:
+        types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+        columns = list(zip(*self.found)) or [()] * 4
+        self.found = []
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "gram", "size", "n"])
 
 
 def compact_paths(counts: DataFrame, longest: int = 4) -> DataFrame:
@@ -370,7 +402,8 @@ def mine_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, share:
     """
     words = stage(count_words(docs), "phrase-vocabulary")
     dictionary = Dictionary(words, min_count, size)
-    counts = stage(flow_counts(count_edges(docs, dictionary, longest), min_count, longest), "phrase-counts")
+    edges = stage(count_edges(docs, dictionary, longest), "phrase-edges")
+    counts = stage(flow_counts(edges, min_count, longest), "phrase-counts")
     paths = compact_paths(counts, longest)
     candidates = counts.where(F.col("size") >= 2).join(_contained(paths, counts, longest), ["lang", "gram"], "left")
     wide = "cast(100 as decimal(20, 0)) * longer >= cast({} as decimal(20, 0)) * n"
