@@ -22,6 +22,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -204,7 +205,7 @@ def count_edges(docs: DataFrame, dictionary: Dictionary, longest: int = 4) -> Da
         def handed_on(lang: str) -> pa.RecordBatch:
             counter = held.pop(lang)
             keys = sorted(counter)
-            said = pa.array([f"{lang}{LANG_END}{key}" for key in keys], pa.string())
+            said = pc.binary_join_element_wise(lang + LANG_END, pa.array(keys, pa.string()), "")
             return pa.RecordBatch.from_arrays([said, pa.array([counter[key] for key in keys], pa.int64())], ["key", "n"])
 
         for batch in chunks(batches, "text"):
@@ -241,18 +242,15 @@ def flow_counts(edges: DataFrame, min_count: int, longest: int = 4) -> DataFrame
     """Counts of all grams of 1 to ``longest`` words that occur at least ``min_count`` times: lang, gram, size, n.
 
     ``edges`` must be a written table. Sorted by ranges, all edges that begin with a gram lie side by
-    side, so a task sums what flows out of its nodes and keeps the frequent ones. Only
-    the nodes at the ends of a range may go on in the next one: they are kept at any count and
+    side, so each run of them sums what flows out of its nodes and keeps the frequent ones. Only
+    the nodes at the ends of a run may go on in the next one: they are kept at any count and
     summed again.
     """
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flow = Flow(longest, min_count)
         for batch in batches:
-            flow.add(batch.column("key").to_pylist(), batch.column("n").to_pylist())
-            yield flow.taken()
-        flow.close()
-        yield flow.taken()
+            if batch.num_rows:
+                yield _flow(batch.column("key").to_pylist(), batch.column("n").to_numpy(), min_count, longest)
 
     key = F.col("key")
     ranges = edges.repartitionByRange(key).sortWithinPartitions(key)
@@ -260,50 +258,42 @@ def flow_counts(edges: DataFrame, min_count: int, longest: int = 4) -> DataFrame
     return sums.groupBy("lang", "gram", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
-class Flow:
-    """Sums of the edges out of each node, over edges in sorted order."""
-
-    def __init__(self, longest: int, min_count: int):
-        self.longest, self.min_count = longest, min_count
-        self.lang: str | None = None
-        self.open: list[list] = []  # gram, count and whether it began the range, by size
-        self.found: list[tuple[str, str, int, int]] = []
-
-    def add(self, keys: list[str], numbers: list[int]) -> None:
-        for key, n in zip(keys, numbers):
-            lang, _, gram = key.rpartition(LANG_END)
-            tokens = gram.rstrip(SINK)
-            if OPEN in tokens:
-                tokens = TOKEN.findall(tokens)
-            began = self.lang is None
-            if lang != self.lang:
-                self._shut(0)
-                self.lang = lang
-            same = 0
-            for part in self.open:
-                if same == len(tokens) or part[0] != tokens[same]:
-                    break
-                part[1] += n
-                same += 1
-            self._shut(same)
-            for token in tokens[same:]:
-                self.open.append([token, n, began])
-
-    def _shut(self, size: int, always: bool = False) -> None:
-        for at in range(len(self.open), size, -1):
-            _, n, began = self.open[at - 1]
-            if n >= self.min_count or began or always:
-                self.found.append((self.lang, "".join(part[0] for part in self.open[:at]), at, n))
-        del self.open[size:]
-
-    def close(self) -> None:
-        self._shut(0, always=True)
-
-    def taken(self) -> pa.RecordBatch:
-        types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
-        columns = list(zip(*self.found)) or [()] * 4
-        self.found = []
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "gram", "size", "n"])
+def _tokens(keys: list[str], longest: int) -> np.ndarray:
+    """One row of numbers per key: its language and each of its words, 0 where there is none."""
+    joined, lang = "".join(keys), keys[0][: keys[0].rindex(LANG_END) + 1]
+    tokens = np.zeros((len(keys), longest + 1), np.uint32)
+    if OPEN not in joined and joined.count(LANG_END) == len(keys) and all(key.startswith(lang) for key in keys):
+        written = np.array([key[len(lang) :] for key in keys], f"U{longest}").view(np.uint32).reshape(len(keys), longest)
+        tokens[:, 1:] = np.where(written == ord(SINK), 0, written)
+        return tokens
+    number: dict[str, int] = {}
+    for row, key in zip(tokens, keys):
+        lang, _, gram = key.rpartition(LANG_END)
+        said = [number.setdefault(token, len(number) + 1) for token in [lang + LANG_END, *TOKEN.findall(gram.rstrip(SINK))]]
+        row[: len(said)] = said
+    return tokens
+
+
+def _flow(keys: list[str], n: np.ndarray, min_count: int, longest: int) -> pa.RecordBatch:
+    """What flows out of the nodes of a sorted run of edges: frequent nodes, and at any count those at both ends of the run."""
+    tokens = _tokens(keys, longest)
+    changed = np.ones(len(keys), bool)
+    changed[1:] = tokens[1:, 0] != tokens[:-1, 0]
+    found: list[tuple[str, str, int, int]] = []
+    for size in range(1, longest + 1):
+        changed[1:] |= tokens[1:, size] != tokens[:-1, size]
+        first = np.flatnonzero(changed)
+        sums = np.add.reduceat(n, first)
+        kept = sums >= min_count
+        kept[[0, -1]] = True
+        for at, total in zip(first[kept].tolist(), sums[kept].tolist()):
+            if tokens[at, size]:
+                lang, _, gram = keys[at].rpartition(LANG_END)
+                gram = gram.rstrip(SINK)
+                found.append((lang, gram[:size] if OPEN not in gram else "".join(TOKEN.findall(gram)[:size]), size, total))
+    types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+    columns = list(zip(*found)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "gram", "size", "n"])
 
 
 def compact_paths(counts: DataFrame, longest: int = 4) -> DataFrame:
