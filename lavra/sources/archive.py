@@ -76,11 +76,13 @@ def _work(spark: SparkSession, path: str, pattern: str | None, keep_going: bool,
         for frame in frames:
             for archive in frame["_arquivo"]:
                 try:
-                    yield _frame(WORK, members(archive))
+                    found = members(archive)
                 except DAMAGE as problem:
                     if not keep_going:
                         raise ValueError(f"{problem} in {archive}") from None
-                    yield _frame(WORK, [{"_arquivo": archive, "_erro": str(problem)}])
+                    found = [{"_arquivo": archive, "_erro": str(problem)}]
+                if found:
+                    yield _frame(WORK, found)
 
     return list_files(spark, path).select("_arquivo").mapInPandas(listed, _schema(WORK))
 
@@ -199,7 +201,6 @@ def _read_members(
                         raise ValueError(f"{problem}: {member[1]} in {member[0]}") from None
                     yield _frame(columns, [{**where, "_erro": str(problem)}])
 
-    # Work names without an underscore can be read as attributes.
     found = dealt.select(*WORK).mapInPandas(read, _schema(columns))
     return found if keep_going else found.drop("_erro")
 
