@@ -17,7 +17,7 @@ from lavra.plans import admissions, municipalities, weather
 from lavra.scratch import new_folder
 from lavra.sources import tables
 from lavra.sources.archive import list_archives, list_members, member_count_check
-from lavra.sources.dbf import Field, decode_dbf, read_dbf_files
+from lavra.sources.dbf import Field, read_dbf
 from lavra.sources.delimited import read_delimited, read_preambles
 from lavra.sources.landing import landed_files, landed_months, landed_years
 
@@ -136,9 +136,8 @@ def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dbf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = read_dbf_files(spark, landing.municipality_files(spark, sf_dir))
     fields = [Field(name, kind) for name, kind, _ in landing.CUSTOMER_FIELDS]
-    return decode_dbf(files, fields, "UTF-8", exact_fields=True).drop("_arquivo")
+    return read_dbf(spark, landing.municipality_files(spark, sf_dir), fields, "UTF-8", exact_fields=True).drop("_arquivo")
 
 
 def dbf_from_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +146,7 @@ def dbf_from_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dbf_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [Field(name, kind) for name, kind, _ in landing.ORDER_FIELDS]
-    staged = admissions.stage_dbf(spark, landing.admission_files(spark, sf_dir), fields)
+    staged = admissions.stage_dbf(spark, landing.whole_admission_files(spark, sf_dir), fields)
     return staged.drop("_arquivo").withColumn("CHAVE", F.col("CHAVE").cast("long"))
 
 
@@ -254,7 +253,7 @@ ENTRIES = {
         dbf_to_parquet,
         f"""select o_orderkey as CHAVE, rtrim(MUNIC_RES) as MUNIC_RES, DT_INTER, DT_SAIDA, NASC,
                rtrim(DIAG_PRINC) as DIAG_PRINC
-            from ({ORDERS_SQL}) where mes <> 5 and o_orderkey % 101 <> 0""",
+            from ({ORDERS_SQL}) where o_orderkey % 101 <> 0""",
     ),
     "landing_completeness_years": Entry(
         landing_completeness_years,

@@ -323,11 +323,17 @@ def admission_files(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "admissions", lambda path: write_binary(files, path, keys, "\u001a"))
 
 
-def _admission_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whole_admission_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same for every month that has orders."""
+    files, keys = _admission_content(spark, sf_dir, missing=0), ["ano", "arquivo", "bloco"]
+    return once(spark, sf_dir, "admissions-whole", lambda path: write_binary(files, path, keys, "\u001a"))
+
+
+def _admission_content(spark: SparkSession, sf_dir: str, missing: int = 5) -> DataFrame:
     key = F.col("o_orderkey")
     rows = (
         orders(spark, sf_dir)
-        .filter(F.col("mes") != 5)
+        .filter(F.col("mes") != missing)
         .withColumns(
             {
                 "CHAVE": key.cast("string"),

@@ -15,7 +15,7 @@ from lavra.operators.lookup import keep_matched, lookup_left, match_counts
 from lavra.operators.sets import union_by_name
 from lavra.scratch import materialize, new_folder
 from lavra.sinks import clear_periods, write_periods, write_table
-from lavra.sources.dbf import Field, decode_dbf, read_dbf_files, split_files
+from lavra.sources.dbf import Field, read_dbf
 from lavra.sources.landing import MONTHLY_TABLE, landed_months
 
 PERIOD = ["ano", "mes"]
@@ -38,12 +38,10 @@ def stage_dbf(
     """Landed DBF files as a Parquet table in the shared folder.
 
     Fixed-width files are decoded once; all later passes read only the columns
-    they need. Files are split into pieces of whole records first, so that one
-    large month is decoded by many tasks. A field that a month lacks is NULL
-    there.
+    they need. Tasks read ranges of whole records, so that one large month is
+    decoded by many of them. A field that a month lacks is NULL there.
     """
-    files = split_files(read_dbf_files(spark, path))
-    rows = decode_dbf(files, fields, "ISO-8859-1", keep_going=keep_going, absent_is_null=True)
+    rows = read_dbf(spark, path, fields, "ISO-8859-1", keep_going=keep_going, absent_is_null=True)
     staged = new_folder(spark, "admissions")
     write_table(rows, staged, codec="snappy")
     return spark.read.schema(rows.schema).parquet(staged)

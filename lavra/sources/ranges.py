@@ -7,9 +7,11 @@ So the size of a file is not bounded by what fits into one row.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable
 from typing import BinaryIO
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +20,38 @@ from pyspark.sql import functions as F
 Opener = Callable[[str], BinaryIO]
 
 
+class _File(io.RawIOBase):
+    """An Arrow file as Python's own: a place before its start is an OSError."""
+
+    def __init__(self, native: pa.NativeFile):
+        self.native = native
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        return self.native.readinto(buffer)
+
+    def seek(self, place: int, whence: int = io.SEEK_SET) -> int:
+        try:
+            return self.native.seek(place, whence)
+        except ValueError as problem:
+            raise OSError(str(problem)) from None
+
+    def tell(self) -> int:
+        return self.native.tell()
+
+    def close(self) -> None:
+        self.native.close()
+        super().close()
+
+
 def open_file(path: str) -> BinaryIO:
     system, name = fs.FileSystem.from_uri(path)
-    return system.open_input_file(name)
+    return _File(system.open_input_file(name))
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

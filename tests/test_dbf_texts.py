@@ -44,6 +44,7 @@ def test_layout_of_a_header():
     layout = Layout.of(dbf_bytes(fields, [(" ", ["x", "1"])], extra_header=b"\0" * 263))
     assert (layout.records, layout.record_bytes) == (1, 9)
     assert layout.places == {"A": slice(1, 4), "ONZE_LETRAS": slice(4, 9)}
-    assert Layout.of(dbf_bytes(fields, [], claimed=7), whole=False).records == 7
+    assert Layout.of(dbf_bytes(fields, [], claimed=7)).records == 7
+    short = dbf_bytes(fields, [], claimed=7)
     with pytest.raises(ValueError, match="cut short: 0 of 7 records"):
-        Layout.of(dbf_bytes(fields, [], claimed=7))
+        Layout.of(short, len(short))

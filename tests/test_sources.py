@@ -9,6 +9,7 @@ from lavra import contracts as C
 from lavra.operators import quality as Q
 from lavra.plans import weather
 from lavra.sources import archive, dbf, delimited, landing, tables
+from tests.test_archive_ranges import bytes_read, counting
 from tests.helpers import PREAMBLE, dbf_bytes, plan, rows, station_text, write_zip
 
 SHORT = T.StructType([T.StructField(n, T.StringType()) for n in ("data", "hora", "a", "b")])
@@ -158,7 +159,7 @@ DECODED = [
 
 
 def decode(spark, path, fields=WANTED, encoding="ISO-8859-1", **options):
-    return dbf.decode_dbf(dbf.read_dbf_files(spark, str(path)), fields, encoding, **options)
+    return dbf.read_dbf(spark, str(path), fields, encoding, **options)
 
 
 @pytest.mark.parametrize("batch", [1, 2, 3, 20_000])
@@ -170,10 +171,28 @@ def test_dbf_records(spark, tmp_path, batch, encoding):
     charset = {"latin-1": "ISO-8859-1", "utf-8": "UTF-8"}[encoding]
     found = decode(spark, tmp_path, encoding=charset, exact_fields=True, batch_records=batch)
     assert rows(found.drop("_arquivo")) == sorted([*DECODED, DECODED[2]])
-    split = dbf.split_files(dbf.read_dbf_files(spark, str(tmp_path)), batch)
-    assert split.count() == {1: 6, 2: 4, 3: 4}.get(batch, 3)
-    again = dbf.decode_dbf(split, WANTED, charset, exact_fields=True)
-    assert rows(again) == rows(found)
+    work = dbf.dbf_work(dbf.list_files(spark, str(tmp_path)), [f.name for f in WANTED], batch_records=batch)
+    assert work.count() == {1: 5, 2: 3, 3: 3}.get(batch, 2)
+    held = spark.read.format("binaryFile").load(str(tmp_path)).selectExpr("path as _arquivo", "content")
+    again = dbf.decode_dbf(held, WANTED, charset, exact_fields=True, batch_records=batch)
+    assert rows(again.drop("_arquivo")) == rows(found.drop("_arquivo"))
+
+
+def test_describing_reads_headers_and_decoding_each_byte_once(spark, tmp_path):
+    path = tmp_path / "a.dbf"
+    path.write_bytes(dbf_bytes(FIELDS, RECORDS * 5000))
+    fields = dbf.describe(spark, str(path), opener=counting)
+    assert [f.name for f in fields] == [f[0] for f in FIELDS]
+    assert bytes_read(path) < 300
+    assert decode(spark, path, fields, batch_records=700, opener=counting).count() == 15_000
+    assert bytes_read(path) < 1.05 * path.stat().st_size
+
+
+def test_fractions_in_whole_fields_are_read(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(dbf_bytes([("N", "N", 6), ("W", "N", 17)], [(" ", ["12.50", "12345678901234567"]), (" ", ["7", "1.5"])]))
+    found = decode(spark, tmp_path, dbf.describe(spark, str(tmp_path))).drop("_arquivo")
+    assert [t for _, t in found.dtypes] == ["double", "bigint"]
+    assert rows(found) == [(12.5, 12345678901234567), (7.0, None)]
 
 
 def test_truncated_dbf_is_an_error(spark, tmp_path):
@@ -231,9 +250,9 @@ def test_dbf_types_and_subset_of_fields(spark, tmp_path):
     ]
     (tmp_path / "a.dbf").write_bytes(dbf_bytes(fields, records))
     described = dbf.describe(spark, str(tmp_path))
-    assert described == [dbf.Field(n, k, 2 * n.endswith("_2")) for n, k, _ in fields]
+    assert described == [dbf.Field(n, k, None if n == "N" else 2 * n.endswith("_2")) for n, k, _ in fields]
     found = decode(spark, tmp_path, described).drop("_arquivo")
-    assert [t for _, t in found.dtypes] == ["date", "boolean", "bigint", "double", "string"]
+    assert [t for _, t in found.dtypes] == ["date", "boolean", "double", "double", "string"]
     assert rows(found) == [(date(2023, 1, 5), True, -12, 1.5, "a"), (None, None, None, 2.25, "")]
     subset = decode(spark, tmp_path, [dbf.Field("C"), dbf.Field("N", "N")]).drop("_arquivo")
     assert rows(subset) == [("", None), ("a", -12.0)]
@@ -261,7 +280,7 @@ def test_dbf_bytes_are_cut_in_batches_and_parsed_without_python(spark, tmp_path)
     (tmp_path / "a.dbf").write_bytes(dbf_bytes(FIELDS, RECORDS))
     text = plan(decode(spark, tmp_path))
     assert "MapInArrow" in text
-    assert "EvalPython" not in text and "Exchange" not in text
+    assert "EvalPython" not in text
 
 
 def test_landed_files_by_name_and_year(spark, tmp_path):
