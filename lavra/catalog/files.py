@@ -14,12 +14,12 @@ from lavra.catalog import Entry, landing
 from lavra.catalog.dirty import EVENTS_SQL, ORDERS_SQL, orders, table
 from lavra.operators.periods import completeness, month_spine
 from lavra.plans import admissions, municipalities, weather
-from lavra.scratch import new_folder
+from lavra.scratch import materialize, new_folder
 from lavra.sources import tables
 from lavra.sources.archive import list_archives, list_members, member_count_check
 from lavra.sources.dbf import Field, read_dbf
 from lavra.sources.delimited import read_delimited, read_preambles
-from lavra.sources.landing import landed_files, landed_months, landed_years
+from lavra.sources.landing import FITS, SECOND_FILE, UNKNOWN_NAME, WRONG_FOLDER, landed_files, landed_years, monthly_ledger
 
 STATION = r"event_type=([^/]+)/"
 BLOCK = r"pasta=([^/]+)\.zip/"
@@ -151,14 +151,19 @@ def dbf_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months of 1995 to 2001 for which no file has landed."""
-    found = landed_months(landed_files(spark, landing.admission_files(spark, sf_dir)))
+    """Months of 1995 to 2001 for which no file has landed, and the files of each class."""
+    ledger = materialize(monthly_ledger(landed_files(spark, landing.admission_files(spark, sf_dir))), "ledger")
+    found = ledger.filter(F.col("classe") == FITS)
+    classes = {"arquivos": None, "fora_da_pasta": WRONG_FOLDER, "nome_desconhecido": UNKNOWN_NAME, "repetidos": SECOND_FILE}
+    counts = ledger.agg(
+        *(F.count_if(F.lit(True) if c is None else F.col("classe") == c).alias(name) for name, c in classes.items())
+    )
     expected = month_spine(spark, date(1995, 1, 1), date(2001, 12, 1)).withColumn(
         "periodo", F.date_format("mes_inicial", "yyyy-MM")
     )
-    return completeness(expected, found, ["ano", "mes"], "periodo").withColumn(
-        "ausentes", F.array_join("ausentes", ",")
-    )
+    report = completeness(expected, found, ["ano", "mes"], "periodo")
+    # One row each.
+    return report.withColumn("ausentes", F.array_join("ausentes", ",")).join(counts)
 
 
 def landing_completeness_years(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,14 +274,19 @@ ENTRIES = {
     ),
     "landing_completeness": Entry(
         landing_completeness,
-        """with e as (select strftime(x, '%Y-%m') as p from (select unnest(generate_series(
+        f"""with e as (select strftime(x, '%Y-%m') as p from (select unnest(generate_series(
                         timestamp '1995-01-01', timestamp '2001-12-01', interval 1 month)) as x)),
-                f as (select distinct strftime(o_orderdate, '%Y-%m') as p from orders
-                      where month(o_orderdate) <> 5)
+                b as (select distinct strftime(o_orderdate, '%Y-%m') as p, o_orderkey // {landing.ROWS_PER_FILE} as b
+                      from orders where month(o_orderdate) <> 5),
+                f as (select distinct p from b),
+                c as (select count(*) as n, count_if(p = '1997-03') as w, count_if(p = '1998-04') as u,
+                      count_if(p = '1999-06') as s from b)
            select count(*) as total_esperado, count(f.p) as total_encontrado,
                   count(*) - count(f.p) as total_ausente,
                   string_agg(e.p, ',' order by e.p) filter (where f.p is null) as ausentes,
-                  count(*) = count(f.p) as completo
-           from e left join f on e.p = f.p""",
+                  count(*) = count(f.p) as completo, cast(any_value(n + w + u + s) as bigint) as arquivos,
+                  cast(any_value(w) as bigint) as fora_da_pasta, cast(any_value(u) as bigint) as nome_desconhecido,
+                  cast(any_value(s) as bigint) as repetidos
+           from e left join f on e.p = f.p cross join c""",
     ),
 }

@@ -62,7 +62,8 @@ def silver_batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_fact_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From landed DBF files to the fact: status of every month and the rows written for it.
 
-    February has been cut short, for May nothing has landed, and July 1996 is not expected.
+    February has been cut short, for May nothing has landed, and July 1996 is not expected. March 1997
+    lies in another folder, too, June 1999 has a second file, and one file has a strange name.
     """
     path = new_folder(spark, "silver-landed")
     folder = landing.damaged_admission_files(spark, sf_dir)
@@ -280,8 +281,11 @@ ENTRIES = {
                  s as (select coalesce(x.ano, l.ano) as ano, coalesce(x.mes, l.mes) as mes,
                          case when x.ano is null then 'period not expected'
                               when l.ano is null then 'no rows landed'
+                              when l.ano = 1997 and l.mes = 3 then 'wrong folder'
+                              when l.ano = 1999 and l.mes = 6 then 'second file of its period'
                               when l.mes = 2 then 'cut short' end as motivo
-                       from x full join l on x.ano = l.ano and x.mes = l.mes)
+                       from x full join l on x.ano = l.ano and x.mes = l.mes
+                       union all select null, null, 'unknown name' from l where ano = 1998 and mes = 4)
             select s.ano, s.mes, case when motivo is null then 'OK' else 'ERRO' end as status, motivo,
                    case when motivo is null then linhas end as linhas
             from s left join w on s.ano = w.ano and s.mes = w.mes""",

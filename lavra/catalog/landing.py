@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.catalog.dirty import events, orders, table
+from lavra.operators.sets import union_by_name
 from lavra.scratch import new_folder
 
 ROWS_PER_FILE = 50_000
@@ -305,11 +306,11 @@ def yearly_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def damaged_admission_files(spark: SparkSession, sf_dir: str) -> str:
-    """The monthly files again; those of February are cut short by a few bytes."""
+    """The monthly files again, strays among them; those of February are cut short by a few bytes."""
     keys = ["ano", "arquivo", "bloco"]
     whole = F.length("content")
     short = F.col("arquivo").endswith("02.dbc")
-    files = _admission_content(spark, sf_dir).withColumn(
+    files = _with_strays(_admission_content(spark, sf_dir)).withColumn(
         "content", F.when(short, F.substring(F.col("content"), F.lit(1), whole - 9)).otherwise(F.col("content"))
     )
     return once(
@@ -318,11 +319,24 @@ def damaged_admission_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def admission_files(spark: SparkSession, sf_dir: str) -> str:
-    """Monthly DBF files ``ano=yyyy/arquivo=RDSPyymm.dbc/bloco=n/``; no file for May."""
-    files, keys = _admission_content(spark, sf_dir), ["ano", "arquivo", "bloco"]
+    """Monthly DBF files ``ano=yyyy/arquivo=RDSPyymm.dbc/bloco=n/`` and strays; no file for May."""
+    files, keys = _with_strays(_admission_content(spark, sf_dir)), ["ano", "arquivo", "bloco"]
     return once(spark, sf_dir, "admissions", lambda path: write_binary(files, path, keys, "\u001a"))
 
 
+def _with_strays(files: DataFrame) -> DataFrame:
+    """The files, and three months that land again: in a wrong folder, under a strange name, and as a second file."""
+    def again(name: str, year: int, landed: str) -> DataFrame:
+        return files.filter(F.col("arquivo") == name).withColumns({"ano": F.lit(year), "arquivo": F.lit(landed)})
+
+    strays = (
+        again("RDSP9703.dbc", 1996, "RDSP9703.dbc"),
+        again("RDSP9804.dbc", 1998, "LEIAME.dbc"),
+        again("RDSP9906.dbc", 1999, "rdsp9906.DBC"),
+    )
+    return union_by_name([files, *(stray.select(*files.columns) for stray in strays)])
+
+
 def whole_admission_files(spark: SparkSession, sf_dir: str) -> str:
     """The same for every month that has orders."""
     files, keys = _admission_content(spark, sf_dir, missing=0), ["ano", "arquivo", "bloco"]

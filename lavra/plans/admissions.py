@@ -14,9 +14,11 @@ from lavra.operators.clean import blanks_to_null, parse_dates
 from lavra.operators.lookup import keep_matched, lookup_left, match_counts
 from lavra.operators.sets import union_by_name
 from lavra.scratch import materialize, new_folder
-from lavra.sinks import clear_periods, write_periods, write_table
+from lavra.publish import Folders, publish, stage_rows
+from lavra.sinks import write_table
 from lavra.sources.dbf import Field, read_dbf
-from lavra.sources.landing import MONTHLY_TABLE, landed_months
+from lavra.sources.landing import FITS, MONTHLY_TABLE, monthly_ledger
+from lavra.sources.ranges import list_files
 
 PERIOD = ["ano", "mes"]
 
@@ -53,14 +55,19 @@ def stage_months(
     """All landed months: their rows, and the periods that could not be read.
 
     Rows carry ``ano`` and ``mes`` of their file; an unreadable period has
-    ``ano``, ``mes`` and ``motivo``. Both come from one staged table.
+    ``ano``, ``mes`` and ``motivo``. Every landed file is accounted for: one that lies in the wrong
+    folder or comes second makes its period unreadable, one of an unknown name is an unreadable period
+    without ``ano`` and ``mes``. Both come from one staged table and the ledger of the files.
     """
-    staged = landed_months(stage_dbf(spark, path, fields, keep_going=True), pattern, "_arquivo")
-    rows = staged.filter(F.col("_erro").isNull()).drop("_erro", "_arquivo")
-    unreadable = staged.filter(F.col("_erro").isNotNull()).select(
-        *PERIOD, F.col("_erro").alias("motivo")
-    )
-    return rows, unreadable.distinct()
+    staged = stage_dbf(spark, path, fields, keep_going=True)
+    ledger = materialize(monthly_ledger(list_files(spark, path).select("_arquivo"), pattern, "_arquivo"), "ledger")
+    # One row per file.
+    fitting = ledger.where(F.col("classe") == FITS).select("_arquivo", *PERIOD)
+    dated = staged.join(fitting, "_arquivo")
+    rows = dated.filter(F.col("_erro").isNull()).drop("_erro", "_arquivo")
+    unreadable = dated.filter(F.col("_erro").isNotNull()).select(*PERIOD, F.col("_erro").alias("motivo"))
+    misplaced = ledger.where(F.col("classe") != FITS).select(*PERIOD, F.col("classe").alias("motivo"))
+    return rows, unreadable.unionByName(misplaced).distinct()
 
 
 def clean(raw: DataFrame, spec: Enrichment = Enrichment()) -> DataFrame:
@@ -105,10 +112,16 @@ def run(
     cleaned = clean(raw, spec)
     counted = materialize(counts(cleaned, dimension, spec), "match-counts")
     Q.enforce(Q.evaluate(counted, conservation_checks()))
-    # Written aside and counted, from the footers only, before it replaces what is there.
-    silver = materialize(enrich(cleaned, dimension, spec), "silver")
-    Q.enforce(Q.evaluate(silver, [Q.row_count("stored rows", counted.first()["matched"])]))
-    write_table(silver, path, codec="snappy")
+    # Written aside and counted on the way, before it is put in place of what is there.
+    spark, (base, _, name) = raw.sparkSession, path.rstrip("/").rpartition("/")
+    staged = stage_rows(enrich(cleaned, dimension, spec), base)
+    stored = spark.range(1).select(F.lit(staged.rows).alias("stored"))
+    try:
+        Q.enforce(Q.evaluate(stored, [Q.Check("stored rows", F.max("stored"), counted.first()["matched"])]))
+    except Q.QualityError:
+        Folders(spark, base).delete(staged.folder)
+        raise
+    publish(spark, base, staged, {"": name})
     return counted
 
 
@@ -129,7 +142,8 @@ def period_status(results: DataFrame, expected: DataFrame) -> DataFrame:
             F.when(F.col("__expected") & F.col("__landed") & F.col("motivo").isNull(), "OK")
             .otherwise("ERRO")
             .alias("status"),
-            F.when(F.col("__expected").isNull(), "period not expected")
+            F.when(F.col("ano").isNull(), F.col("motivo"))
+            .when(F.col("__expected").isNull(), "period not expected")
             .when(F.col("__landed").isNull(), "no rows landed")
             .otherwise(F.col("motivo"))
             .alias("motivo"),
@@ -144,7 +158,6 @@ def run_periods(
     expected: DataFrame,
     spec: Enrichment = Enrichment(),
     extra_checks: Sequence[Q.Check] = (),
-    clustered: bool = False,
     unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """All periods in one job; a bad period is not written and stops no other.
@@ -153,8 +166,8 @@ def run_periods(
     period. Only passing periods are written; the others keep what they had. A
     period in ``unreadable`` (``ano``, ``mes``, ``motivo``) has failed already.
     A passing period without a known municipality ends up empty, even if it
-    held rows before; one that is landed but not expected is an error. With ``clustered``, because each file of ``raw`` holds one period, no fact
-    row is shuffled at all.
+    held rows before; one that is landed but not expected is an error. Periods are written aside, each is
+    compared with its matched rows, and those that agree are put in place by renames.
     """
     cleaned = clean(raw, spec)
     counted = materialize(counts(cleaned, dimension, spec, PERIOD), "match-counts")
@@ -176,7 +189,25 @@ def run_periods(
     status = materialize(period_status(union_by_name(judged), expected), "period-status")
     passing = status.filter(F.col("status") == "OK").select(*PERIOD)
     accepted = cleaned.join(passing, PERIOD, "left_semi")
-    write_periods(enrich(accepted, dimension, spec), path, PERIOD, clustered=clustered)
-    empty = counted.filter(F.col("matched") == 0).join(passing, PERIOD, "left_semi")
-    clear_periods(empty, path, PERIOD)
-    return status
+    staged = stage_rows(enrich(accepted, dimension, spec), path, PERIOD)
+    # The stored rows of a period are counted from the footers. There is a row per period of a calendar.
+    stored = staged.table.groupBy(*PERIOD).agg(F.count(F.lit(1)).alias("stored"))
+    matched = counted.select(*PERIOD, "matched").join(passing, PERIOD, "left_semi")
+    audit = matched.join(stored, PERIOD, "full").select(
+        *PERIOD, *(F.coalesce(n, F.lit(0)).alias(n) for n in ("matched", "stored"))
+    )
+    found = audit.collect()
+    if sum(period["stored"] for period in found) != staged.rows:
+        raise Q.QualityError(f"{staged.rows} rows were written, {sum(p['stored'] for p in found)} are stored")
+    agreed = {f"ano={p['ano']}/mes={p['mes']}": p["stored"] for p in found if p["stored"] == p["matched"]}
+    kept = {name: name for name, rows in agreed.items() if rows}
+    publish(raw.sparkSession, path, staged, kept, [name for name, rows in agreed.items() if not rows])
+    lost = [(p["ano"], p["mes"], f"stored rows: {p['stored']} of {p['matched']}") for p in found if p["stored"] != p["matched"]]
+    if not lost:
+        return status
+    lost = raw.sparkSession.createDataFrame(lost, "ano int, mes int, perda string")
+    return status.join(lost, PERIOD, "left").select(
+        *PERIOD,
+        F.when(F.col("perda").isNull(), F.col("status")).otherwise("ERRO").alias("status"),
+        F.coalesce("perda", "motivo").alias("motivo"),
+    )

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+from lavra.publish import Folders, publish, stage_rows
+
 
 def _writer(df: DataFrame, codec: str | None, max_records: int | None) -> DataFrameWriter:
     writer = df.write.mode("overwrite")
@@ -44,17 +46,16 @@ def period_path(root: str, year: int, month: int) -> str:
     return f"{root}/ano={year}/mes={month}"
 
 
-def clear_periods(periods: DataFrame, root: str, columns: Sequence[str] = ("ano", "mes")) -> None:
-    """Remove the directories of ``periods`` below ``root``.
-
-    A dynamic overwrite leaves a period alone that has no rows any more. There
-    is a row per period of a calendar, so they may be gone through one by one.
-    """
-    spark = periods.sparkSession
-    for row in periods.select(*columns).distinct().collect():
-        name = "/".join(f"{column}={row[column]}" for column in columns)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def period_folders(files: Folders, root: str, depth: int) -> list[str]:
+    """The partition folders below ``root``, ``depth`` levels down."""
+    if not depth:
+        return [""]
+    return [
+        f"{name}/{below}".rstrip("/")
+        for name in files.children(root)
+        if "=" in name
+        for below in period_folders(files, f"{root}/{name}", depth - 1)
+    ]
 
 
 def write_periods(
@@ -63,17 +64,13 @@ def write_periods(
     columns: Sequence[str] = ("ano", "mes"),
     codec: str | None = "snappy",
     max_records: int | None = None,
-    clustered: bool = False,
 ) -> None:
     """Replace only the periods that occur in ``df``; leave the others alone.
 
-    Rows that come from one file per period are ``clustered`` already, and are
-    then written without a shuffle.
+    They are written aside and put in place by renames, which
+    :func:`lavra.publish.recover` finishes after a crash.
     """
-    arranged = df if clustered else df.hint("rebalance", *columns)
-    (
-        _writer(arranged, codec, max_records)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    staged = stage_rows(df, path, columns, codec, max_records)
+    folders = period_folders(Folders(spark, path), f"{staged.folder}/rows", len(columns))
+    publish(spark, path, staged, dict(zip(folders, folders)))

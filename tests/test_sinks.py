@@ -64,16 +64,6 @@ def test_a_rerun_replaces_only_its_periods(spark, tmp_path):
     assert rows(found) == [(2023, 1, "a"), (2023, 2, "B"), (2024, 1, "c")]
 
 
-def test_clustered_periods_are_written_without_a_shuffle(spark, tmp_path):
-    source, path = str(tmp_path / "s"), str(tmp_path / "t")
-    for month in (1, 2):
-        df = spark.range(3).selectExpr("id", "2023 ano", f"{month} mes").coalesce(1)
-        df.write.mode("append").parquet(source)
-    stored = spark.read.parquet(source)
-    sinks.write_periods(stored, path, clustered=True)
-    assert rows(spark.read.parquet(path).select("id", "ano", "mes")) == rows(stored)
-
-
 def test_materialized_tables_live_in_the_shared_folder(spark):
     df = spark.range(10).selectExpr("id", "cast(null as string) v")
     stored = scratch.materialize(df, "t")

@@ -291,7 +291,7 @@ def test_landed_files_by_name_and_year(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
     files = landing.landed_files(spark, str(tmp_path))
     assert "content" not in plan(files).split("ReadSchema")[-1]
-    assert rows(landing.landed_months(files).select("ano", "mes")) == [(2023, 1), (2023, 12)]
+    assert rows(landing.monthly_ledger(files).where(F.col("classe") == landing.FITS).select("ano", "mes")) == [(2023, 1), (2023, 12)]
     assert rows(landing.landed_years(files).select("ano")) == [(2023,)]
 
 
