@@ -118,6 +118,33 @@ def silver_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+YEARS = [landing.GOOD_YEAR, landing.MISSING_YEAR, landing.DAMAGED_YEAR, landing.SHORT_YEAR]
+STATIONS = 5
+
+
+def _yearly_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    base = new_folder(spark, "silver-years")
+    required = weather.checks(STATIONS, ["MG", "SP"])
+    status = weather.run_years(spark, YEARS, landing.yearly_series(spark, sf_dir), base, STATIONS, required)
+    return status, base
+
+
+def silver_timeseries_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four years in one job: whole, missing, with a damaged member, one member short; and the rows stored."""
+    status, base = _yearly_series(spark, sf_dir)
+    rows = read_partitioned(spark, f"{base}/{landing.GOOD_YEAR}", C.WEATHER_SILVER_SCHEMA).groupBy("ano")
+    return status.join(rows.agg(F.count(F.lit(1)).alias("linhas")), "ano", "left")
+
+
+def quality_report_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the stored years that can be read: rows per station, and the range of all."""
+    _, base = _yearly_series(spark, sf_dir)
+    report = reports.weather_series_report(spark, base, YEARS, reports.weather_checks(STATIONS, ["MG", "SP"]))
+    first, last = (F.date_format(F.col(name), "yyyy-MM-dd HH:mm:ss").alias(name) for name in report.range.columns)
+    # One row of two moments.
+    return report.stations.join(report.range.select(first, last))
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored series re-checked per year; one of the two years cannot be read."""
     base = _hourly_series(spark, sf_dir)
@@ -304,6 +331,23 @@ ENTRIES = {
                cast(null as double) as vento_velocidade_ms
             from ({_HOURLY_SQL})""",
     ),
+    "silver_timeseries_years": Entry(
+        silver_timeseries_years,
+        f"""with h as ({_HOURLY_SQL}), n as (select count(*) as linhas from h),
+                 x as (select upper(max(event_type)) as last from h)
+            select 2021 as ano, 'OK' as status, null::varchar as motivo, linhas from n
+            union all select 2022, 'ERRO', 'no archive landed', null
+            union all select 2023, 'ERRO', concat('2023/INMET_SE_SP_', last, '_.CSV: wrong checksum'), null from x
+            union all select 2024, 'ERRO', 'members ending in .csv: observed 4, expected 5', null""",
+    ),
+    "quality_report_stations": Entry(
+        quality_report_stations,
+        f"""with h as ({_HOURLY_SQL}), r as (select min(hora) - interval 3 year as a, max(hora) - interval 3 year as b from h)
+            select 2021 as ano, concat('A-', event_type) as codigo_estacao, count(*) as n,
+                   strftime(any_value(a), '%Y-%m-%d %H:%M:%S') as data_hora_utc_min,
+                   strftime(any_value(b), '%Y-%m-%d %H:%M:%S') as data_hora_utc_max
+            from h cross join r group by event_type""",
+    ),
     "quality_report": Entry(quality_report, _weather_report_sql()),
     "quality_report_fact": Entry(quality_report_fact, _fact_report_sql()),
     "silver_dimension": Entry(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lavra.catalog.dirty import events, orders, table
 from lavra.operators.sets import union_by_name
+from lavra.publish import Folders
 from lavra.scratch import new_folder
 
 ROWS_PER_FILE = 50_000
@@ -169,6 +170,43 @@ def zipped(lines: DataFrame, label: str) -> DataFrame:
     return lines.groupBy("bloco").applyInPandas(pack, "pasta string, content binary")
 
 
+GOOD_YEAR, MISSING_YEAR, DAMAGED_YEAR, SHORT_YEAR = 2021, 2022, 2023, 2024
+
+
+def yearly_series(spark: SparkSession, sf_dir: str) -> str:
+    """Archives ``yyyy/yyyy.zip`` of the hourly lines, moved to three years: whole, with a damaged member, one member short.
+
+    Members are stored as they are, so a changed byte shows in the checksum alone.
+    """
+    lines = hourly_lines(spark, sf_dir)
+    years = F.explode(F.array(*map(F.lit, (GOOD_YEAR, DAMAGED_YEAR, SHORT_YEAR)))).alias("ano")
+    moved = lines.select("event_type", "ordem", "linha", years).filter(f"not (ano = {SHORT_YEAR} and event_type = 'view')")
+    moved = moved.withColumn("linha", F.regexp_replace("linha", F.lit(r"^\d{4}/"), F.concat(F.col("ano").cast("string"), F.lit("/"))))
+
+    def pack(block: pd.DataFrame) -> pd.DataFrame:
+        year = int(block["ano"].iloc[0])
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as archive:
+            for station, rows in sorted(block.groupby("event_type")):
+                text = "\r\n".join(rows.sort_values("ordem")["linha"]) + "\r\n"
+                archive.writestr(f"{year}/INMET_SE_SP_{station.upper()}_.CSV", text.encode("latin-1"))
+            last = archive.infolist()[-1]
+        content = bytearray(buffer.getvalue())
+        if year == DAMAGED_YEAR:
+            content[last.header_offset + last.file_size // 2] ^= 1
+        return pd.DataFrame({"ano": [year], "arquivo": [f"{year}.zip"], "content": [bytes(content)]})
+
+    files = moved.groupBy("ano").applyInPandas(pack, "ano int, arquivo string, content binary")
+
+    def write(path: str) -> None:
+        write_binary(files, f"{path}/raw", ["ano", "arquivo"], "\n")
+        folders = Folders(spark, path)
+        for year in (GOOD_YEAR, DAMAGED_YEAR, SHORT_YEAR):
+            folders.rename(f"{path}/raw/ano={year}/arquivo={year}.zip", f"{path}/{year}/{year}.zip")
+
+    return once(spark, sf_dir, "yearly-series", write)
+
+
 def event_files(spark: SparkSession, sf_dir: str) -> str:
     lines = event_lines(spark, sf_dir)
     return once(

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +13,8 @@ from lavra.functions.text import decimal_comma, null_if_blank
 from lavra.operators import quality as Q
 from lavra.operators.clean import keep_matching
 from lavra.operators.lookup import lookup_left
+from lavra.operators.sets import union_by_name
+from lavra.publish import Folders, publish, stage_rows
 from lavra.scratch import materialize
 from lavra.sinks import write_partitioned
 from lavra.sources.archive import (
@@ -36,16 +36,19 @@ PREAMBLE = {**C.WEATHER_PREAMBLE_TEXTS, **C.WEATHER_PREAMBLE_NUMBERS}
 
 
 def from_archives(
-    spark: SparkSession, path: str, pattern: str = C.WEATHER_MEMBER_PATTERN
+    spark: SparkSession, path: str | list[str], pattern: str = C.WEATHER_MEMBER_PATTERN, keep_going: bool = False
 ) -> DataFrame:
-    """Raw observations and preamble texts of all matching archive members."""
+    """Raw observations and preamble texts of all matching archive members.
+
+    With ``keep_going`` a damaged archive or member is a row with ``membro`` and the complaint in ``_erro``.
+    """
     chunks = read_member_chunks(
-        spark, path, pattern, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING
+        spark, path, pattern, C.WEATHER_PREAMBLE_LINES, C.WEATHER_ENCODING, keep_going=keep_going
     )
+    kept = ["_arquivo", *(["membro", "_erro"] if keep_going else []), *PREAMBLE]
     lines = F.slice(F.split("preambulo", LINE_BREAK), 1, C.WEATHER_PREAMBLE_LINES)
     described = chunks.withColumns(preamble_columns(lines, PREAMBLE))
-    body = chunk_lines(described, "_arquivo", *PREAMBLE)
-    return parsed_lines(body, "linha", C.WEATHER_RAW_SCHEMA, "_arquivo", *PREAMBLE)
+    return parsed_lines(chunk_lines(described, *kept), "linha", C.WEATHER_RAW_SCHEMA, *kept)
 
 
 def from_folder(spark: SparkSession, path: str) -> DataFrame:
@@ -65,8 +68,8 @@ def from_folder(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame, year: int | Column) -> DataFrame:
-    """The 28 columns of the cleaned series, from raw text."""
+def clean(raw: DataFrame, year: int | Column, *keep: str) -> DataFrame:
+    """The 28 columns of the cleaned series, from raw text, behind the columns to keep."""
     observed = keep_matching(raw, "data", C.WEATHER_DATE_PATTERN)
     hour = hour_code(F.col("hora_utc"))
     values = {
@@ -79,6 +82,7 @@ def clean(raw: DataFrame, year: int | Column) -> DataFrame:
         **{name: decimal_comma(F.col(name)) for name in C.WEATHER_MEASURES},
     }
     return observed.select(
+        *keep,
         *(values.get(name, F.col(name)).alias(name) for name in C.WEATHER_SILVER_COLUMNS)
     )
 
@@ -123,19 +127,68 @@ def run_year(
 
 
 def run_years(
-    spark: SparkSession, years: Iterable[int], landing: str, base: str, stations: int = C.WEATHER_STATION_COUNT
+    spark: SparkSession,
+    years: Iterable[int],
+    landing: str,
+    base: str,
+    stations: int = C.WEATHER_STATION_COUNT,
+    required: list[Q.Check] | None = None,
 ) -> DataFrame:
-    """Every year in turn, each one distributed job; a bad year stops no other.
+    """All years as one job; a bad year is not written and stops no other.
 
-    Returns one row per year: ``ano``, ``status`` (``OK`` or ``ERRO``) and ``motivo``.
+    The year is that of the archive, ``landing/yyyy/yyyy.zip``, and goes as a key through reading, checks and
+    writing. A year fails if its archive is missing, holds too few or
+    too many members, or one that is damaged, if a check fails, or if fewer rows are
+    stored than were read. Returns one row per year: ``ano``, ``status`` (``OK``
+    or ``ERRO``) and ``motivo``.
     """
-    done = []
-    for year in years:
-        try:
-            run_year(spark, year, landing, base, stations)
-            done.append((year, "OK", None))
-        except Q.QualityError as problem:
-            done.append((year, "ERRO", str(problem)))
-        except (PySparkException, Py4JJavaError) as problem:
-            done.append((year, "ERRO", f"cannot be read: {type(problem).__name__}"))
-    return spark.createDataFrame(done, "ano int, status string, motivo string")
+    places = {year: f"{landing}/{year}/{year}.zip" for year in sorted(set(years))}
+    files = Folders(spark, landing)
+    landed = [path for path in places.values() if files.exists(path)]
+    wanted = spark.createDataFrame([(year,) for year in places], "ano int")
+    if not landed:
+        return _year_status(wanted, Q.error_row(spark, "", ano=0).limit(0))
+    year = F.regexp_extract("_arquivo", r"(\d{4})\.zip(?:/|$)", 1).try_cast("int")
+
+    raw = materialize(from_archives(spark, landed, keep_going=True), "weather-raw")
+    damaged = raw.filter(F.col("_erro").isNotNull()).select(
+        year.alias("ano"), F.concat_ws(": ", F.col("membro"), F.col("_erro")).alias("check")
+    )
+    cleaned = clean(raw.filter(F.col("_erro").isNull()), year)
+    members = list_members(spark, landed, C.WEATHER_MEMBER_PATTERN, keep_going=True)
+    counted = member_count_check(list_archives(spark, landed), members, ".csv", stations)
+    judged = materialize(
+        union_by_name(
+            [
+                damaged.select(
+                    "ano", F.lit(-2).alias("position"), "check", *(F.lit(None).cast("long").alias(n) for n in ("observed", "expected")), F.lit(False).alias("passed")
+                ),
+                counted.withColumn("position", F.lit(-1)).withColumn("ano", year).drop("_arquivo"),
+                Q.evaluate(cleaned, checks(stations) if required is None else required, ["ano"]),
+            ]
+        ),
+        "weather-checks",
+    )
+    status = materialize(_year_status(wanted, judged), "weather-status")
+    # A calendar has few years.
+    passing = [row["ano"] for row in status.filter(F.col("status") == "OK").collect()]
+    accepted = cleaned.filter(F.col("ano").isin(passing)).withColumn("_ano", F.col("ano"))
+    staged = stage_rows(accepted, base, ["_ano", "codigo_estacao"], codec=None)
+    stored = {row["_ano"]: row["n"] for row in staged.table.groupBy("_ano").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(stored.values()) != staged.rows:
+        raise Q.QualityError(f"{staged.rows} rows were written, {sum(stored.values())} are stored")
+    publish(spark, base, staged, {f"_ano={year}": str(year) for year in stored})
+    return status
+
+
+def _year_status(wanted: DataFrame, judged: DataFrame) -> DataFrame:
+    """One row per wanted year: its first failed check, if there is one."""
+    message = F.when(F.col("observed").isNull(), F.col("check")).otherwise(
+        F.format_string("%s: observed %d, expected %d", "check", "observed", "expected")
+    )
+    failed = F.min(F.when(~F.col("passed"), F.struct("position", message.alias("message"))))
+    found = judged.groupBy("ano").agg(failed["message"].alias("motivo"), F.lit(True).alias("landed"))
+    reason = F.when(F.col("landed").isNull(), "no archive landed").otherwise(F.col("motivo"))
+    return wanted.join(found, "ano", "left").select(
+        "ano", F.when(reason.isNull(), "OK").otherwise("ERRO").alias("status"), reason.alias("motivo")
+    )

@@ -47,7 +47,7 @@ def _frame(columns: dict[str, str], rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame([[row.get(name) for name in columns] for row in rows], columns=list(columns), dtype=object)
 
 
-def _work(spark: SparkSession, path: str, pattern: str | None, keep_going: bool, opener: Opener) -> DataFrame:
+def _work(spark: SparkSession, path: str | list[str], pattern: str | None, keep_going: bool, opener: Opener) -> DataFrame:
     """One row per member from the directory at the end of each archive; the rest of it is not read.
 
     With ``keep_going`` an archive without a readable directory is a row without a member, with the
@@ -87,7 +87,7 @@ def _work(spark: SparkSession, path: str, pattern: str | None, keep_going: bool,
     return list_files(spark, path).select("_arquivo").mapInPandas(listed, _schema(WORK))
 
 
-def _dealt(spark: SparkSession, path: str, pattern: str, keep_going: bool, opener: Opener) -> DataFrame:
+def _dealt(spark: SparkSession, path: str | list[str], pattern: str, keep_going: bool, opener: Opener) -> DataFrame:
     """The work rows of the matching members, dealt over tasks by what they hold when inflated."""
     work = materialize(_work(spark, path, pattern, keep_going, opener), "archive-members")
     total = work.agg(F.sum("bytes").alias("total")).first()["total"] or 0
@@ -100,13 +100,16 @@ def member_matches(member: Column, pattern: str) -> Column:
 
 
 def list_members(
-    spark: SparkSession, path: str, pattern: str | None = None, opener: Opener = open_file
+    spark: SparkSession, path: str | list[str], pattern: str | None = None, keep_going: bool = False, opener: Opener = open_file
 ) -> DataFrame:
-    """The members of every archive whose upper-cased name matches, one row each: ``_arquivo``, ``membro``, ``bytes``."""
-    return _work(spark, path, pattern, False, opener).select(*LISTED)
+    """The members of every archive whose upper-cased name matches, one row each: ``_arquivo``, ``membro``, ``bytes``.
+
+    An archive that cannot be read fails the job; with ``keep_going`` it has no members.
+    """
+    return _work(spark, path, pattern, keep_going, opener).where(F.col("_erro").isNull()).select(*LISTED)
 
 
-def list_archives(spark: SparkSession, path: str) -> DataFrame:
+def list_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The archives themselves, from the listing alone."""
     return list_files(spark, path).select("_arquivo")
 
@@ -223,7 +226,7 @@ def extract_members(
 
 def read_member_chunks(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     pattern: str,
     preamble_lines: int,
     encoding: str = "ISO-8859-1",
@@ -263,7 +266,10 @@ def read_member_chunks(
 
 
 def chunk_lines(chunks: DataFrame, *keep: str) -> DataFrame:
-    """One row per line of the chunks, as ``linha``, with the columns to keep."""
-    return chunks.select(*keep, F.explode(F.split("texto", LINE_BREAK)).alias("linha")).filter(
-        F.col("linha") != ""
-    )
+    """One row per line of the chunks, as ``linha``, with the columns to keep.
+
+    A chunk that stands for a damaged member, if ``_erro`` is kept, is one row without a line.
+    """
+    lines = chunks.select(*keep, F.explode_outer(F.split("texto", LINE_BREAK)).alias("linha"))
+    wanted = F.col("linha") != ""
+    return lines.filter(wanted | F.col("_erro").isNotNull() if "_erro" in keep else wanted)

@@ -54,7 +54,7 @@ def open_file(path: str) -> BinaryIO:
     return _File(system.open_input_file(name))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``_arquivo`` and ``_bytes`` of every file at ``path``, from the listing alone.
 
     Spark lists no files of zero bytes: they count as not landed.

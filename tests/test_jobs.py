@@ -259,7 +259,10 @@ def test_years_of_weather_go_on_past_bad_ones(spark, tmp_path):
     assert found[2023] == ("OK", None)
     assert found[2024][0] == "ERRO"
     assert found[2024][1].endswith("members ending in .csv: observed 1, expected 2")
-    assert found[2022][1].startswith("cannot be read") and found[2025][1].startswith("cannot be read")
+    assert found[2022] == ("ERRO", "no archive landed") and found[2025] == ("ERRO", "File is not a zip file")
+    stored = spark.read.schema(C.WEATHER_SILVER_SCHEMA).parquet(f"{base}/2023")
+    assert rows(stored.groupBy("ano", "codigo_estacao").count()) == [(2023, "A701", 48), (2023, "A716", 48)]
+    assert sorted(p.name for p in (tmp_path / "silver").iterdir() if not p.name.startswith("_")) == ["2023"]
 
 
 def test_weather_report_survives_a_damaged_year(spark, tmp_path):
