@@ -204,9 +204,8 @@ def count_edges(docs: DataFrame, dictionary: Dictionary, longest: int = 4) -> Da
 
         def handed_on(lang: str) -> pa.RecordBatch:
             counter = held.pop(lang)
-            keys = sorted(counter)
-            said = pc.binary_join_element_wise(lang + LANG_END, pa.array(keys, pa.string()), "")
-            return pa.RecordBatch.from_arrays([said, pa.array([counter[key] for key in keys], pa.int64())], ["key", "n"])
+            said = pc.binary_join_element_wise(lang + LANG_END, pa.array(list(counter), pa.string()), "")
+            return pa.RecordBatch.from_arrays([said, pa.array(list(counter.values()), pa.int64())], ["key", "n"])
 
         for batch in chunks(batches, "text"):
             for lang, texts in _texts_by_lang(batch).items():
@@ -250,7 +249,7 @@ def flow_counts(edges: DataFrame, min_count: int, longest: int = 4) -> DataFrame
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _flow(batch.column("key").to_pylist(), batch.column("n").to_numpy(), min_count, longest)
+                yield _flow(batch.column("key"), batch.column("n").to_numpy(), min_count, longest)
 
     key = F.col("key")
     ranges = edges.repartitionByRange(key).sortWithinPartitions(key)
@@ -258,23 +257,36 @@ def flow_counts(edges: DataFrame, min_count: int, longest: int = 4) -> DataFrame
     return sums.groupBy("lang", "gram", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
-def _tokens(keys: list[str], longest: int) -> np.ndarray:
+def _tokens(keys: pa.StringArray, longest: int) -> np.ndarray:
     """One row of numbers per key: its language and each of its words, 0 where there is none."""
-    joined, lang = "".join(keys), keys[0][: keys[0].rindex(LANG_END) + 1]
+    first = keys[0].as_py()
+    lang = first[: first.rindex(LANG_END) + 1]
     tokens = np.zeros((len(keys), longest + 1), np.uint32)
-    if OPEN not in joined and joined.count(LANG_END) == len(keys) and all(key.startswith(lang) for key in keys):
-        written = np.array([key[len(lang) :] for key in keys], f"U{longest}").view(np.uint32).reshape(len(keys), longest)
-        tokens[:, 1:] = np.where(written == ord(SINK), 0, written)
-        return tokens
+    if pc.all(pc.starts_with(keys, lang)).as_py():
+        grams = pc.utf8_slice_codeunits(keys, len(lang))
+        if not pc.any(pc.match_substring_regex(grams, f"[{OPEN}{LANG_END}]")).as_py():
+            # One language and no written-out word: a word is a character.
+            size = pc.utf8_length(grams).to_numpy()
+            said = np.frombuffer(_joined(grams).encode("utf-32-le"), np.uint32)
+            at = np.arange(len(said)) - np.repeat(np.cumsum(size) - size, size)
+            tokens[np.repeat(np.arange(len(keys)), size), at + 1] = np.where(said == ord(SINK), 0, said)
+            return tokens
     number: dict[str, int] = {}
-    for row, key in zip(tokens, keys):
+    for row, key in zip(tokens, keys.to_pylist()):
         lang, _, gram = key.rpartition(LANG_END)
         said = [number.setdefault(token, len(number) + 1) for token in [lang + LANG_END, *TOKEN.findall(gram.rstrip(SINK))]]
         row[: len(said)] = said
     return tokens
 
 
-def _flow(keys: list[str], n: np.ndarray, min_count: int, longest: int) -> pa.RecordBatch:
+def _joined(texts: pa.StringArray) -> str:
+    """All texts in one, straight from their bytes."""
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return data[int(ends[0]) : int(ends[-1])].to_pybytes().decode()
+
+
+def _flow(keys: pa.StringArray, n: np.ndarray, min_count: int, longest: int) -> pa.RecordBatch:
     """What flows out of the nodes of a sorted run of edges: frequent nodes, and at any count those at both ends of the run."""
     tokens = _tokens(keys, longest)
     changed = np.ones(len(keys), bool)
@@ -288,7 +300,7 @@ def _flow(keys: list[str], n: np.ndarray, min_count: int, longest: int) -> pa.Re
         kept[[0, -1]] = True
         for at, total in zip(first[kept].tolist(), sums[kept].tolist()):
             if tokens[at, size]:
-                lang, _, gram = keys[at].rpartition(LANG_END)
+                lang, _, gram = keys[at].as_py().rpartition(LANG_END)
                 gram = gram.rstrip(SINK)
                 found.append((lang, gram[:size] if OPEN not in gram else "".join(TOKEN.findall(gram)[:size]), size, total))
     types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
