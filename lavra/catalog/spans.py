@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from lavra.catalog import Entry
 from lavra.catalog.dirty import table
 from lavra.functions.moments import hours_in_year, monthly_file_stem
-from lavra.operators.periods import missing_keys, month_spine_of
+from lavra.operators.periods import missing_keys, month_range, month_spine
 
 
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return month_spine_of(table(spark, sf_dir, "orders"), "o_orderdate")
+    """The months from the first order to the last, as a caller would name them."""
+    first, last = table(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    return month_spine(spark, *month_range(first.year, first.month, last.year, last.month, earliest=1992))
 
 
 def period_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
