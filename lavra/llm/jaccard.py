@@ -10,9 +10,11 @@
    with one comparison per set.
 4. What is left are tiles that still hold several components. Their sets are compared block
    by block with sets of the same and the next band; counts of differing bits bound the overlap
-   from above. A first round takes only pairs that would join components of a tile, the second
-   all pairs of components that are still apart.
-5. Pairs that pass the bound are settled by intersecting the sorted arrays.
+   from above. A pair that passes joins its components for the rest of the tile, so a tile emits
+   fewer pairs than it has components. Pairs are settled by intersecting the sorted arrays.
+5. A tile all of whose pairs linked is done: what it left out lies within one component. One with a
+   pair that did not link is opened again, and all pairs of components still apart that pass leave.
+Tiles of the same sets are one tile, so sets that share much meet once and not once a shingle.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ OFTEN = 4
 ORDERED = 1 << 16
 #: k of the prefix rule, in percent of a set.
 EXTRA = 10
+#: Least bits per element of a bitmap.
+BITS = 4
 #: Sets per block of a tile, which bounds the sets that a task compares at once.
 BLOCK = 512
 
@@ -72,8 +76,8 @@ def identity(found: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(found: np.ndarray) -> np.ndarray:
-    """A hashed bitmap of at least two bits per element, as 64-bit words."""
-    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    """A hashed bitmap of at least ``BITS`` bits per element, as 64-bit words."""
+    bits = max(64, 1 << (BITS * len(found) - 1).bit_length())
     at = found & _U(bits - 1)
     out = np.zeros(bits, bool)
     out[at] = True
@@ -231,6 +235,10 @@ def _may_link(bits: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray
     return linked(size, sizes, np.minimum(size - mine, sizes - theirs), percent)
 
 
+TILE = ["shingle", "band", "block_a", "block_b", "crossing"]
+MET = "shingle long, key_a long, key_b long, other_a long, other_b long"
+
+
 def _compare(percent: int, forest: bool):
     """Stream the blocks of tiles; emit pairs of different components that the bounds let pass.
 
@@ -241,10 +249,10 @@ def _compare(percent: int, forest: bool):
     def tile(rows: pa.Table) -> np.ndarray:
         size = rows.column("key_b").to_numpy() >> 32
         comp = rows.column("comp").to_numpy()
-        right = rows.column("right").to_numpy()
-        crossing = bool(rows.column("crossing")[0].as_py())
         if (comp == comp[0]).all():
             return np.zeros((0, 2), np.int64)
+        right = rows.column("right").to_numpy()
+        crossing = bool(rows.column("crossing")[0].as_py())
         raw = [np.frombuffer(x.as_py(), _U) for x in rows.column("bits")]
         width = min(map(len, raw))
         bits = np.stack([fold(x, width) for x in raw])
@@ -267,20 +275,20 @@ def _compare(percent: int, forest: bool):
         left: pa.Table | None = None
 
         def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            key = np.stack([table.column(c).to_numpy() for c in ("shingle", "band", "block_a", "block_b", "crossing")])
+            key = np.stack([table.column(c).to_numpy() for c in TILE])
             cuts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [table.num_rows]])
             a, b = table.column("key_a").to_numpy(), table.column("key_b").to_numpy()
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > 1 and len(pairs := tile(table.slice(lo, hi - lo)) + lo):
                     x, y = pairs[:, 0], pairs[:, 1]
-                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a[x], b[x], a[y], b[y])], names=["key_a", "key_b", "other_a", "other_b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key[0][x], a[x], b[x], a[y], b[y])], names=["shingle", "key_a", "key_b", "other_a", "other_b"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([left, table]) if left is not None and left.num_rows else table
             if not table.num_rows:
                 continue
-            key = np.stack([table.column(c).to_numpy() for c in ("shingle", "band", "block_a", "block_b", "crossing")])
+            key = np.stack([table.column(c).to_numpy() for c in TILE])
             change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
             cut = int(change[-1]) if len(change) else 0
             if cut:
@@ -289,7 +297,7 @@ def _compare(percent: int, forest: bool):
         if left is not None and left.num_rows:
             yield from emit(left)
 
-    return run, "key_a long, key_b long, other_a long, other_b long"
+    return run, MET
 
 
 PAIR = "key_a long, key_b long, other_a long, other_b long"
@@ -332,8 +340,8 @@ def _as_other(sets: DataFrame, value: str, name: str) -> DataFrame:
     return sets.select(F.col("key_a").alias("other_a"), F.col("key_b").alias("other_b"), F.col(value).alias(name))
 
 
-def _links(pairs: DataFrame, reps: DataFrame, thin: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that link, as pairs of representatives (a, b).
+def _exact(pairs: DataFrame, reps: DataFrame, thin: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that link.
 
     Only sets of the given pairs are made again from their texts. Their ids are
     written first: Spark then knows their size and sends them out only if they are few.
@@ -342,9 +350,13 @@ def _links(pairs: DataFrame, reps: DataFrame, thin: DataFrame, words: int, perce
     both = pairs.select(*ids).unionByName(pairs.select(F.col("other_a").alias("key_a"), F.col("other_b").alias("key_b")))
     wanted = stage(both.distinct().join(reps, ids).select(F.col("rep").alias("doc_id")), "wanted")
     arrays = stage(thin.join(wanted, "doc_id").mapInArrow(_arrays(words), "key_a long, key_b long, items binary"), "arrays")
-    exact = pairs.join(arrays, ids).join(_as_other(arrays, "items", "other_items"), ["other_a", "other_b"]).mapInArrow(*_settle(percent))
-    named = exact.join(reps, ids).join(_as_other(reps, "rep", "b"), ["other_a", "other_b"])
-    return stage(named.select(F.col("rep").alias("a"), "b"), "links")
+    return stage(pairs.join(arrays, ids).join(_as_other(arrays, "items", "other_items"), ["other_a", "other_b"]).mapInArrow(*_settle(percent)), "linked")
+
+
+def _edges(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of sets as pairs of their representatives (a, b)."""
+    named = pairs.join(reps, ["key_a", "key_b"]).join(_as_other(reps, "rep", "b"), ["other_a", "other_b"])
+    return named.select(F.col("rep").alias("a"), "b")
 
 
 def _shared_enough(entries: DataFrame, percent: int) -> DataFrame:
@@ -378,16 +390,21 @@ def _component_of(reps: DataFrame, edges: DataFrame) -> DataFrame:
     return reps.join(labels, reps["rep"] == labels["node"], "left").select("key_a", "key_b", F.coalesce("label", "rep").alias("comp"))
 
 
-def _across(entries: DataFrame, of: DataFrame, bits: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of sets of different components that share a tile and pass the bounds.
+def _mixed(entries: DataFrame, of: DataFrame) -> DataFrame:
+    """Entries of the tiles that hold several components, with these (comp); of tiles that hold the same sets, one."""
+    placed = stage(entries.select("shingle", "key_a", "key_b", "band", "pos").join(of, ["key_a", "key_b"]), "placed")
+    # Sums of two hashes name the sets of a tile: 128 bits, whatever the order.
+    same = [F.sum(F.xxhash64(F.lit(seed), "key_a", "key_b").cast("decimal(38,0)")).alias(f"same{seed}") for seed in (1, 2)]
+    tiles = placed.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), *same).where("lo != hi")
+    return placed.join(tiles.groupBy("n", "same1", "same2").agg(F.min("shingle").alias("shingle")).select("shingle"), "shingle", "left_semi")
+
 
-    Only tiles with several components are opened. They are cut into blocks, and
-    a set meets each block of its own and the next size band once.
+def _across(open_rows: DataFrame, bits: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs of sets of different components that pass the bounds of a tile, with its shingle.
+
+    Tiles are cut into blocks, and a set meets each block of its own and the next size band once.
     """
     ids = ["key_a", "key_b"]
-    placed = stage(entries.select("shingle", *ids, "band", "pos").join(of, ids), "placed")
-    mixed = placed.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("shingle")
-    open_rows = placed.join(mixed, "shingle", "left_semi")
     blocks = open_rows.groupBy("shingle", "band").agg((F.floor(F.max("pos") / BLOCK) + 1).cast("int").alias("blocks"))
     near = [blocks.select("shingle", (F.col("band") + d).alias("band"), F.col("blocks").alias(name)) for d, name in ((0, "own"), (-1, "above"), (1, "below"))]
     rows = open_rows
@@ -408,10 +425,9 @@ def _across(entries: DataFrame, of: DataFrame, bits: DataFrame, percent: int, fo
         F.transform(others("above"), lambda j: tile(band, block, j, 1, 0)),
         F.transform(others("below"), lambda j: tile(band - 1, j, block, 1, 1)),
     )
-    tile_key = ["shingle", "band", "block_a", "block_b", "crossing"]
     dealt = rows.select("shingle", *ids, "comp", F.explode(tiles).alias("tile")).select("shingle", *ids, "comp", "tile.*").join(bits, ids)
-    dealt = dealt.repartition(*tile_key).sortWithinPartitions(*tile_key, "key_b", "key_a")
-    return dealt.mapInArrow(*_compare(percent, forest)).distinct()
+    dealt = dealt.repartition(*TILE).sortWithinPartitions(*TILE, "key_b", "key_a")
+    return dealt.mapInArrow(*_compare(percent, forest))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -452,12 +468,21 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     best = met.groupBy(*ids).agg(F.max(F.struct("shared", "first_a", "first_b")).alias("best"))
     best = best.select(*ids, F.col("best.first_a").alias("other_a"), F.col("best.first_b").alias("other_b"))
     best = best.join(bits, ids).join(_as_other(bits, "bits", "other_bits"), ["other_a", "other_b"])
-    edges = _links(stage(best.mapInArrow(*_bounded(percent)), "pairs"), rep_ids, thin, words, percent)
-
-    # Step 4: first what joins components, few pairs of each tile; then every pair that is left.
-    for forest in (True, False):
-        pairs = stage(_across(entries, _component_of(rep_ids, edges), bits, percent, forest), "pairs")
-        edges = stage(edges.unionByName(_links(pairs, rep_ids, thin, words, percent)), "links")
+    edges = stage(_edges(_exact(stage(best.mapInArrow(*_bounded(percent)), "pairs"), rep_ids, thin, words, percent), rep_ids), "links")
+
+    # Step 4: what the bounds let pass, few pairs of each tile.
+    pair = [*ids, "other_a", "other_b"]
+    entries = stage(_mixed(entries, _component_of(rep_ids, edges)), "entries")
+    met = stage(_across(entries, bits, percent, forest=True), "met")
+    linking = _exact(stage(met.select(*pair).distinct(), "pairs"), rep_ids, thin, words, percent)
+    edges = stage(edges.unionByName(_edges(linking, rep_ids)), "links")
+
+    # Step 5: the tiles where a pair passed that does not link.
+    failed = stage(met.join(linking, pair, "left_anti"), "failed")
+    again = entries.drop("comp").join(failed.select("shingle").distinct(), "shingle", "left_semi")
+    left = _across(_mixed(again, _component_of(rep_ids, edges)), bits, percent, forest=False).select(*pair).distinct()
+    left = stage(left.join(failed, pair, "left_anti"), "pairs")
+    edges = edges.unionByName(_edges(_exact(left, rep_ids, thin, words, percent), rep_ids))
 
     of = _component_of(rep_ids, edges)
     return sets.join(of, ids, "left").select("doc_id", F.shiftright("key_b", 32).alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
