@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.staging import stage
+from lavra.llm.staging import discard, stage
 
 MAX_ROUNDS = 40
 
@@ -33,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         linked = small.unionByName(down.select("a", F.col("m").alias("b"))).distinct()
-        current = stage(linked, "edges")
+        last, current = current, stage(linked, "edges")
+        discard(last)
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

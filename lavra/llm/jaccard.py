@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lavra.llm.components import components
-from lavra.llm.staging import chunks, stage, texts_of
+from lavra.llm.staging import chunks, discard, stage, texts_of
 
 WORDS = 5
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -42,6 +42,8 @@ ORDERED = 1 << 16
 EXTRA = 10
 #: Least bits per element of a bitmap.
 BITS = 4
+#: Sets that hold a shingle are counted up to here; shingles of more count as equally frequent.
+MANY = 1 << 16
 #: Sets per block of a tile, which bounds the sets that a task compares at once.
 BLOCK = 512
 
@@ -162,6 +164,38 @@ def _band(key_b: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(key_b >> 32) / np.log(101 / percent)).astype(np.int32)
 
 
+ENTRY = ["shingle", "key_a", "key_b"]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add to a stream sorted by shingle how many entries each shingle has (holders), up to ``MANY``.
+
+    A shingle of more entries is held back until that is known, so no more than ``MANY`` rows wait.
+    """
+    held, many = [np.zeros(0, np.int64)] * 3, None
+
+    def made(rows: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(counts, pa.int32())], names=[*ENTRY, "holders"])
+
+    for batch in batches:
+        rows = [np.concatenate([old, batch.column(c).to_numpy()]) for old, c in zip(held, ENTRY)]
+        of = rows[0]
+        if not len(of):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        sizes = np.diff(np.append(starts, len(of)))
+        counts = np.minimum(sizes, MANY)
+        if of[0] == many:
+            counts[0] = MANY
+        cut = len(of) if counts[-1] == MANY else starts[-1]
+        many = of[-1] if cut == len(of) else None
+        if cut:
+            yield made([x[:cut] for x in rows], np.repeat(counts, sizes)[:cut])
+        held = [x[cut:] for x in rows]
+    if len(held[0]):
+        yield made(held, np.full(len(held[0]), len(held[0])))
+
+
 def _tiles(percent: int):
     """Stream entries sorted by shingle and size; leave out those that no entry of like size joins.
 
@@ -350,7 +384,9 @@ def _exact(pairs: DataFrame, reps: DataFrame, thin: DataFrame, words: int, perce
     both = pairs.select(*ids).unionByName(pairs.select(F.col("other_a").alias("key_a"), F.col("other_b").alias("key_b")))
     wanted = stage(both.distinct().join(reps, ids).select(F.col("rep").alias("doc_id")), "wanted")
     arrays = stage(thin.join(wanted, "doc_id").mapInArrow(_arrays(words), "key_a long, key_b long, items binary"), "arrays")
-    return stage(pairs.join(arrays, ids).join(_as_other(arrays, "items", "other_items"), ["other_a", "other_b"]).mapInArrow(*_settle(percent)), "linked")
+    found = stage(pairs.join(arrays, ids).join(_as_other(arrays, "items", "other_items"), ["other_a", "other_b"]).mapInArrow(*_settle(percent)), "linked")
+    discard(wanted, arrays)
+    return found
 
 
 def _edges(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -361,8 +397,9 @@ def _edges(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def _shared_enough(entries: DataFrame, percent: int) -> DataFrame:
     """Entries of sets that share as much of their prefix with others as any link needs."""
-    kept = entries.groupBy("key_a", "key_b").agg(F.count("*").alias("shared")).where(F.col("shared") >= _need(percent))
-    return entries.join(kept.select("key_a", "key_b"), ["key_a", "key_b"], "left_semi")
+    own = Window.partitionBy("key_a", "key_b")
+    counted = entries.withColumn("shared", F.count("*").over(own))
+    return counted.where(F.col("shared") >= _need(percent)).select(*ENTRY)
 
 
 def _need(percent: int) -> Column:
@@ -372,16 +409,10 @@ def _need(percent: int) -> Column:
 
 def _rarest(entries: DataFrame, percent: int) -> DataFrame:
     """The prefix rule once more, over the entries left: of its m entries a set keeps the m - need + 1 rarest."""
-    holders = entries.groupBy("shingle").agg(F.count("*").alias("holders"))
-    own = Window.partitionBy("key_a", "key_b")
-    ranked = entries.join(holders, "shingle").select(
-        "shingle",
-        "key_a",
-        "key_b",
-        F.row_number().over(own.orderBy("holders", "shingle")).alias("nth"),
-        F.count("*").over(own).alias("shared"),
-    )
-    return ranked.where(F.col("nth") <= F.col("shared") - _need(percent) + 1).select("shingle", "key_a", "key_b")
+    own = Window.partitionBy("key_a", "key_b").orderBy("holders", "shingle")
+    every = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = entries.select(*ENTRY, F.row_number().over(own).alias("nth"), F.count("*").over(every).alias("shared"))
+    return ranked.where((F.col("shared") >= _need(percent)) & (F.col("nth") <= F.col("shared") - _need(percent) + 1)).select(*ENTRY)
 
 
 def _component_of(reps: DataFrame, edges: DataFrame) -> DataFrame:
@@ -390,9 +421,13 @@ def _component_of(reps: DataFrame, edges: DataFrame) -> DataFrame:
     return reps.join(labels, reps["rep"] == labels["node"], "left").select("key_a", "key_b", F.coalesce("label", "rep").alias("comp"))
 
 
-def _mixed(entries: DataFrame, of: DataFrame) -> DataFrame:
-    """Entries of the tiles that hold several components, with these (comp); of tiles that hold the same sets, one."""
-    placed = stage(entries.select("shingle", "key_a", "key_b", "band", "pos").join(of, ["key_a", "key_b"]), "placed")
+def _placed(entries: DataFrame, of: DataFrame) -> DataFrame:
+    """Entries with the component (comp) of their set, written."""
+    return stage(entries.select(*ENTRY, "band", "pos").join(of, ["key_a", "key_b"]), "placed")
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Entries of the tiles that hold several components; of tiles that hold the same sets, one."""
     # Sums of two hashes name the sets of a tile: 128 bits, whatever the order.
     same = [F.sum(F.xxhash64(F.lit(seed), "key_a", "key_b").cast("decimal(38,0)")).alias(f"same{seed}") for seed in (1, 2)]
     tiles = placed.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), *same).where("lo != hi")
@@ -453,13 +488,19 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     prefix = thin.mapInArrow(_prefixes(words, percent, hot), "shingle long, key_a long, key_b long")
 
-    def tiles(rows: DataFrame) -> DataFrame:
-        return rows.repartition("shingle").sortWithinPartitions("shingle", "key_b", "key_a").mapInArrow(*_tiles(percent))
+    find, schema = _tiles(percent)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(find(batches))
+
+    def by_shingle(rows: DataFrame) -> DataFrame:
+        return rows.repartition("shingle").sortWithinPartitions("shingle", "key_b", "key_a")
 
     # Sets that share too little go, and then those that shared it with them.
-    entries = stage(tiles(prefix), "entries")
-    entries = stage(tiles(_shared_enough(entries, percent).select("shingle", *ids)), "entries")
-    entries = stage(tiles(_rarest(entries, percent)), "entries")
+    counted = "shingle long, key_a long, key_b long, holders int"
+    entries = _shared_enough(by_shingle(prefix).mapInArrow(narrow, counted), percent)
+    entries = _rarest(by_shingle(entries).mapInArrow(narrow, counted), percent)
+    entries = stage(by_shingle(entries).mapInArrow(find, schema), "entries")
     reps = stage(sets.where(F.col("key_b") >= 1 << 32).groupBy(*ids).agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits")), "representatives")
     rep_ids, bits = reps.drop("bits"), reps.drop("rep")
 
@@ -472,7 +513,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     # Step 4: what the bounds let pass, few pairs of each tile.
     pair = [*ids, "other_a", "other_b"]
-    entries = stage(_mixed(entries, _component_of(rep_ids, edges)), "entries")
+    placed = _placed(entries, _component_of(rep_ids, edges))
+    discard(entries)
+    entries = stage(_mixed(placed), "entries")
+    discard(placed)
     met = stage(_across(entries, bits, percent, forest=True), "met")
     linking = _exact(stage(met.select(*pair).distinct(), "pairs"), rep_ids, thin, words, percent)
     edges = stage(edges.unionByName(_edges(linking, rep_ids)), "links")
@@ -480,8 +524,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # Step 5: the tiles where a pair passed that does not link.
     failed = stage(met.join(linking, pair, "left_anti"), "failed")
     again = entries.drop("comp").join(failed.select("shingle").distinct(), "shingle", "left_semi")
-    left = _across(_mixed(again, _component_of(rep_ids, edges)), bits, percent, forest=False).select(*pair).distinct()
+    placed = _placed(again, _component_of(rep_ids, edges))
+    left = _across(_mixed(placed), bits, percent, forest=False).select(*pair).distinct()
     left = stage(left.join(failed, pair, "left_anti"), "pairs")
+    discard(entries, placed, met, failed)
     edges = edges.unionByName(_edges(_exact(left, rep_ids, thin, words, percent), rep_ids))
 
     of = _component_of(rep_ids, edges)

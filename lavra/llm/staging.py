@@ -26,7 +26,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.staged_at = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: all that was made of them is written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lavra.llm import components as stars
@@ -73,6 +74,19 @@ def test_bit_bound_never_hides_a_link():
             assert jaccard._may_link(jaccard.fold(p, width), len(a), jaccard.fold(q, width)[None], np.array([len(b)]), 80)[0]
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_holders_are_counted_across_batches(monkeypatch, size):
+    monkeypatch.setattr(jaccard, "MANY", 5)
+    times = [1, 4, 5, 6, 1, 23, 2, 11, 1]
+    of = np.repeat(np.arange(len(times)), times)
+    batches = [pa.record_batch({"shingle": of[i : i + size], "key_a": of[i : i + size], "key_b": np.arange(i, min(i + size, len(of)))}) for i in range(0, len(of), size)]
+    found = pa.Table.from_batches(list(jaccard._counted(iter([batches[0].slice(0, 0), *batches]))))
+    assert found.column("shingle").to_pylist() == of.tolist()
+    assert found.column("key_b").to_pylist() == list(range(len(of)))
+    assert found.column("holders").to_pylist() == np.minimum(times, 5)[of].tolist()
+    assert list(jaccard._counted(iter([]))) == []
+
+
 def test_fm_index_finds_every_phrase():
     rng = np.random.default_rng(1)
     for repeat in range(5):
