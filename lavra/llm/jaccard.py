@@ -14,7 +14,8 @@
    fewer pairs than it has components. Pairs are settled by intersecting the sorted arrays.
 5. A tile all of whose pairs linked is done: what it left out lies within one component. One with a
    pair that did not link is opened again, and all pairs of components still apart that pass leave.
-Tiles of the same sets are one tile, so sets that share much meet once and not once a shingle.
+Tiles of the same sets are one tile, and a pair leaves from the first tile that both sets are in, so
+it leaves once and not once a shingle. What that tile leaves out is joined by what it emits.
 """
 
 from __future__ import annotations
@@ -269,6 +270,15 @@ def _may_link(bits: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray
     return linked(size, sizes, np.minimum(size - mine, sizes - theirs), percent)
 
 
+def _meet_first(earlier: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of ``others`` have no value in common with ``earlier``; all are sorted."""
+    if not len(earlier):
+        return np.ones(len(others), bool)
+    every = np.concatenate(others)
+    shared = earlier[np.minimum(np.searchsorted(earlier, every), len(earlier) - 1)] == every
+    return np.bincount(np.repeat(np.arange(len(others)), list(map(len, others))), weights=shared, minlength=len(others)) == 0
+
+
 TILE = ["shingle", "band", "block_a", "block_b", "crossing"]
 MET = "shingle long, key_a long, key_b long, other_a long, other_b long"
 
@@ -276,8 +286,9 @@ MET = "shingle long, key_a long, key_b long, other_a long, other_b long"
 def _compare(percent: int, forest: bool):
     """Stream the blocks of tiles; emit pairs of different components that the bounds let pass.
 
-    With ``forest`` a pair joins its two components for the rest of the tile, so
-    a tile emits fewer pairs than it has components.
+    Each set carries the shingles of all its tiles (``open``): a pair that shares an earlier tile
+    is left to that one, so it leaves once and not once a shingle. With ``forest`` a pair joins its
+    two components for the rest of the tile, so a tile emits fewer pairs than it has components.
     """
 
     def tile(rows: pa.Table) -> np.ndarray:
@@ -291,12 +302,18 @@ def _compare(percent: int, forest: bool):
         width = min(map(len, raw))
         bits = np.stack([fold(x, width) for x in raw])
         comp = comp.copy()
+        open_at = rows.column("open").combine_chunks()
+        ends = np.cumsum(open_at.value_lengths().to_numpy())
+        shingle = rows.column("shingle")[0].as_py()
+        earlier = [x[: np.searchsorted(x, shingle)] for x in np.split(open_at.flatten().to_numpy(), ends[:-1])]
         found = [np.zeros((0, 2), np.int64)]
         for i in np.flatnonzero(right == 0) if crossing else range(len(size) - 1):
             rest = np.flatnonzero(right == 1) if crossing else np.arange(i + 1, len(size))
             rest = rest[(comp[rest] != comp[i]) & linked(size[i], size[rest], np.minimum(size[i], size[rest]), percent)]
             if len(rest):
                 rest = rest[_may_link(bits[i], size[i], bits[rest], size[rest], percent)]
+            if len(rest):
+                rest = rest[_meet_first(earlier[i], [earlier[j] for j in rest])]
             if forest and len(rest):
                 joined, first = np.unique(comp[rest], return_index=True)
                 rest = rest[first]
@@ -438,8 +455,10 @@ def _across(open_rows: DataFrame, bits: DataFrame, percent: int, forest: bool) -
     """Pairs of sets of different components that pass the bounds of a tile, with its shingle.
 
     Tiles are cut into blocks, and a set meets each block of its own and the next size band once.
+    So two sets meet in every tile that both have, and the first of these alone has to emit them.
     """
     ids = ["key_a", "key_b"]
+    bits = bits.join(open_rows.groupBy(*ids).agg(F.array_sort(F.collect_list("shingle")).alias("open")), ids)
     blocks = open_rows.groupBy("shingle", "band").agg((F.floor(F.max("pos") / BLOCK) + 1).cast("int").alias("blocks"))
     near = [blocks.select("shingle", (F.col("band") + d).alias("band"), F.col("blocks").alias(name)) for d, name in ((0, "own"), (-1, "above"), (1, "below"))]
     rows = open_rows
@@ -451,14 +470,15 @@ def _across(open_rows: DataFrame, bits: DataFrame, percent: int, forest: bool) -
         n = F.coalesce(count, F.lit(0))
         return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
-    def tile(band, a, b, crossing: int, right: int):
-        return F.struct(band.alias("band"), a.alias("block_a"), b.alias("block_b"), F.lit(crossing).alias("crossing"), F.lit(right).alias("right"))
+    def tile(band, a, b, crossing: Column, right: Column):
+        return F.struct(band.alias("band"), a.alias("block_a"), b.alias("block_b"), crossing.alias("crossing"), right.alias("right"))
 
-    band = F.col("band")
+    # Crossing: 0 compares a block with itself, 1 with one of the next band, 2 with another of its own band.
+    band, no, yes = F.col("band"), F.lit(0), F.lit(1)
     tiles = F.concat(
-        F.transform(others("own"), lambda j: tile(band, F.least(block, j), F.greatest(block, j), 0, 0)),
-        F.transform(others("above"), lambda j: tile(band, block, j, 1, 0)),
-        F.transform(others("below"), lambda j: tile(band - 1, j, block, 1, 1)),
+        F.transform(others("own"), lambda j: tile(band, F.least(block, j), F.greatest(block, j), F.when(block == j, no).otherwise(F.lit(2)), (block > j).cast("int"))),
+        F.transform(others("above"), lambda j: tile(band, block, j, yes, no)),
+        F.transform(others("below"), lambda j: tile(band - 1, j, block, yes, yes)),
     )
     dealt = rows.select("shingle", *ids, "comp", F.explode(tiles).alias("tile")).select("shingle", *ids, "comp", "tile.*").join(bits, ids)
     dealt = dealt.repartition(*TILE).sortWithinPartitions(*TILE, "key_b", "key_a")
@@ -525,9 +545,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     failed = stage(met.join(linking, pair, "left_anti"), "failed")
     again = entries.drop("comp").join(failed.select("shingle").distinct(), "shingle", "left_semi")
     placed = _placed(again, _component_of(rep_ids, edges))
-    left = _across(_mixed(placed), bits, percent, forest=False).select(*pair).distinct()
+    again = stage(_mixed(placed), "again")
+    left = _across(again, bits, percent, forest=False).select(*pair).distinct()
     left = stage(left.join(failed, pair, "left_anti"), "pairs")
-    discard(entries, placed, met, failed)
+    discard(entries, placed, again, met, failed)
     edges = edges.unionByName(_edges(_exact(left, rep_ids, thin, words, percent), rep_ids))
 
     of = _component_of(rep_ids, edges)

@@ -87,6 +87,13 @@ def test_holders_are_counted_across_batches(monkeypatch, size):
     assert list(jaccard._counted(iter([]))) == []
 
 
+def test_a_pair_is_left_to_the_first_tile_it_shares():
+    rng = random.Random(6)
+    for _ in range(100):
+        earlier, *others = (np.array(sorted(rng.sample(range(40), rng.randint(0, 6))), np.int64) for _ in range(5))
+        assert jaccard._meet_first(earlier, others).tolist() == [set(earlier).isdisjoint(x) for x in others]
+
+
 def test_fm_index_finds_every_phrase():
     rng = np.random.default_rng(1)
     for repeat in range(5):
