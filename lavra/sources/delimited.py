@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from typing import BinaryIO
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lavra.functions.text import last_value_of
+from lavra.sources.ranges import Opener, list_files, open_stream
+
+#: Bytes read at first of a file whose first lines are wanted.
+HEAD = 1 << 12
 
 LINE_BREAK = r"\r\n|\n|\r"
 
@@ -37,31 +43,45 @@ def read_delimited(
     )
 
 
-def read_first_lines(spark: SparkSession, path: str, lines: int, encoding: str) -> DataFrame:
-    """``_arquivo`` and the first lines of each file of any size.
+def first_lines(stream: BinaryIO, lines: int, block: int = HEAD) -> list[bytes]:
+    """The first lines of a stream, read in growing blocks and no further than they need."""
+    content = b""
+    while True:
+        more = stream.read(block)
+        content += more
+        found = content.splitlines()
+        if not more or len(found) > lines or len(found) == lines and content.endswith(b"\n"):
+            return found[:lines]
+        block *= 2
+
+
+def read_first_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    lines: int,
+    encoding: str,
+    opener: Opener = open_stream,
+) -> DataFrame:
+    """``_arquivo`` and the first lines of each file of any size, from its head alone.
 
-    Only lines of the first block of a file are ranked, so no file is held in
-    memory.
+    The listing deals files over tasks as it would their content, so large files
+    have a task each, which reads their first ``HEAD`` bytes, more only where lines are longer.
     """
-    in_order = Window.partitionBy("_arquivo").orderBy("__order")
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(
-            F.col("_metadata.file_path").alias("_arquivo"),
-            F.monotonically_increasing_id().alias("__order"),
-            "value",
-        )
-        .withColumn("__rank", F.row_number().over(in_order))
-        .filter(F.col("__rank") <= lines)
-        .groupBy("_arquivo")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("__rank", "value"))),
-                lambda line: F.decode(line["value"].cast("binary"), encoding),
-            ).alias("linhas")
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = []
+            for name in batch.column("_arquivo").to_pylist():
+                with opener(name) as stream:
+                    heads.append(first_lines(stream, lines))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_arquivo"), pa.array(heads, pa.list_(pa.binary()))],
+                names=["_arquivo", "linhas"],
+            )
+
+    heads = list_files(spark, path).select("_arquivo").mapInArrow(run, "_arquivo string, linhas array<binary>")
+    return heads.select(
+        "_arquivo", F.transform("linhas", lambda line: F.decode(line, encoding)).alias("linhas")
     )
 
 

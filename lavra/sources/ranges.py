@@ -54,6 +54,12 @@ def open_file(path: str) -> BinaryIO:
     return _File(system.open_input_file(name))
 
 
+def open_stream(path: str) -> BinaryIO:
+    """A file from its start, inflated if its name says that it is compressed."""
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(name, compression="detect")
+
+
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``_arquivo`` and ``_bytes`` of every file at ``path``, from the listing alone.
 
