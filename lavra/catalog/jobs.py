@@ -17,6 +17,7 @@ from lavra.scratch import new_folder
 from lavra.sinks import write_periods
 from lavra.sources import dbf
 from lavra.sources.landing import MONTHLY_FILE
+from lavra.sources.ranges import list_files
 from lavra.sources.tables import read_partitioned, read_table
 
 PERIOD = ["ano", "mes"]
@@ -66,9 +67,9 @@ def silver_fact_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lies in another folder, too, June 1999 has a second file, and one file has a strange name.
     """
     path = new_folder(spark, "silver-landed")
-    folder = landing.damaged_admission_files(spark, sf_dir)
-    fields = dbf.describe(spark, folder)
-    rows, unreadable = admissions.stage_months(spark, folder, fields, MONTHLY_FILE)
+    files = list_files(spark, landing.damaged_admission_files(spark, sf_dir))
+    fields = dbf.describe(spark, files)
+    rows, unreadable = admissions.stage_months(spark, files, fields, MONTHLY_FILE)
     expected = month_spine(spark, date(1995, 1, 1), date(2001, 12, 1)).filter(
         "not (ano = 1996 and mes = 7)"
     )

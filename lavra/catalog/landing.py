@@ -12,7 +12,6 @@ import zipfile
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +28,8 @@ _written: dict[tuple[str, str, str], str] = {}
 def once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
     """Path of landed files, written at most once per application and input."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key in _written:
-        try:
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_written[key])
-            return _written[key]
-        except AnalysisException:
-            pass
+    if key in _written and Folders(spark, _written[key]).exists(_written[key]):
+        return _written[key]
     path = new_folder(spark, label)
     write(path)
     _written[key] = path

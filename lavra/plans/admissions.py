@@ -35,7 +35,7 @@ class Enrichment:
 
 
 def stage_dbf(
-    spark: SparkSession, path: str, fields: Sequence[Field], keep_going: bool = False
+    spark: SparkSession, path: str | DataFrame, fields: Sequence[Field], keep_going: bool = False
 ) -> DataFrame:
     """Landed DBF files as a Parquet table in the shared folder.
 
@@ -50,17 +50,19 @@ def stage_dbf(
 
 
 def stage_months(
-    spark: SparkSession, path: str, fields: Sequence[Field], pattern: str = MONTHLY_TABLE
+    spark: SparkSession, path: str | DataFrame, fields: Sequence[Field], pattern: str = MONTHLY_TABLE
 ) -> tuple[DataFrame, DataFrame]:
     """All landed months: their rows, and the periods that could not be read.
 
     Rows carry ``ano`` and ``mes`` of their file; an unreadable period has
     ``ano``, ``mes`` and ``motivo``. Every landed file is accounted for: one that lies in the wrong
     folder or comes second makes its period unreadable, one of an unknown name is an unreadable period
-    without ``ano`` and ``mes``. Both come from one staged table and the ledger of the files.
+    without ``ano`` and ``mes``. Both come from one staged table and the ledger of the files, which
+    are listed once, or not at all if ``path`` is their listing.
     """
-    staged = stage_dbf(spark, path, fields, keep_going=True)
-    ledger = materialize(monthly_ledger(list_files(spark, path).select("_arquivo"), pattern, "_arquivo"), "ledger")
+    files = list_files(spark, path)
+    staged = stage_dbf(spark, files, fields, keep_going=True)
+    ledger = materialize(monthly_ledger(files.select("_arquivo"), pattern, "_arquivo"), "ledger")
     # One row per file.
     fitting = ledger.where(F.col("classe") == FITS).select("_arquivo", *PERIOD)
     dated = staged.join(fitting, "_arquivo")

@@ -105,8 +105,8 @@ def _header(file, length: int | None = None) -> Layout:
     return Layout.of(prefix + rest, length)
 
 
-def describe(spark: SparkSession, path: str, opener: Opener = open_file) -> list[Field]:
-    """The fields of all files at ``path``, from their headers; no record is read.
+def describe(spark: SparkSession, path: str | DataFrame, opener: Opener = open_file) -> list[Field]:
+    """The fields of all files at ``path``, or of a listing, from their headers; no record is read.
 
     Fields are in the order of their place in a header. A field whose type
     differs between files is text, one with unlike decimal places a double.
@@ -219,7 +219,7 @@ def dbf_work(
 
 def read_dbf(
     spark: SparkSession,
-    path: str,
+    path: str | DataFrame,
     fields: Sequence[Field],
     encoding: str,
     exact_fields: bool = False,
@@ -228,7 +228,7 @@ def read_dbf(
     absent_is_null: bool = False,
     opener: Opener = open_file,
 ) -> DataFrame:
-    """The live records of all files at ``path``, with ``_arquivo``.
+    """The live records of all files at ``path``, or of a listing, with ``_arquivo``.
 
     Each task reads the ranges of the records that it cuts, ``batch_records`` at a time, so one large
     file keeps many tasks busy and no file is held. A file that is no DBF, is

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lavra.sources.ranges import listed
+
 # In any case: year/RDSPyymm.dbc, its unpacked form with .dbf, and year/year.zip; directories may be named (ano=2023).
 MONTHLY_FILE = r"(?i)/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?RDSP(\d{2})(\d{2})\.dbc(?:/|$)"
 MONTHLY_TABLE = MONTHLY_FILE.replace("dbc", "dbf")
@@ -13,12 +15,7 @@ YEARLY_FILE = r"(?i)/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(\d{4})\.zip(?:/|$)"
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(F.col("path").alias("arquivo"))
-    )
+    return listed(spark, root, F.col("path").alias("arquivo"))
 
 
 FITS, UNKNOWN_NAME, WRONG_FOLDER, SECOND_FILE = "fits", "unknown name", "wrong folder", "second file of its period"

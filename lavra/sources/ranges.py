@@ -13,7 +13,7 @@ from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What opens a path for reading at any place.
@@ -60,13 +60,36 @@ def open_stream(path: str) -> BinaryIO:
     return system.open_input_stream(name, compression="detect")
 
 
-def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+#: How many tasks' worth of files one task takes that reads no more of a file than its head.
+HEADS_PER_TASK = 16
+#: Into how many tasks Spark deals the listing of one folder that has many folders in it: one for each, if it may.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def listed(spark: SparkSession, path: str | list[str], *columns: Column) -> DataFrame:
+    """``columns`` of the ``binaryFile`` rows of every file at ``path``; no content is to be among them.
+
+    Each task reports to the driver, so a task for each folder, and one for every few files, would send
+    more than the names do. A listing has a task per core, and its rows are in partitions of many files.
+    """
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(min(int(before), cores)))
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(*columns)
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+    return files.coalesce(max(4 * cores, files.rdd.getNumPartitions() // HEADS_PER_TASK))
+
+
+def list_files(spark: SparkSession, path: str | list[str] | DataFrame) -> DataFrame:
     """``_arquivo`` and ``_bytes`` of every file at ``path``, from the listing alone.
 
-    Spark lists no files of zero bytes: they count as not landed.
+    Spark lists no files of zero bytes: they count as not landed. A listing made before is taken as it
+    is, so what needs the same files several times lists them once.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return listed.select(F.col("_metadata.file_path").alias("_arquivo"), F.col("length").alias("_bytes"))
+    if isinstance(path, DataFrame):
+        return path
+    return listed(spark, path, F.col("_metadata.file_path").alias("_arquivo"), F.col("length").alias("_bytes"))
 
 
 def _size_of(spark: SparkSession, name: str) -> int:
