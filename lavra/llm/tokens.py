@@ -9,8 +9,10 @@ any text whose cuts could matter, is encoded whole by the library.
 from __future__ import annotations
 
 import json
+import os
 import re
-from itertools import chain, repeat
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -22,7 +24,8 @@ PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: A space that white space or the end follows: there a cut could change the parts.
 DOUBTFUL = re.compile(r" (?:\s|\Z)")
 #: One mark right behind a letter, with white space or the end behind it: always a part of its own.
-MARK = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,](?=[ \n]|\Z)")
+#: It begins with the mark, so that a search runs from mark to mark instead of from letter to letter.
+MARK = re.compile(r"[.,](?<=[A-Za-zÀ-ÖØ-öø-ÿ][.,])(?=[ \n]|\Z)")
 #: One line feed between other characters: a part of its own, too.
 FEED = re.compile(r"(?<=\S)\n(?=\S)")
 #: Bounds of the memo, about 100 MB; beyond them it starts anew.
@@ -37,10 +40,25 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in stay} | {b: chr(256 + i) for i, b in enumerate(moved)}
 
 
+class _Numbers(dict):
+    """A number for each piece, given when it is first asked for; the ``new`` ones are yet to be encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """Encode texts with the tokenizer file at ``path``, without special tokens."""
 
     def __init__(self, path: str):
+        # Tasks keep the cores busy; threads of the library's own would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
@@ -61,7 +79,7 @@ class Encoder:
         return "whole"
 
     def _forget(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.memo = _Numbers()
         self.chars = 0
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.first, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -78,27 +96,39 @@ class Encoder:
             return text.replace(" ", "\0 ").split("\0")
         return [text]
 
+    def _spelled(self, plain: list[str]) -> list[str]:
+        """Plain pieces in the letters of the vocabulary, all at once: none of them holds a line feed."""
+        joined = "\n".join(plain)
+        joined = joined.lower() if self.kind == "dropped" else joined
+        return joined.encode().decode("latin-1").translate(self.letters).split(self.letters[10]) if plain else []
+
     def _learn(self, new: list[str]) -> None:
-        plain = [p for p in new if PLAIN.fullmatch(p)] if self.kind != "whole" else []
-        known = set(plain)
-        rest = [p for p in new if p not in known]
-        model = self.tokenizer.model
-        found = []
-        for piece in plain:
-            piece = piece.lower() if self.kind == "dropped" else piece
-            mapped = piece.encode().decode("latin-1").translate(self.letters)
-            found.append([token.id for token in model.tokenize(mapped)])
-        found += [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)] if rest else []
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        start, more = len(self.memo), int(sizes.sum())
+        """Ids of the pieces that have got the last numbers of the memo."""
+        plain, rest, plain_at, rest_at = [], [], [], []
+        for at, piece in enumerate(new):
+            if self.kind != "whole" and PLAIN.fullmatch(piece):
+                plain.append(piece), plain_at.append(at)
+            else:
+                rest.append(piece), rest_at.append(at)
+        tokenize, id_of = self.tokenizer.model.tokenize, attrgetter("id")
+        ids, sizes = [], []
+        for piece in self._spelled(plain):
+            tokens = tokenize(piece)
+            sizes.append(len(tokens))
+            ids.extend(map(id_of, tokens))
+        for encoding in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []:
+            sizes.append(len(encoding))
+            ids.extend(encoding.ids)
+        size, start, more = np.array(sizes, np.int64), len(self.memo) - len(new), len(ids)
         self.ids = _room(self.ids, self.used + more)
-        self.first, self.length = _room(self.first, start + len(found)), _room(self.length, start + len(found))
-        self.ids[self.used : self.used + more] = np.fromiter(chain.from_iterable(found), np.uint32, more)
-        self.first[start : start + len(found)] = self.used + np.cumsum(sizes) - sizes
-        self.length[start : start + len(found)] = sizes
+        self.first, self.length = _room(self.first, len(self.memo)), _room(self.length, len(self.memo))
+        self.ids[self.used : self.used + more] = ids
+        numbers = start + np.array(plain_at + rest_at, np.int64)
+        self.first[numbers] = self.used + np.cumsum(size) - size
+        self.length[numbers] = size
         self.used += more
-        self.memo.update(zip(plain + rest, range(start, start + len(found))))
         self.chars += sum(map(len, new))
+        new.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and the number of ids of each text."""
@@ -107,11 +137,14 @@ class Encoder:
         cut = [self.pieces(text) for text in texts]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         flat = list(chain.from_iterable(cut))
-        at = np.fromiter(map(self.memo.get, flat, repeat(-1)), np.int64, len(flat))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            self._learn(list(dict.fromkeys(flat[i] for i in missing)))
-            at[missing] = [self.memo[flat[i]] for i in missing]
+        try:
+            at = np.fromiter(map(self.memo.__getitem__, flat), np.int64, len(flat))
+            if self.memo.new:
+                self._learn(self.memo.new)
+        except BaseException:
+            # No piece may keep a number without ids.
+            self._forget()
+            raise
         length = self.length[at]
         end = np.cumsum(length)
         total = int(end[-1]) if len(end) else 0
